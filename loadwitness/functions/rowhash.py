@@ -31,6 +31,22 @@ def canonical_text(c: Column, dtype: T.DataType, scale: int | None = None) -> Co
     return c.cast("string")
 
 
+def hashable(c: Column, dtype: T.DataType, scale: int | None = None) -> tuple[Column, Column | None]:
+    """A value that Spark's own hash functions tell apart exactly where ``canonical_text`` does.
+
+    Where a compact value cannot hold everything (a rounded double beyond 18 digits, not a number), the second Column
+    gives the text of what it misses.
+    """
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        if scale is None:
+            return c + F.lit(0.0).cast(dtype), None
+        compact = c.try_cast(T.DecimalType(18, scale))
+        return compact, F.when(compact.isNull(), canonical_text(c, dtype, scale))
+    if isinstance(dtype, (T.MapType, T.StructType, T.ArrayType)):
+        return canonical_text(c, dtype, scale), None
+    return c, None
+
+
 def field(text: Column, failed: Column | None = None) -> Column:
     """One value inside the hashed text: its length and itself, ``~`` for null.
 

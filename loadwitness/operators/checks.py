@@ -6,9 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loadwitness.operators.compare import compare, row_count, shared_columns
+from loadwitness.operators.compare import compare, row_count
 
 RESULT_COLUMNS = ["validation_type", "column_name", "status", "metrics", "comment"]
 
@@ -52,57 +51,40 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts.select("total_rows", F.inline(per_column)).select("column_name", "nulls", "total_rows")
 
 
-def unconvertible(source: DataFrame, target: DataFrame) -> DataFrame:
-    """One row per shared column: values of the source that have no counterpart in the target's type, in one pass."""
-    fields = shared_columns(source, target).fields
-    own = {f.name.lower(): f for f in source.schema.fields}
-
-    def bad(f: T.StructField) -> F.Column:
-        mine = own[f.name.lower()]
-        if mine.dataType == f.dataType:
-            return F.lit(0).cast("bigint")
-        raw = F.col(f"`{mine.name}`")
-        return F.count_if(raw.isNotNull() & raw.try_cast(f.dataType).isNull())
-
-    counts = source.agg(*[bad(f).alias(f"n{i}") for i, f in enumerate(fields)])
-    per_column = F.array(
-        *[F.struct(F.lit(f.name.lower()).alias("name"), F.col(f"n{i}").alias("unconvertible")) for i, f in enumerate(fields)]
-    )
-    return counts.select(F.inline(per_column))
-
-
 def schema_pairs(source: DataFrame, target: DataFrame, compat: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Columns of both sides by name (case does not count): types, position, whether they fit.
 
-    A source type fits an equal target type, or one that ``compat`` declares if every value converts.
+    A source type fits an equal target type, or one that ``compat`` declares if every value converts. Values are read
+    for declared pairs only, all in one pass; without such pairs no data is read.
     """
-    spark = source.sparkSession
-    compat = {s: {t for t in ts} for s, ts in (compat or {}).items()}
-
-    def frame(df: DataFrame, side: str) -> DataFrame:
-        rows = [(f.name.lower(), f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema.fields)]
-        return spark.createDataFrame(rows, f"name string, {side}_name string, {side}_type string, {side}_pos int")
-
-    declared = spark.createDataFrame(
-        [(s, t) for s, ts in sorted(compat.items()) for t in sorted(ts)], "source_type string, target_type string"
-    ).withColumn("declared", F.lit(True))
-    both = frame(source, "source").join(frame(target, "target"), "name", "full")
-    if shared_columns(source, target).fields:
-        both = both.join(unconvertible(source, target), "name", "left")
-    else:
-        both = both.withColumn("unconvertible", F.lit(None).cast("bigint"))
-    fits = (F.col("source_type") == F.col("target_type")) | (
-        F.coalesce("declared", F.lit(False)) & (F.col("unconvertible") == 0)
-    )
-    return both.join(declared, ["source_type", "target_type"], "left").select(
-        F.coalesce("source_name", "target_name").alias("column_name"),
-        "source_type",
-        "target_type",
-        "source_pos",
-        "target_pos",
-        F.coalesce("unconvertible", F.lit(0).cast("bigint")).alias("unconvertible"),
-        F.coalesce(fits, F.lit(False)).alias("fits"),
-    )
+    compat = compat or {}
+    left = {f.name.lower(): (i, f) for i, f in enumerate(source.schema.fields)}
+    right = {f.name.lower(): (i, f) for i, f in enumerate(target.schema.fields)}
+    rows, probes = [], []
+    for key in [*left, *[k for k in right if k not in left]]:
+        s_pos, s = left.get(key, (None, None))
+        t_pos, t = right.get(key, (None, None))
+        s_type = s.dataType.simpleString() if s else None
+        t_type = t.dataType.simpleString() if t else None
+        bad, fits = F.lit(0).cast("bigint"), F.lit(s_type == t_type)
+        if s_type != t_type and t_type in compat.get(s_type, ()):
+            raw = F.col(f"`{s.name}`")
+            probes.append(F.count_if(raw.isNotNull() & raw.try_cast(t.dataType).isNull()).alias(f"n{len(probes)}"))
+            bad = F.col(f"n{len(probes) - 1}")
+            fits = bad == 0
+        rows.append(
+            F.struct(
+                F.lit(s.name if s else t.name).alias("column_name"),
+                F.lit(s_type).cast("string").alias("source_type"),
+                F.lit(t_type).cast("string").alias("target_type"),
+                F.lit(s_pos).cast("int").alias("source_pos"),
+                F.lit(t_pos).cast("int").alias("target_pos"),
+                bad.alias("unconvertible"),
+                fits.alias("fits"),
+            )
+        )
+    probed = source.agg(*probes) if probes else source.sparkSession.range(1)
+    return probed.select(F.inline(F.array(*rows)))
 
 
 def _schema_text(df: DataFrame) -> str:

@@ -118,20 +118,16 @@ def match_steps(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("validation_type", F.explode(types))
 
 
-def rollup(failed: Column, succeeded: Column) -> Column:
-    return F.when(failed, "Fail").when(succeeded, "Success").otherwise("NA")
-
-
 def step_status(nodes: DataFrame) -> DataFrame:
     """One row per run, one column per step: Fail if any node of the step failed, else Success if any succeeded, else NA."""
     status = upper_text(F.col("status"))
+    weight = F.when(status == "FAILED", 2).when(status == "SUCCEEDED", 1)
 
-    def any_node(t: str, word: str) -> Column:
-        return F.coalesce(F.bool_or(speaks_of(F.col("node_name"), t) & (status == word)), F.lit(False))
+    def rollup(t: str) -> Column:
+        worst = F.max(F.when(speaks_of(F.col("node_name"), t), weight))
+        return F.when(worst == 2, "Fail").when(worst == 1, "Success").otherwise("NA").alias(t)
 
-    return nodes.groupBy("pipeline_id", "batch_id").agg(
-        *[rollup(any_node(t, "FAILED"), any_node(t, "SUCCEEDED")).alias(t) for t in KEYWORDS]
-    )
+    return nodes.groupBy("pipeline_id", "batch_id").agg(*[rollup(t) for t in KEYWORDS])
 
 
 def step_status_rows(wide: DataFrame) -> DataFrame:

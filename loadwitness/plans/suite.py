@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -51,7 +52,7 @@ def check_mapping(source: DataFrame, target: DataFrame, spec: MappingSpec) -> Da
     return union_results(frames)
 
 
-def _failed(spark: SparkSession, error: AnalysisException) -> DataFrame:
+def _failed(spark: SparkSession, error: Exception) -> DataFrame:
     row = [("suite", None, "error", {}, str(error).splitlines()[0])]
     return spark.createDataFrame(
         row, "validation_type string, column_name string, status string, metrics map<string,bigint>, comment string"
@@ -59,27 +60,32 @@ def _failed(spark: SparkSession, error: AnalysisException) -> DataFrame:
 
 
 def run_suite(
-    spark: SparkSession, specs: Sequence[MappingSpec], source_of: Loader = _source, target_of: Loader = _target
+    spark: SparkSession,
+    specs: Sequence[MappingSpec],
+    source_of: Loader = _source,
+    target_of: Loader = _target,
+    parallel: int = 4,
 ) -> DataFrame:
     """``mapping_id, pipeline_id, batch_id`` with the result columns, for all mappings.
 
-    A mapping whose objects cannot be found or compared gives one row of status ``error``; the others go on.
+    The first pass of each row comparison runs here, ``parallel`` mappings at a time; the rest stays one lazy plan. A
+    mapping whose objects cannot be found or compared gives one row of status ``error``; the others go on.
     """
-    frames = []
-    for spec in specs:
+
+    def results_of(spec: MappingSpec) -> DataFrame:
         try:
             rows = check_mapping(source_of(spark, spec), target_of(spark, spec), spec)
-        except AnalysisException as error:
+        except (AnalysisException, ValueError) as error:
             rows = _failed(spark, error)
-        frames.append(
-            rows.select(
-                F.lit(spec.mapping_id).alias("mapping_id"),
-                F.lit(spec.pipeline_id).cast("bigint").alias("pipeline_id"),
-                F.lit(spec.batch_id).cast("bigint").alias("batch_id"),
-                *RESULT_COLUMNS,
-            )
+        return rows.select(
+            F.lit(spec.mapping_id).alias("mapping_id"),
+            F.lit(spec.pipeline_id).cast("bigint").alias("pipeline_id"),
+            F.lit(spec.batch_id).cast("bigint").alias("batch_id"),
+            *RESULT_COLUMNS,
         )
-    return union_results(frames)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return union_results(list(pool.map(results_of, specs)))
 
 
 def suite_verdicts(results: DataFrame, specs: DataFrame, rules: str = "r3") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,13 @@ class Data:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._read[name].createOrReplaceTempView(name)
+        return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
@@ -29,8 +34,8 @@ class Data:
             raise AttributeError(name)
         sql = with_views(f"SELECT * FROM fx_{name}", SPARK_VIEWS)
         for table in TABLES:
-            if f" {table}" in sql:
-                self.table(table).createOrReplaceTempView(table)
+            if re.search(rf"\bFROM {table}\b", sql):
+                self.table(table)
         return self.spark.sql(sql)
 
 

@@ -1,4 +1,6 @@
-"""Derived inputs (``fx_``) in SQL that Spark and DuckDB run unchanged, and helper views (``ox_``) of the oracles.
+"""Derived inputs (``fx_``) in SQL that Spark and DuckDB run alike, and helper views (``ox_``) of the oracles.
+
+The one difference is how a list becomes rows: ``explode(sequence(1, n))`` reads ``unnest(generate_series(1, n))`` in DuckDB.
 
 Every view covers its whole table, so inputs grow with the data. What the rules call missing (a node that never ran, a
 batch without comments) is a row under another batch or id, not a row left out. One pipeline per customer; its current
@@ -21,58 +23,57 @@ def older(condition: str, batch: str) -> str:
 CUSTOMER_BATCH = "1000 + c_custkey"
 
 
-def _comment(offset: int, kind: str, missing: str, text: str) -> str:
-    return f"""SELECT {offset} * {OLD} + c_custkey AS seq, {older(missing, CUSTOMER_BATCH)} AS batch_id,
-       '{kind}' AS validation_type, {text} AS comment
-FROM customer"""
-
-
 _BOTH_SCHEMAS = "'Source Schema: [id: bigint, day: string] Target Schema: [id: bigint, day: date]'"
 
+# Comments of each pipeline: type, when the current batch has none, text.
 _COMMENTS = [
-    _comment(
-        1,
+    (
         "schemas",
         "c_custkey % 29 = 0",
         f"CASE WHEN c_custkey % 12 = 0 THEN 'Source Schema: [id: bigint, day: string]' ELSE {_BOTH_SCHEMAS} END",
     ),
     # A second comment on some batches: the last one counts.
-    _comment(
-        2,
+    (
         "schemas",
         "c_custkey % 5 <> 0",
         f"CASE WHEN c_custkey % 15 = 0 THEN 'Source Schema: [N/A] Target Schema: [id: int]' ELSE {_BOTH_SCHEMAS} END",
     ),
-    _comment(3, "schema", "c_custkey % 8 <> 0", "concat(' Column c', c_custkey, ': source string, target int ')"),
-    _comment(
-        4,
+    ("schema", "c_custkey % 8 <> 0", "concat(' Column c', c_custkey, ': source string, target int ')"),
+    (
         "row_count",
         "c_custkey % 13 = 0",
         "concat(CASE WHEN c_custkey % 2 = 0 THEN 'Source Row Count: ' ELSE 'Number of rows in Source: ' END,"
         " 100 + c_custkey % 3, ', Target: ', 101, ', Difference: ', c_custkey % 3 - 1)",
     ),
     # A second comment on some batches: the first one counts.
-    _comment(
-        5, "row_count", "c_custkey % 4 <> 0", "concat('Source Row Count: ', c_custkey, ', Target: 0, Difference: ', c_custkey)"
-    ),
-    _comment(
-        6,
+    ("row_count", "c_custkey % 4 <> 0", "concat('Source Row Count: ', c_custkey, ', Target: 0, Difference: ', c_custkey)"),
+    (
         "uniqueness",
         "c_custkey % 16 = 0",
         "concat('Column: id, Status: ', CASE WHEN c_custkey % 5 = 0 THEN 'NOT_UNIQUE' WHEN c_custkey % 7 = 0 THEN 'failed'"
         " ELSE 'unique' END, ', Duplicates: ', c_custkey % 5)",
     ),
-    _comment(7, "uniqueness", "c_custkey % 3 <> 0", "concat('Column: day, Status: unique, Note: a:b', c_custkey % 2)"),
-    _comment(
-        8,
+    ("uniqueness", "c_custkey % 3 <> 0", "concat('Column: day, Status: unique, Note: a:b', c_custkey % 2)"),
+    (
         "not_null",
         "c_custkey % 14 = 0",
         "concat('Column: phase, Result: ', CASE WHEN c_custkey % 6 = 0 THEN 'NULLs Exist' WHEN c_custkey % 7 = 1"
         " THEN 'nulls exist' WHEN c_custkey % 11 = 1 THEN 'check failed' ELSE 'No NULLs' END, ',Count: ', c_custkey % 6)",
     ),
-    _comment(9, "ingestion", "c_custkey % 3 = 0", "concat(' loaded ', c_name)"),
+    ("ingestion", "c_custkey % 3 = 0", "concat(' loaded ', c_name)"),
 ]
 
+
+def _choose(values: list[str]) -> str:
+    return "CASE k " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values, 1)) + " END"
+
+
+_PIPELINE_COMMENTS = f"""SELECT k * {OLD} + c_custkey AS seq,
+       CASE WHEN {_choose([missing for _, missing, _ in _COMMENTS])} THEN {CUSTOMER_BATCH} - {OLD} ELSE {CUSTOMER_BATCH} END AS batch_id,
+       {_choose([f"'{kind}'" for kind, _, _ in _COMMENTS])} AS validation_type,
+       {_choose([text for _, _, text in _COMMENTS])} AS comment
+FROM (SELECT c_custkey, c_name, explode(sequence(1, {len(_COMMENTS)})) AS k FROM customer) c"""
+
 _DATA_COMMENTS = f"""SELECT 10 * {OLD} + o_orderkey AS seq, {older("o_custkey % 4 = 0", "1000 + o_custkey")} AS batch_id,
        'data' AS validation_type,
        CASE WHEN o_orderkey % 37 = 0 THEN concat('unknown tag||', o_orderkey)
@@ -83,25 +84,19 @@ _DATA_COMMENTS = f"""SELECT 10 * {OLD} + o_orderkey AS seq, {older("o_custkey %
             ELSE concat('present_only_in_destination||', o_orderkey, ',', o_orderstatus, '||', repeat('0F', 32)) END AS comment
 FROM orders"""
 
-_PARENT_NODES = " UNION ALL ".join(
-    f"""SELECT s_suppkey AS workflow_orch_id, {older(f"(s_suppkey + {k}) % 5 = 0", "5000 + s_suppkey")} AS batch_id,
-       s_suppkey * 10 + {k} AS node_id, 90000000000000000 + s_suppkey * 10 + {k} AS node_batch_id,
-       CASE WHEN (s_suppkey + {k}) % 6 = 0 THEN 'FAILED' WHEN (s_suppkey + {k}) % 11 = 0 THEN 'RUNNING' ELSE 'SUCCESS' END AS status
-FROM supplier"""
-    for k in range(1, 6)
-)
-
 # A third of the runs share the validation workflow of supplier 0.
 _CHILD = "CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_suppkey END"
 
-_CHILD_NODES = " UNION ALL ".join(
-    f"""SELECT -1 - ({_CHILD}) AS workflow_orch_id,
-       {older(f"(s_suppkey + {k}) % 7 = 0", "90000000000000000 + s_suppkey * 10 + 2")} AS batch_id,
-       -10 - ({_CHILD}) * 10 - {k} AS node_id, 1000 + s_suppkey * 10 + {k} AS node_batch_id,
-       CASE WHEN (s_suppkey + {k}) % 4 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status
-FROM supplier"""
-    for k in range(1, 7)
-)
+_PARENT_NODES = f"""SELECT s_suppkey AS workflow_orch_id, {older("(s_suppkey + k) % 5 = 0", "5000 + s_suppkey")} AS batch_id,
+       s_suppkey * 10 + k AS node_id, 90000000000000000 + s_suppkey * 10 + k AS node_batch_id,
+       CASE WHEN (s_suppkey + k) % 6 = 0 THEN 'FAILED' WHEN (s_suppkey + k) % 11 = 0 THEN 'RUNNING' ELSE 'SUCCESS' END AS status
+FROM (SELECT s_suppkey, explode(sequence(1, 5)) AS k FROM supplier) p"""
+
+_CHILD_NODES = f"""SELECT -1 - ({_CHILD}) AS workflow_orch_id,
+       {older("(s_suppkey + k) % 7 = 0", "90000000000000000 + s_suppkey * 10 + 2")} AS batch_id,
+       -10 - ({_CHILD}) * 10 - k AS node_id, 1000 + s_suppkey * 10 + k AS node_batch_id,
+       CASE WHEN (s_suppkey + k) % 4 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status
+FROM (SELECT s_suppkey, explode(sequence(1, 6)) AS k FROM supplier) c"""
 
 SPARK_VIEWS = {
     # Source and target: moved keys (every 97th), other prices (89th), null priorities (83rd), doubled rows (79th).
@@ -157,7 +152,7 @@ SELECT o_orderkey AS node_id, o_custkey AS data_movement_id, {older("o_orderkey
        CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE o_orderdate END AS end_time
 FROM orders""",
     "fx_node_type": "SELECT n_nationkey AS node_type_id, n_name AS node_type_name FROM nation",
-    "fx_validation_result": "\nUNION ALL\n".join([*_COMMENTS, _DATA_COMMENTS]),
+    "fx_validation_result": f"{_PIPELINE_COMMENTS}\nUNION ALL\n{_DATA_COMMENTS}",
     "fx_workflow": f"""
 SELECT s_suppkey AS workflow_orch_id,
        concat('{{"workflowJson":{{"nodeDataArray":[',
@@ -214,8 +209,10 @@ ORACLE_VIEWS: dict[str, str] = {}
 
 
 def with_views(sql: str, views: dict[str, str] | None = None) -> str:
-    """``sql`` with the views it uses in front, each once and after those it builds on."""
-    views = {**SPARK_VIEWS, **ORACLE_VIEWS} if views is None else views
+    """``sql`` with the views it uses in front, each once and after those it builds on; for DuckDB unless ``views`` are given."""
+    if views is None:
+        both = {**SPARK_VIEWS, **ORACLE_VIEWS}
+        views = {name: text.replace("explode(sequence(", "unnest(generate_series(") for name, text in both.items()}
     order: list[str] = []
 
     def visit(text: str) -> None:
