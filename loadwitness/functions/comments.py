@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,14 +26,19 @@ def _first_group(c: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def tag(c: Column) -> Column:
     """Text before the first double bar, or all of it."""
-    return F.split(c, r"\|\|", 2)[0]
+    return F.substring_index(c, "||", 1)
 
 
 def payload(c: Column) -> Column:
     """Text after the first double bar; empty without one. Later bars belong to it."""
-    return F.when(c.isNotNull(), F.coalesce(F.try_element_at(F.split(c, r"\|\|", 2), F.lit(2)), F.lit("")))
+    return F.when(c.contains("||"), F.substr(c, F.length(tag(c)) + 3)).when(c.isNotNull(), F.lit(""))
 
 
 def side(c: Column) -> Column:
@@ -45,25 +52,39 @@ def strip_row_hash(c: Column) -> Column:
     return strip(F.regexp_replace(c, HASH_TAIL, ""))
 
 
-def parse_payload(c: Column) -> Column:
-    """JSON object as a map without its row hash; null where the text is no JSON object.
+def payload_entries(c: Column) -> Column:
+    """Keys and values of a JSON object without its row hash; null where the text is no JSON object.
 
-    A repeated key keeps its first place and its last value.
+    A repeated key keeps its first place and its last value. Text that does not open an object is not parsed.
     """
-    entries = F.map_entries(F.from_json(c, "map<string,string>"))
-    keys = F.filter(F.array_distinct(F.transform(entries, lambda e: e["key"])), lambda k: k != HASH_KEY)
-    last = F.transform(
-        keys, lambda k: F.element_at(F.transform(F.filter(entries, lambda e: e["key"] == k), lambda e: e["value"]), -1)
-    )
-    return F.map_from_arrays(keys, last)
+
+    def clean(entries: Column) -> Column:
+        keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        last = F.transform(
+            keys,
+            lambda k: F.struct(
+                k.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value")
+            ),
+        )
+        unique = F.when(F.size(keys) == F.size(entries), entries).otherwise(last)
+        return F.filter(unique, lambda e: e["key"] != HASH_KEY)
+
+    return _let(F.when(c.rlike(r"^\s*\{"), F.map_entries(F.from_json(c, "map<string,string>"))), clean)
+
+
+def parse_payload(c: Column) -> Column:
+    """JSON object as a map without its row hash; null where the text is no JSON object."""
+    return F.map_from_entries(payload_entries(c))
 
 
 def render_payload(c: Column) -> Column:
     """``key: value`` pairs of a JSON payload, or the text without its hash tail."""
-    pairs = F.transform(
-        F.map_entries(parse_payload(c)), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("None")))
-    )
-    return F.coalesce(F.array_join(pairs, ", "), strip_row_hash(c))
+
+    def joined(entries: Column) -> Column:
+        pairs = F.transform(entries, lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("None"))))
+        return F.array_join(pairs, ", ")
+
+    return F.coalesce(_let(payload_entries(c), joined), strip_row_hash(c))
 
 
 def source_schema(c: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +18,6 @@ NOT_UNIQUE = "NOT_UNIQUE"
 NULLS_EXIST = "NULLs Exist"
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out
-
-
 def _metrics(**values) -> F.Column:
     pairs = [part for name, value in values.items() for part in (F.lit(name), value.cast("bigint"))]
     return F.create_map(*pairs).alias("metrics")
@@ -30,7 +25,8 @@ def _metrics(**values) -> F.Column:
 
 def duplicate_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of ``copies``. A key with a null part is no duplicate."""
-    return df.select(*cols).dropna(subset=list(cols)).groupBy(*cols).agg(F.count("*").alias("copies")).filter("copies > 1")
+    known = reduce(and_, [F.col(c).isNotNull() for c in cols])
+    return df.select(*cols).filter(known).groupBy(*cols).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
 def duplicate_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -155,7 +151,7 @@ def check_unique(target: DataFrame, cols: Sequence[str], composite: bool = False
     """One ``uniqueness`` row per column, or one for all columns as a composite key."""
     keys = [list(cols)] if composite else [[c] for c in cols]
     unique = F.col("duplicate_groups") == 0
-    return _union([duplicate_summary(target, key) for key in keys]).select(
+    return reduce(DataFrame.unionByName, [duplicate_summary(target, key) for key in keys]).select(
         F.lit("uniqueness").alias("validation_type"),
         "column_name",
         F.when(unique, "passed").otherwise("failed").alias("status"),

@@ -23,15 +23,14 @@ def order_by_type(results: DataFrame) -> DataFrame:
 
 
 def discrepancies(results: DataFrame) -> DataFrame:
-    """Data comments taken apart: ``side`` (``other`` for an unknown tag), raw ``payload``, readable ``text``."""
+    """Data comments taken apart: ``side`` (``other`` for an unknown tag) and raw ``payload``."""
     c = F.col("comment")
-    return of_type(results, "data").select(
-        "batch_id",
-        "seq",
-        C.side(c).alias("side"),
-        C.payload(c).alias("payload"),
-        C.render_payload(C.payload(c)).alias("text"),
-    )
+    return of_type(results, "data").select("batch_id", "seq", C.side(c).alias("side"), C.payload(c).alias("payload"))
+
+
+def readable(found: DataFrame) -> DataFrame:
+    """Discrepancies with their ``text``. Parsing is the dear part: do it after rows have been left out."""
+    return found.withColumn("text", C.render_payload(F.col("payload"))).drop("payload")
 
 
 def discrepancy_counts(found: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
@@ -166,7 +165,7 @@ def report_lines(results: DataFrame, rules: str = "r3") -> DataFrame:
     )
     if rules == "r3":
         return lines
-    few = preview(discrepancies(results)).filter(F.col("side") != "other")
+    few = readable(preview(discrepancies(results)).filter(F.col("side") != "other"))
     return lines.unionByName(
         few.select(
             "batch_id",

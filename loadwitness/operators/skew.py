@@ -15,7 +15,8 @@ def salted_join(
 
     The salt is a hash of ``salt_by``, so a retried task puts its rows where the first try did. ``small`` is
     repeated once per salt: use it where ``small`` has few rows per key. No hint is given; Spark broadcasts
-    ``small`` when its size is under the session's threshold, and splits what is still skewed (AQE).
+    ``small`` when its estimate is under the session's threshold (so at most ``salts`` times that threshold goes
+    out), joins by shuffle beyond it, and splits what is still skewed (AQE).
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"salting does not keep the meaning of a {how} join")

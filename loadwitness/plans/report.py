@@ -12,6 +12,7 @@ from loadwitness.operators.results import (
     INLINE_LIMIT,
     detailed,
     discrepancies,
+    readable,
     report_lines,
     step_texts,
 )
@@ -225,7 +226,7 @@ def discrepancy_report(runs: DataFrame, results: DataFrame, wide_status: DataFra
         *keys, F.lit(0).alias("section"), F.posexplode(F.filter(heads, lambda h: h.isNotNull())).alias("seq", "text")
     ).withColumn("seq", F.col("seq").cast("bigint"))
     found = discrepancies(results).filter(F.col("side").isin(SOURCE_ONLY, TARGET_ONLY))
-    rows = salted_join(found, reported.select(*keys), ["batch_id"], ["seq"]).select(
+    rows = readable(salted_join(found, reported.select(*keys), ["batch_id"], ["seq"])).select(
         *keys,
         F.when(F.col("side") == SOURCE_ONLY, 1).otherwise(2).alias("section"),
         "seq",
@@ -250,7 +251,7 @@ def detailed_log(results: DataFrame) -> DataFrame:
         F.col("side") == TARGET_ONLY, "Present only in Destination:"
     )
     rows = detailed(discrepancies(results)).withColumn("heading", heading)
-    return rows.filter(F.col("heading").isNotNull()).select("batch_id", "heading", "seq", "text")
+    return readable(rows.filter(F.col("heading").isNotNull())).select("batch_id", "heading", "seq", "text")
 
 
 def node_definitions(execution: DataFrame) -> DataFrame:

@@ -30,13 +30,16 @@ class Data:
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.table(name)
-        if f"fx_{name}" not in SPARK_VIEWS:
+        view = f"fx_{name}"
+        if view not in SPARK_VIEWS:
             raise AttributeError(name)
-        sql = with_views(f"SELECT * FROM fx_{name}", SPARK_VIEWS)
-        for table in TABLES:
-            if re.search(rf"\bFROM {table}\b", sql):
-                self.table(table)
-        return self.spark.sql(sql)
+        if view not in self._read:
+            sql = with_views(f"SELECT * FROM {view}", SPARK_VIEWS)
+            for table in TABLES:
+                if re.search(rf"\bFROM {table}\b", sql):
+                    self.table(table)
+            self._read[view] = self.spark.sql(sql)
+        return self._read[view]
 
 
 def query(name: str, sql: str | None = None) -> Callable:

@@ -135,7 +135,7 @@ def latest_flow_status(d):
   FROM ox_data) x WHERE total <= 10""",
 )
 def discrepancy_preview(d):
-    found = results.preview(results.discrepancies(d.validation_result))
+    found = results.readable(results.preview(results.discrepancies(d.validation_result)))
     return found.select("batch_id", "seq", F.col("line_no").cast("bigint").alias("line_no"), "total", "side", "text")
 
 
