@@ -12,6 +12,8 @@ from loadwitness.operators.skew import salted_join
 
 INLINE_LIMIT = 10
 
+RULES = ("r1", "r2", "r3")
+
 
 def of_type(results: DataFrame, *types: str) -> DataFrame:
     return results.filter(F.col("validation_type").isin(*types))
@@ -92,8 +94,8 @@ def nulls_exist(comment: Column, rules: str) -> Column:
     return found | low.contains("fail") if rules == "r1" else found
 
 
-def step_facts(results: DataFrame, rules: str) -> DataFrame:
-    """One row per batch with all that the verdicts ask of its comments.
+def step_facts(results: DataFrame) -> DataFrame:
+    """One row per batch with all that the verdicts ask of its comments, under every rule set, from one pass.
 
     Every fact is a number or a flag, so the aggregate works on hashed fixed-size buffers with partial results, and
     no comment is shuffled. Patterns are tried on comments of their own type only.
@@ -119,9 +121,9 @@ def step_facts(results: DataFrame, rules: str) -> DataFrame:
             F.when(kind == "row_count", F.coalesce(C.difference(c) == "0", F.lit(False))), F.when(kind == "row_count", seq)
         ).alias("counts_agree"),
         count("uniqueness").alias("uniqueness_comments"),
-        seen("uniqueness", not_unique(c, rules)).alias("not_unique"),
+        *[seen("uniqueness", not_unique(c, rules)).alias(f"not_unique_{rules}") for rules in RULES],
         count("not_null").alias("not_null_comments"),
-        seen("not_null", nulls_exist(c, rules)).alias("nulls_exist"),
+        *[seen("not_null", nulls_exist(c, rules)).alias(f"nulls_exist_{rules}") for rules in RULES],
     )
 
 

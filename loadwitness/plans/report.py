@@ -111,7 +111,7 @@ def report_step(runs: DataFrame, results: DataFrame, wide_status: DataFrame, rul
 
     ``actual`` holds a fixed number of lines at most; comments that are quoted one by one are in ``quoted_lines``.
     """
-    judged = judged_runs(runs, results, wide_status, rules).join(step_texts(results), "batch_id", "left")
+    judged = judged_runs(runs, results, wide_status).join(step_texts(results), "batch_id", "left")
     rows = step_rows(judged, rules)
     described = _by_step({s: F.lit(description(s, rules)) for s in STEP_TYPES})
     wanted = _by_step({s: numbered(_texts(expected(s, rules))) for s in STEP_TYPES})
@@ -201,7 +201,7 @@ def ingestion_failed_report(routed: DataFrame, flow: DataFrame, schedule: DataFr
 
 def executed_data_runs(runs: DataFrame, results: DataFrame, wide_status: DataFrame, rules: str = "r3") -> DataFrame:
     """Runs whose data step was executed and has comments: those that get a discrepancy report."""
-    judged = step_rows(judged_runs(runs, results, wide_status, rules), rules)
+    judged = step_rows(judged_runs(runs, results, wide_status), rules)
     return judged.filter(
         (F.col("validation_type") == "data") & (F.col("execution_status") == "Success") & (F.col("data_comments") > 0)
     )

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadwitness.operators.results import step_facts
+from loadwitness.operators.results import RULES, step_facts
 from loadwitness.operators.status import KEYWORDS
 from loadwitness.plans.steps import STEP_TYPES
 
-RULES = ("r1", "r2", "r3")
 COUNTS = [
     "ingestion_comments",
     "schema_mismatches",
@@ -82,12 +81,12 @@ def row_count_verdict(rules: str = "r3") -> Column:
 
 def uniqueness_verdict(rules: str = "r3") -> Column:
     _check(rules)
-    return F.when(F.col("uniqueness_comments") == 0, "NA").otherwise(_fail_if(F.col("not_unique")))
+    return F.when(F.col("uniqueness_comments") == 0, "NA").otherwise(_fail_if(F.col(f"not_unique_{rules}")))
 
 
 def not_null_verdict(rules: str = "r3") -> Column:
     _check(rules)
-    return F.when(F.col("not_null_comments") == 0, "NA").otherwise(_fail_if(F.col("nulls_exist")))
+    return F.when(F.col("not_null_comments") == 0, "NA").otherwise(_fail_if(F.col(f"nulls_exist_{rules}")))
 
 
 JUDGES = {
@@ -108,36 +107,38 @@ def step_verdict(step: int, rules: str = "r3") -> Column:
     return F.when(execution_status(step, rules) == "Success", judged).otherwise("NA")
 
 
-def judged_runs(runs: DataFrame, results: DataFrame, wide_status: DataFrame, rules: str = "r3") -> DataFrame:
+def judged_runs(runs: DataFrame, results: DataFrame, wide_status: DataFrame) -> DataFrame:
     """Runs with the status of each step and the facts of their comments: one row per run.
 
     Results and nodes are reduced to a row per batch before they meet the runs.
     """
-    _check(rules)
-    facts = step_facts(results, rules)
-    joined = runs.join(wide_status, ["pipeline_id", "batch_id"], "left").join(facts, "batch_id", "left")
-    zero = {c: 0 for c in COUNTS}
-    no = {"not_unique": False, "nulls_exist": False}
-    return joined.fillna({**zero, **no})
-
-
-def step_rows(judged: DataFrame, rules: str = "r3") -> DataFrame:
-    """Six rows per run: ``step_id, validation_type, execution_status, verdict`` next to the run's columns."""
-    steps = F.array(
-        *[
-            F.struct(
-                F.lit(step).alias("step_id"),
-                F.lit(kind).alias("validation_type"),
-                execution_status(step, rules).alias("execution_status"),
-                step_verdict(step, rules).alias("verdict"),
-            )
-            for step, kind in STEP_TYPES.items()
-        ]
+    joined = runs.join(wide_status, ["pipeline_id", "batch_id"], "left").join(step_facts(results), "batch_id", "left")
+    flags = [f"{flag}_{rules}" for flag in ("not_unique", "nulls_exist") for rules in RULES]
+    return joined.fillna({**{c: 0 for c in COUNTS}, **{c: False for c in flags}})
+
+
+def _step(step: int, rules: str) -> Column:
+    return F.struct(
+        F.lit(rules).alias("rules"),
+        F.lit(step).alias("step_id"),
+        F.lit(STEP_TYPES[step]).alias("validation_type"),
+        execution_status(step, rules).alias("execution_status"),
+        step_verdict(step, rules).alias("verdict"),
     )
+
+
+def step_rows(judged: DataFrame, *rules: str) -> DataFrame:
+    """Six rows per run and rule set: ``rules, step_id, validation_type, execution_status, verdict`` next to the run's columns."""
+    steps = F.array(*[_step(step, r) for r in rules for step in STEP_TYPES])
     return judged.withColumn("step", F.explode(steps)).select("*", "step.*").drop("step", *KEYWORDS)
 
 
 def verdicts(results: DataFrame, wide_status: DataFrame, runs: DataFrame, rules: str = "r3") -> DataFrame:
     """``pipeline_id, batch_id, step_id, validation_type, execution_status, verdict`` for all runs at once."""
-    rows = step_rows(judged_runs(runs, results, wide_status, rules), rules)
-    return rows.select("pipeline_id", "batch_id", "step_id", "validation_type", "execution_status", "verdict")
+    return verdicts_under(results, wide_status, runs, rules).drop("rules")
+
+
+def verdicts_under(results: DataFrame, wide_status: DataFrame, runs: DataFrame, *rules: str) -> DataFrame:
+    """``verdicts`` under several rule sets, named in ``rules``; nodes and comments are still read once."""
+    rows = step_rows(judged_runs(runs, results, wide_status), *rules)
+    return rows.select("rules", "pipeline_id", "batch_id", "step_id", "validation_type", "execution_status", "verdict")

@@ -66,10 +66,13 @@ def discrepancy_total(d):
        o.n_nulls > 0 AS nulls_exist_r1 FROM ox_facts_r3 f JOIN ox_facts_r1 o USING (batch_id)""",
 )
 def any_match_verdict(d):
-    new, old = results.step_facts(d.validation_result, "r3"), results.step_facts(d.validation_result, "r1")
-    return new.select("batch_id", "not_unique", "nulls_exist").join(
-        old.select("batch_id", F.col("not_unique").alias("not_unique_r1"), F.col("nulls_exist").alias("nulls_exist_r1")),
+    facts = results.step_facts(d.validation_result)
+    return facts.select(
         "batch_id",
+        F.col("not_unique_r3").alias("not_unique"),
+        F.col("nulls_exist_r3").alias("nulls_exist"),
+        "not_unique_r1",
+        "nulls_exist_r1",
     )
 
 

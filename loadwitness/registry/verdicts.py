@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadwitness.plans.suite import union_results
-from loadwitness.plans.verdict import RULES, verdicts
+from loadwitness.operators.results import RULES
+from loadwitness.plans.verdict import verdicts_under
 from loadwitness.registry import query
 from loadwitness.registry.inputs import wide_status
 
 
 def under_all_rules(d):
-    status = wide_status(d)
-    return union_results([verdicts(d.validation_result, status, d.run, r).withColumn("rules", F.lit(r)) for r in RULES])
+    return verdicts_under(d.validation_result, wide_status(d), d.run, *RULES)
 
 
 def of_step(name: str, step: int) -> None:

@@ -68,9 +68,8 @@ def test_lists_are_cut_before_the_shuffle(spark):
 
 def test_facts_use_hashed_partial_aggregates(spark):
     d = Data(spark, FOLDER)
-    for rules in ("r1", "r2", "r3"):
-        plan = plan_of(results.step_facts(d.validation_result, rules))
-        assert "HashAggregate" in plan and "SortAggregate" not in plan and plan.count("Exchange") == 1
+    plan = plan_of(results.step_facts(d.validation_result))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and plan.count("Exchange") == 1
 
 
 def test_latest_status_is_reduced_before_the_shuffle(spark):
