@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 # Fixed value: the `valid_to_ts` of a current row.
 OPEN_END = "9999-12-31 00:00:00.000"
 
+# Text for what is not known, and the form of a link.
 NOT_AVAILABLE = "N/A"
+LINK = "/workspace?workspace_id=%s&pipeline_id=%s&active_tab=curationUI"
 
 
 def strip(c: Column) -> Column:
@@ -53,7 +55,7 @@ def or_na(c: Column) -> Column:
 def workspace_url(base: str, workspace_id: Column, pipeline_id: Column) -> Column:
     """Link to a pipeline; ``N/A`` when the workspace or the pipeline is unknown."""
     link = F.format_string(
-        f"{base.replace('%', '%%')}/workspace?workspace_id=%s&pipeline_id=%s&active_tab=curationUI",
+        base.replace("%", "%%") + LINK,
         workspace_id.cast("string"),
         pipeline_id.cast("string"),
     )

@@ -157,9 +157,9 @@ def compare(
     pairs = [part for f in fields.fields for part in (F.lit(f.name), F.col(f"`{f.name}`"))]
 
     def one_side(side: str) -> DataFrame:
-        rows = _with_rows(keyed[side], found.filter(F.col("_side") == side), few)
-        return canonical_rows(rows, fields, scales, keep=["_side", "_copies"]).select(
-            F.col("_side").alias("side"),
+        rows = _with_rows(keyed[side], found.filter(F.col("_side") == side).drop("_side"), few)
+        return canonical_rows(rows, fields, scales, keep=["_copies"]).select(
+            F.lit(side).alias("side"),
             F.col(HASH).alias("row_hash"),
             F.col("_copies").alias("copies"),
             F.create_map(*pairs).alias("data"),

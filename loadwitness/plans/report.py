@@ -20,6 +20,7 @@ from loadwitness.operators.skew import salted_join
 from loadwitness.operators.status import node_execution, order_by_start
 from loadwitness.plans.steps import STEP_TYPES, description, expected
 from loadwitness.plans.verdict import judged_runs, step_rows, verdicts
+from loadwitness.scratch import materialise
 
 
 def _texts(values: list[str]) -> Column:
@@ -210,10 +211,11 @@ def executed_data_runs(runs: DataFrame, results: DataFrame, wide_status: DataFra
 def discrepancy_report(runs: DataFrame, results: DataFrame, wide_status: DataFrame) -> DataFrame:
     """Per run with data comments: totals (section 0), then rows present only in the source (1) and in the target (2).
 
-    ``seq`` orders the lines of a section. Comments of unknown tag are not in these totals.
+    ``seq`` orders the lines of a section. Comments of unknown tag are not in these totals. Which runs are reported is
+    worked out once and written down, as both parts need it.
     """
-    reported = executed_data_runs(runs, results, wide_status)
     keys = ["pipeline_id", "batch_id"]
+    reported = materialise(executed_data_runs(runs, results, wide_status).select(*keys, "source_only", "target_only"))
     tagged = F.col("source_only") + F.col("target_only")
     heads = F.array(
         F.when(tagged > 0, F.concat(F.lit("Total Discrepancies: "), tagged.cast("string"))).otherwise(

@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from loadwitness.registry import oracle_views  # noqa: F401
 from loadwitness.registry.views import SPARK_VIEWS, TABLES, with_views
@@ -13,6 +14,9 @@ from loadwitness.registry.views import SPARK_VIEWS, TABLES, with_views
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Schemas of files read before, so that their footers are read once.
+SCHEMAS: dict[str, StructType] = {}
+
 
 class Data:
     """Tables and derived inputs of one folder."""
@@ -23,7 +27,10 @@ class Data:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            known = SCHEMAS.get(path)
+            self._read[name] = (self.spark.read.schema(known) if known else self.spark.read).parquet(path)
+            SCHEMAS[path] = self._read[name].schema
             self._read[name].createOrReplaceTempView(name)
         return self._read[name]
 

@@ -7,6 +7,7 @@ from loadwitness.plans import suite
 from loadwitness.registry import query
 from loadwitness.registry.inputs import SCALES, TEXT_TO_DATE, mappings, object_of
 from loadwitness.registry.oracle_views import PAIR_COLUMNS
+from loadwitness.scratch import materialise
 from loadwitness.sources.specs import specs_frame
 
 _TYPE = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' END"
@@ -155,6 +156,6 @@ FROM all_rows JOIN (VALUES (4, 'row_count'), (5, 'uniqueness'), (6, 'not_null'))
 
 @query("load_verdicts", _load_verdicts())
 def load_verdicts(d):
-    """Did these loads arrive intact? All checks of all mappings, judged."""
-    judged = suite.suite_verdicts(run_all(d), specs_frame(d.spark, mappings()))
+    """Did these loads arrive intact? All checks of all mappings, written down and judged."""
+    judged = suite.suite_verdicts(materialise(run_all(d)), specs_frame(d.spark, mappings()))
     return judged.select("pipeline_id", "batch_id", "step_id", "validation_type", "verdict")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Skewed sort-merge joins are split at run time even when that costs one more shuffle, and session time
-# is UTC so that instants render alike everywhere.
+# Skewed sort-merge joins are split at run time even when that costs one more shuffle; session time is UTC so that
+# instants render alike everywhere; call sites are not traced, as that doubles the time to build a plan of many Columns.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
