@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loadwitness.operators import compare, lookups, status, workflow
+from loadwitness.plans import dataflow
 from loadwitness.registry import query
 from loadwitness.registry.inputs import SCALES, nodes, run_nodes
 from loadwitness.registry.oracle_views import PAIR_COLUMNS
@@ -118,11 +119,19 @@ def workflow_of_run(d):
 
 @query(
     "child_workflow",
-    """SELECT p.workflow_orch_id AS dataflow_id, p.batch_id AS dataflow_batch_id, n.pos AS seq, n.node_name, n.pipeline_name,
-       n.pipeline_id, s.node_batch_id AS pipeline_batch_id, s.status
-FROM ox_detail p JOIN ox_node n ON n.workflow_orch_id = CAST(p.pipeline_id AS BIGINT)
-LEFT JOIN fx_workflow_node s ON s.node_id = CAST(n.node_id AS BIGINT) AND s.batch_id = p.node_batch_id
-WHERE p.node_name = 'Validation dataflow' AND n.node_name NOT IN ('Modify validation pipelines', 'Target crawler')""",
+    "SELECT dataflow_id, dataflow_batch_id, seq, node_name, pipeline_name, pipeline_id, pipeline_batch_id, status FROM ox_child",
 )
 def child_workflow(d):
     return workflow.validation_runs(run_nodes(d), d.workflow, d.workflow_node)
+
+
+@query(
+    "report_runs",
+    """SELECT c.dataflow_batch_id, c.seq, CAST(c.pipeline_id AS BIGINT) AS pipeline_id, c.pipeline_batch_id AS batch_id,
+       c.pipeline_name, c.status, r.ingestion_status, r.ingestion_name
+FROM ox_child c JOIN ox_route r ON r.workflow_orch_id = c.dataflow_id AND r.batch_id = c.dataflow_batch_id
+WHERE r.route = 'validate'""",
+)
+def report_runs(d):
+    """The pipelines that the reports of all dataflow runs cover."""
+    return dataflow.report_runs(run_nodes(d), d.workflow, d.workflow_node)

@@ -168,6 +168,12 @@ LEFT JOIN fx_workflow_node s ON s.node_id = CAST(n.node_id AS BIGINT) AND s.batc
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY workflow_orch_id, batch_id, node_name ORDER BY pos DESC) AS rn
   FROM ox_run_node WHERE node_name <> '') x WHERE rn = 1""",
+        "ox_child": """
+SELECT p.workflow_orch_id AS dataflow_id, p.batch_id AS dataflow_batch_id, n.pos AS seq, n.node_name, n.pipeline_name,
+       n.pipeline_id, s.node_batch_id AS pipeline_batch_id, s.status
+FROM ox_detail p JOIN ox_node n ON n.workflow_orch_id = CAST(p.pipeline_id AS BIGINT)
+LEFT JOIN fx_workflow_node s ON s.node_id = CAST(n.node_id AS BIGINT) AND s.batch_id = p.node_batch_id
+WHERE p.node_name = 'Validation dataflow' AND n.node_name NOT IN ('Modify validation pipelines', 'Target crawler')""",
         "ox_route": """
 SELECT r.workflow_orch_id, r.batch_id, d.status AS ingestion_status, d.pipeline_name AS ingestion_name,
        CASE WHEN d.status = 'FAILED' THEN 'failed' WHEN d.status IS NULL OR d.status = 'SUCCESS' THEN 'validate' ELSE 'pending' END AS route
