@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Mappings are compared by several threads; the folder is chosen once.
+_CHOOSING = threading.Lock()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode, where it is unset."""
+    with _CHOOSING:
+        return _shared_dir(spark)
+
+
+def _shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
