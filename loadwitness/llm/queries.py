@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadwitness.llm import bpe_automaton
+from loadwitness.llm import bpe_automaton, exact_dedup
 from loadwitness.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -16,6 +16,25 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query(
+    "op1_exact_dedup",
+    """
+    WITH t AS (
+        SELECT doc_id, length(coalesce(text, '')) AS points,
+            sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+        FROM documents
+    ), g AS (
+        SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS keep_id,
+            count(*) OVER (PARTITION BY text_sha256) AS group_size
+        FROM t
+    )
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
 @query("op4_bpe_automaton")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_file())
