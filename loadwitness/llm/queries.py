@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadwitness.llm import bpe_automaton, exact_dedup
+from loadwitness.llm import bpe_automaton, exact_dedup, token_files
 from loadwitness.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -38,3 +38,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_bpe_automaton")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query("op10_token_files")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=1)
