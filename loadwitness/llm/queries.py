@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadwitness.llm import bpe_automaton, exact_dedup, token_files
+from loadwitness.llm import bestfit_packing, bpe_automaton, exact_dedup, token_files
 from loadwitness.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -35,6 +35,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op2_bestfit_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit_packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), capacity=2048, end_id=0)
+
+
 @query("op4_bpe_automaton")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_file())
