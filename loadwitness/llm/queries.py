@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadwitness.llm import bestfit_packing, bpe_automaton, exact_dedup, token_files
+from loadwitness.llm import attention_mil, bestfit_packing, bpe_automaton, exact_dedup, naive_bayes, token_files
 from loadwitness.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -45,6 +45,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+@query("op8_attention_mil")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return attention_mil.score(docs, attention_mil.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_naive_bayes")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return naive_bayes.identify(docs, naive_bayes.fit(docs))
+
+
 @query("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=1)
