@@ -73,19 +73,19 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros((n, FEATURES), np.float32)
     if not len(starts):
         return out, owner
-    # Characters before the first word of a text belong to its first passage.
+    # Characters before the first word of a text belong to no passage.
     word_at = np.zeros(len(chars), np.int64)
     word_at[starts] = 1
     word_at = np.cumsum(word_at) - 1
-    inside = word_at >= 0
-    mine = np.where(inside, word_at, 0)
-    passage_at = np.where(inside & (word_text[mine] == text_of), word_passage[mine], first[text_of])
-    length = np.bincount(passage_at, minlength=n).astype(np.float64)
+    mine = np.maximum(word_at, 0)
+    inside = (word_at >= 0) & (word_text[mine] == text_of)
+    passage_at = word_passage[mine]
+    length = np.bincount(passage_at[inside], minlength=n).astype(np.float64)
     safe = np.maximum(length, 1)[:, None]
-    shares = np.bincount(passage_at * _CLASSES + kinds, minlength=n * _CLASSES).reshape(n, _CLASSES)
+    shares = np.bincount((passage_at * _CLASSES + kinds)[inside], minlength=n * _CLASSES).reshape(n, _CLASSES)
     out[:, :_CLASSES] = shares / safe
     pair = (kinds[:-1] * 131 + kinds[1:] * 31 + (chars[:-1] & 31) * 7 + (chars[1:] & 31)) % _PAIRS
-    within = text_of[:-1] == text_of[1:]
+    within = inside[:-1] & (text_of[:-1] == text_of[1:])
     pairs = np.bincount((passage_at[:-1] * _PAIRS + pair)[within], minlength=n * _PAIRS).reshape(n, _PAIRS)
     out[:, _CLASSES : _CLASSES + _PAIRS] = pairs / safe
     # Words: a hash per word from its characters and their places.
@@ -104,7 +104,7 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     same = np.append(False, (words[1:] == words[:-1]) & (word_passage[1:] == word_passage[:-1]))
     order = np.lexsort((words, word_passage))
     again = (words[order][1:] == words[order][:-1]) & (word_passage[order][1:] == word_passage[order][:-1])
-    distinct = 1 - np.bincount(word_passage[order][1:], again, n) / per
+    distinct = (count - np.bincount(word_passage[order][1:], again, n)) / per
     mean = share(letters)
     spread = np.sqrt(np.maximum(share(letters * letters) - mean * mean, 0))
     at = out[:, _CLASSES + _PAIRS :]
