@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadwitness.llm import attention_mil, bestfit_packing, bpe_automaton, exact_dedup, naive_bayes, token_files
+from loadwitness.llm import (
+    attention_mil,
+    bestfit_packing,
+    bpe_automaton,
+    exact_dedup,
+    line_dedup,
+    naive_bayes,
+    token_files,
+)
 from loadwitness.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -40,6 +48,35 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit_packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), capacity=2048, end_id=0)
 
 
+@query(
+    "op3_line_dedup",
+    """
+    WITH l AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+            unnest(range(len(string_split(text, chr(10))))) AS pos
+        FROM documents
+    ), t AS (
+        SELECT *, lead(line, 1) OVER w AS second, lead(line, 2) OVER w AS third
+        FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+    ), o AS (
+        SELECT doc_id, pos, row_number() OVER (PARTITION BY line, second, third ORDER BY doc_id, pos) AS nth
+        FROM t WHERE third IS NOT NULL AND line || second || third <> ''
+    ), c AS (
+        SELECT DISTINCT doc_id, pos + k AS pos FROM o CROSS JOIN (VALUES (0), (1), (2)) AS s(k) WHERE nth > 1
+    ), k AS (
+        SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM l ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id
+    ), r AS (
+        SELECT doc_id, count(*)::INT AS lines_removed FROM c GROUP BY doc_id
+    )
+    SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+        coalesce(r.lines_removed, 0) AS lines_removed
+    FROM documents d LEFT JOIN k USING (doc_id) LEFT JOIN r USING (doc_id)
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op4_bpe_automaton")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_file())
