@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadwitness.llm.common import stored
+from loadwitness.operators.skew import salted_join
 
 # Fingerprints that one segment holds on average, and the least number of segments (as bits).
 SEGMENT_ROWS, LEAST_BITS = 1 << 17, 4
@@ -179,7 +180,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     equal = ["fingerprint", "bytes", "text_sha256"]
     first = F.struct(-F.col("points"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     groups = (
-        narrow.join(repeated.select("fingerprint"), "fingerprint", "left_semi")
+        salted_join(narrow, repeated.select("fingerprint"), ["fingerprint"], ["row"], "left_semi")
         .groupBy(*equal)
         .agg(F.count("*").alias("n"), F.min(first).alias("first"))
         .where("n > 1")

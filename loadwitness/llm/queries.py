@@ -9,6 +9,7 @@ from loadwitness.llm import (
     bestfit_packing,
     bpe_automaton,
     exact_dedup,
+    jaccard_join,
     line_dedup,
     naive_bayes,
     token_files,
@@ -82,6 +83,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+@query("op6_jaccard_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "class_size", "component_size")
+
+
 @query("op8_attention_mil")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
