@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +46,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Tasks' vectors of counts are cut into blocks, and those summed in two steps, so that no task meets all of a block's.
+BLOCKS, GROUPS = 16, 64
+VECTOR = "block int, part int, counts binary"
+
+
+def vector_blocks(counts: np.ndarray, part: int) -> list[tuple[int, int, bytes]]:
+    """Rows (block, part, counts) of one task's vector; its length is a multiple of ``BLOCKS``."""
+    return [(i, part % GROUPS, block.tobytes()) for i, block in enumerate(counts.astype("<i8").reshape(BLOCKS, -1))]
+
+
+def summed_vectors(rows: DataFrame, keys: str = "") -> DataFrame:
+    """Blocks (``VECTOR`` columns, and those that ``keys`` declares) summed over all tasks."""
+    names = [k.split()[0] for k in keys.split(", ") if k]
+    schema = f"{keys}, {VECTOR}" if keys else VECTOR
+
+    def add(group):
+        import pyarrow as pa
+
+        counts = sum(np.frombuffer(x, "<i8") for x in group.column("counts").to_pylist())
+        return group.slice(0, 1).drop_columns(["counts"]).append_column("counts", pa.array([counts.tobytes()], pa.binary()))
+
+    rows = rows.select(*names, "block", "part", "counts")
+    within = rows.groupBy(*names, "block", "part").applyInArrow(add, schema)
+    return within.groupBy(*names, "block").applyInArrow(add, schema)
+
+
 def chunks_of(text: str) -> list[str]:
     """The text between white space."""
     if _SEPARATORS.search(text):

@@ -5,12 +5,15 @@ Two different sets of Jaccard similarity ``t`` or more differ in at most ``(1-t)
 * Light sets are small: of a prefix (the ``n - ceil(t n) + SUBSET`` smallest hashes) all subsets of ``SUBSET`` shingles are
   enumerated; linked light sets share one, as at least ``SUBSET`` common shingles lie in both prefixes.
 * Heavy sets are found in inverted lists. A list of every single shingle would bring together all texts that share a
-  common phrase, so shingles are dealt into so many parts that linked sets agree on one whole part, and the lists are
-  those of the parts' contents. Sizes fall into classes of ratio ``1/t``; a set enters the lists of its class and the next.
+  common phrase, so shingles are dealt into so many parts that linked sets agree on ``spare + 1`` whole parts, and the
+  lists are those of the parts' contents. A set enters the lists of all parts but its ``spare`` weakest, those with the
+  fewest rare shingles: of the parts that two linked sets agree on, neither leaves out the strongest. Sizes fall into
+  classes of ratio ``1/t``; a set enters the lists of its class and the next.
 * The boundary is where the lists become cheaper than the subsets (``boundary``). Sets so large that they may be linked to a
   heavy one are entered in the lists as well.
 
-Equal sets are one class from the start. Sets that share a list or subset are chained to the first of them, never paired
+Which shingles are common is told by a table of counts of fixed size that covers all texts; it only orders shingles, so
+its errors cost time but no link. Equal sets are one class from the start. Sets that share a list or subset are chained to the first of them, never paired
 with each other, which gives clusters that hold whole components and little more. In a cluster the sets are compared
 exactly, again by inverted lists; a set is not compared with others that are already known to be connected. A cluster too
 large for one task is compared block by block, every block with every other.
@@ -25,8 +28,10 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from loadwitness.llm.common import stored
+from loadwitness.llm.common import VECTOR, stored, summed_vectors, vector_blocks
 from loadwitness.llm.graph import components
 from loadwitness.llm.shingles import U, mixed, shingle_sets, slices
 
@@ -35,6 +40,8 @@ SUBSET = 3
 BLOCK_SETS, BLOCK_SHINGLES = 1500, 3_000_000
 # Keys gathered in a task before those of one key are chained.
 HELD_KEYS = 1_500_000
+# Places of the table of counts (as bits).
+TABLE_BITS = 16
 
 _LIGHT, _HEAVY = U(0x2127599BF4325C37), U(0x880355F21E6D1965)
 
@@ -63,10 +70,9 @@ class Threshold:
             number, low = number + 1, high + 1
 
     def parts(self, high: int) -> tuple[int, int]:
-        """Parts for sets of at most ``high`` shingles, and how many weak parts (of at most one shingle) a set may have
-        without entering the lists of those too."""
+        """Parts for sets of at most ``high`` shingles, and how many of them a set may leave out."""
         differing = (100 - self.percent) * 2 * high // (100 + self.percent)
-        spare = 2 + differing // 10
+        spare = 2 + differing // 3
         return differing + 1 + spare, spare
 
     def boundary(self) -> int:
@@ -78,16 +84,16 @@ class Threshold:
 
     def _lists(self, n: int) -> int:
         _, high = self.size_class(n)
-        return self.parts(high)[0] + self.parts(self.size_class(high + 1)[1])[0]
+        return sum(p - spare for p, spare in (self.parts(high), self.parts(self.size_class(high + 1)[1])))
 
-    def keys(self, shingles: np.ndarray, classes: dict) -> np.ndarray:
-        """Hashes of the subsets and lists that a set (sorted, distinct) enters."""
+    def keys(self, shingles: np.ndarray, common: np.ndarray, classes: dict) -> np.ndarray:
+        """Hashes of the subsets and lists that a set (sorted, distinct) enters. ``common``: which of them are common."""
         n = len(shingles)
         if n < self.least:
             return np.array([], U)
         out = []
         if n <= self.limit:
-            prefix = shingles[: self.missing(n) + SUBSET].tolist()
+            prefix = shingles[np.argsort(common, kind="stable")][: self.missing(n) + SUBSET].tolist()
             some = np.array(list(combinations(prefix, SUBSET)), U)
             total = _LIGHT
             for i in range(SUBSET):
@@ -101,52 +107,72 @@ class Threshold:
             place = shingles >> U(20)
             for number, parts, spare in classes[n]:
                 part = (place % U(parts)).astype(np.int64)
-                held = np.bincount(part, minlength=parts)
                 total = np.zeros(parts, U)
                 np.add.at(total, part, content)
-                key = mixed(total ^ mixed(np.arange(parts, dtype=U) + U(number << 32) + _HEAVY))
-                weak = held <= 1
-                out.append(key if weak.sum() > spare else key[~weak])
+                rare = np.bincount(part, ~common, parts)
+                held = np.bincount(part, minlength=parts)
+                strong = np.lexsort((np.arange(parts), total, held, rare))[spare:]
+                out.append(mixed(total ^ mixed(np.arange(parts, dtype=U) + U(number << 32) + _HEAVY))[strong])
         return np.concatenate(out)
 
 
+def common_above(counts: np.ndarray) -> float:
+    """The count from which a shingle is common: more than chance puts into one place of the table."""
+    mean = counts.mean()
+    return float(mean + 4 * np.sqrt(mean) + 1)
+
+
 def signature(shingles: np.ndarray) -> tuple[int, int]:
     digest = xxhash.xxh3_128_digest(shingles.tobytes())
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
 def _set_rows(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id``, ``version`` (hash of the text), ``n``, ``h1``, ``h2`` (128-bit hash of the set) of every row."""
+    """Rows of two kinds from one pass over the texts: ``doc_id``, ``version`` (hash of the text), ``n``, ``h1``, ``h2``
+    (128-bit hash of the set) of every row; and blocks of the table of counts, which have a ``block``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, version bigint, n bigint, h1 bigint, h2 bigint, {VECTOR}"
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
+        counts, seen = np.zeros(1 << TABLE_BITS, np.int64), set()
         for batch in slices(batches, 1):
             sets = shingle_sets(batch.column(1), words)
             marks = [signature(s) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.column(0).flatten(),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([m[0] for m in marks], pa.int64()),
-                    pa.array([m[1] for m in marks], pa.int64()),
-                ],
-                names=["doc_id", "version", "n", "h1", "h2"],
-            )
+            fresh = [s for s, m in zip(sets, marks, strict=True) if m not in seen]
+            seen.update(marks)
+            if fresh:
+                counts += np.bincount(table_place(np.concatenate(fresh)), minlength=len(counts))
+            ids = batch.column(0).flatten()
+            numbers = [pa.array([len(s) for s in sets], pa.int64())]
+            numbers += [pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1)]
+            rest = [pa.nulls(len(sets), f.type) for f in list(kinds)[5:]]
+            yield pa.RecordBatch.from_arrays([*ids, *numbers, *rest], names=kinds.names)
+        if seen:
+            rows = vector_blocks(counts, TaskContext.get().partitionId())
+            blank = [pa.nulls(len(rows), f.type) for f in list(kinds)[:5]]
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(kinds)[5:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*blank, *columns], names=kinds.names)
+
+    return docs.select(F.struct("doc_id", "version").alias("ids"), "text").mapInArrow(run, schema)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(F.struct("doc_id", "version").alias("ids"), "text").mapInArrow(
-        run, f"doc_id {kind}, version bigint, n bigint, h1 bigint, h2 bigint"
-    )
 
+def table_place(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> U(64 - TABLE_BITS)).astype(np.int64)
 
-def _key_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+
+def _key_rows(docs: DataFrame, words: int, percent: int, counts: np.ndarray) -> DataFrame:
     """``key``, ``node`` (first half of a set's hash): sets that share a key may be linked.
 
     Within a task a key is handed on once, for the first set that has it; the others are chained to that one by keys of
     their own. So a key that a large part of all sets share is one row per task.
     """
 
+    sent = docs.sparkSession.sparkContext.broadcast(counts > common_above(counts))
+
     def run(batches):
         import pyarrow as pa
 
@@ -174,7 +200,7 @@ def _key_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 if mark in seen:
                     continue
                 seen.add(mark)
-                made = threshold.keys(shingles, classes)
+                made = threshold.keys(shingles, sent.value[table_place(shingles)], classes)
                 if len(made):
                     keys.append(made)
                     nodes.append(np.full(len(made), mark[0], np.int64))
@@ -292,14 +318,17 @@ def jaccard_join(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn(
         "version", F.xxhash64("text")
     )
-    sets = stored(_set_rows(rows, words), "shingle-sets")
+    made = stored(_set_rows(rows, words), "shingle-sets")
+    sets = made.where("block IS NULL").select("doc_id", "version", "n", "h1", "h2")
+    found = summed_vectors(made.where("block IS NOT NULL")).orderBy("block").collect()  # a table of fixed size
+    counts = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in found]) if found else np.zeros(1 << TABLE_BITS)
     mark = ["h1", "h2"]
     of_class = [F.min("doc_id").alias("least"), F.count("*").alias("class_size"), F.first("n").alias("n")]
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("one")
     classes = stored(sets.where("n > 0").groupBy(*mark).agg(*of_class, one), "shingle-classes")
 
     first = F.first("node").over(Window.partitionBy("key").orderBy("node"))
-    chains = _key_rows(rows, words, percent).select(first.alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    chains = _key_rows(rows, words, percent, counts).select(first.alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
     clusters = components(chains)
     members = classes.join(clusters.withColumnRenamed("node", "h1"), "h1")
     sizes = members.groupBy("root").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")

@@ -15,10 +15,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadwitness.llm.common import in_slices
+from loadwitness.llm.common import BLOCKS, VECTOR, in_slices, summed_vectors, vector_blocks
 
 BUCKET_BITS, ORDERS, SMOOTHING = 16, (1, 2, 3), 0.5
-BLOCKS, GROUPS = 16, 64
 UNDETERMINED = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -69,14 +68,13 @@ def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learn from every row that is not held out and has both a text and a language. Without any, no language is known."""
-    size, block = 1 << BUCKET_BITS, (1 << BUCKET_BITS) // BLOCKS
-    schema = "lang string, block int, part int, docs bigint, counts binary"
+    size = 1 << BUCKET_BITS
 
     def count(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId() % GROUPS
+        part = TaskContext.get().partitionId()
         totals: dict[str, np.ndarray] = {}
         docs_of: dict[str, int] = {}
         for langs, texts in in_slices(batches):
@@ -89,35 +87,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 totals[name] = totals.get(name, 0) + counts[i]
                 docs_of[name] = docs_of.get(name, 0) + int((code == i).sum())
         for name, counts in totals.items():
-            rows = [
-                (name, b, part, docs_of[name], counts[b * block : (b + 1) * block].astype("<i8").tobytes())
-                for b in range(BLOCKS)
-            ]
-            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            # The number of texts goes along behind the counts.
+            vector = np.append(counts, np.zeros(BLOCKS, np.int64))
+            vector[size] = docs_of[name]
+            rows = [(name, *row) for row in vector_blocks(vector, part)]
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary())
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "block", "part", "docs", "counts"])
-
-    def add(group):
-        import pyarrow as pa
-
-        counts = sum(np.frombuffer(x, "<i8") for x in group.column("counts").to_pylist())
-        total = sum(group.column("docs").to_pylist())
-        head = group.select(["lang", "block", "part"]).slice(0, 1)
-        return head.append_column("docs", pa.array([total], pa.int64())).append_column(
-            "counts", pa.array([counts.astype("<i8").tobytes()], pa.binary())
-        )
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "block", "part", "counts"])
 
     rows = docs.where(~held_out(id_col)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    parts = rows.where("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(count, schema)
-    summed = parts.groupBy("lang", "block", "part").applyInArrow(add, schema)
+    parts = rows.where("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(count, f"lang string, {VECTOR}")
     # The model: languages x buckets counts.
-    found = summed.groupBy("lang", "block").applyInArrow(add, schema).orderBy("lang", "block").collect()
+    found = summed_vectors(parts, "lang string").orderBy("lang", "block").collect()
     languages = sorted({r["lang"] for r in found})
-    counts = np.array(
+    vectors = np.array(
         [np.concatenate([np.frombuffer(r["counts"], "<i8") for r in found if r["lang"] == x]) for x in languages],
         np.float64,
-    ).reshape(-1, size)
-    n = np.array([next(r["docs"] for r in found if r["lang"] == x) for x in languages], np.float64)
+    ).reshape(-1, size + BLOCKS)
+    counts, n = vectors[:, :size], vectors[:, size]
     weights = np.log(counts + SMOOTHING) - np.log(counts.sum(axis=1, keepdims=True) + SMOOTHING * size)
     return LanguageModel(languages, np.log(n / n.sum()) if len(n) else n, weights.T.astype(np.float32).copy())
 
