@@ -98,3 +98,18 @@ def _lengths(texts) -> list:
     import pyarrow.compute as pc
 
     return pc.binary_length(texts).to_pylist()
+
+
+def filter_by_text(docs: DataFrame, text_col: str, keep: Callable[[list], np.ndarray]) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose text ``keep`` marks; it gets lists of texts, nulls among them."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            marks = [keep(texts) for _, texts in in_slices([batch.select([at, at])])]
+            if marks:
+                yield batch.filter(pa.array(np.concatenate(marks)))
+
+    return docs.mapInArrow(run, docs.schema)

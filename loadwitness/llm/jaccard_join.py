@@ -308,10 +308,11 @@ def jaccard_join(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id``, ``version`` (hash of the text), ``n_shingles``, ``component_id``, ``class_size`` (rows of an equal set),
-    ``component_size`` of every row.
+    ``component_size``, ``kept`` of every row.
 
     ``component_id`` is the smallest id that links lead to. A null, empty or blank text has no shingles and is linked with
-    nothing: its component is its own id. Rows that repeat an id or a text are rows of their own, in one class if their
+    nothing: its component is its own id. ``kept`` marks the row of each component that has the smallest id, then the
+    smallest version, and every row without shingles; rows that repeat id and text share the mark. Rows that repeat an id or a text are rows of their own, in one class if their
     sets are equal. Null ids are never the smallest; a component of null ids only has a null id. An empty table gives an
     empty result; other columns are not read.
     """
@@ -358,8 +359,12 @@ def jaccard_join(
     labelled = classes.join(
         roots.select(F.col("node.a1").alias("h1"), F.col("node.a2").alias("h2"), "root"), mark, "left"
     ).withColumn("root", F.coalesce("root", F.struct(F.col("h1").alias("a1"), F.col("h2").alias("a2"))))
-    named = labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("class_size").alias("component_size"))
-    labels = labelled.join(named, "root").select(*mark, "component_id", "class_size", "component_size")
+    named = labelled.groupBy("root").agg(
+        F.min("least").alias("component_id"),
+        F.sum("class_size").alias("component_size"),
+        F.min("one").alias("first"),
+    )
+    labels = labelled.join(named, "root").select(*mark, "component_id", "class_size", "component_size", "first")
     alone = F.col("n") == 0
     one_row = F.lit(1).cast("bigint")
     return sets.join(labels, mark, "left").select(
@@ -369,4 +374,7 @@ def jaccard_join(
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, one_row).otherwise(F.col("class_size")).alias("class_size"),
         F.when(alone, one_row).otherwise(F.col("component_size")).alias("component_size"),
+        (alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("version") == F.col("first.version")))).alias(
+            "kept"
+        ),
     )
