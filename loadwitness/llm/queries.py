@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadwitness.llm import (
     attention_mil,
     bestfit_packing,
     bpe_automaton,
+    cross_polytope,
     exact_dedup,
     jaccard_join,
     line_dedup,
@@ -89,6 +91,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "class_size", "component_size")
 
 
+@query("op7_cross_polytope")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op8_attention_mil")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
