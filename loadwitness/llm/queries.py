@@ -12,6 +12,7 @@ from loadwitness.llm import (
     cross_polytope,
     exact_dedup,
     jaccard_join,
+    label_propagation,
     line_dedup,
     naive_bayes,
     token_files,
@@ -85,6 +86,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+@query("op5_label_propagation")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_propagation.shard_by_text(table(spark, sf_dir, "documents"), shards=8)
+
+
 @query("op6_jaccard_join")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), words=3, percent=90)
