@@ -13,19 +13,51 @@ position and follows the arc where the state allows it; exactly one token leads
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame
 
 from loadwitness.llm.common import WHITE, chunks_of, in_slices
 
 WORD_END = "</w>"
 
-# Fixed value: the pattern that splits words, as the tokenizer file states it, white space spelled out.
-WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+")
+# Letters and numbers (first, last) and lower-case forms (first, last, distance) of the Unicode versions that
+# the tokenizers library follows and Python's tables may not have yet.
+NEW_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEW_NUMBERS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA),
+]
+NEW_LOWER = [
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
+    (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20),
+    (0x16EA0, 0x16EB8, 0x1B),
+]
+_LOWER = {c: c + by for first, last, by in NEW_LOWER for c in range(first, last + 1)}
+
+
+@lru_cache(maxsize=1)
+def words_pattern() -> re.Pattern:
+    """The pattern that splits words, as the tokenizer file states it, with its classes spelled out."""
+
+    def inside(kind: str, new: list[tuple[int, int]]) -> str:
+        codes = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == kind]
+        codes = np.array(sorted({*codes, *(c for a, b in new for c in range(a, b + 1))}))
+        cut = np.flatnonzero(np.diff(codes) > 1)
+        pairs = zip(codes[np.append(0, cut + 1)], codes[np.append(cut, len(codes) - 1)], strict=True)
+        return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in pairs)
+
+    letters, numbers = inside("L", NEW_LETTERS), inside("N", NEW_NUMBERS)
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+")
+
 
 # A spelling is kept for the next texts up to this length; so many are kept at a time (a bound on memory, not on work).
 KEPT_LENGTH, KEPT = 64, 400_000
@@ -39,6 +71,14 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+def lowered(text: str) -> str:
+    """Lower case character by character; str.lower() would look at the neighbours of a capital sigma."""
+    if text.isascii():
+        return text.lower()
+    lower = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+    return lower.translate(_LOWER)
+
+
 class Automaton:
     """States as rows of bits (``rows``), the state each token leads to (``state``), spellings (``arcs``), labels."""
 
@@ -48,7 +88,7 @@ class Automaton:
         size = max(vocab.values()) + 1
         self.labels: dict[int, str] = {i: t for t, i in vocab.items()} | {i: t for t, i in added}
         self.added = dict(added)
-        self.added_pattern = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if added else None
+        self.added_pattern = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if added else None
 
         birth = np.full(size, -1, np.int64)
         left = np.full(size, -1, np.int64)
@@ -155,9 +195,7 @@ class Automaton:
             if part in self.added:
                 ids.append(self.added[part])
                 continue
-            plain = unicodedata.normalize("NFC", part)
-            lower = "".join(c.lower() for c in plain) if "Σ" in plain else plain.lower()
-            for word in WORDS.findall(lower):
+            for word in words_pattern().findall(lowered(unicodedata.normalize("NFC", part))):
                 ids.extend(self.encode_word(word.encode()))
         return ids
 
