@@ -48,6 +48,10 @@ class Tables:
         rng = np.random.default_rng(SEED)
         self.signs = rng.choice([-1.0, 1.0], (TABLES, depth, 3, self.width))
 
+    @property
+    def buckets_in_all(self) -> int:
+        return (2 * self.width) ** self.depth
+
     def _turned(self, x: np.ndarray, query: bool, table: int, round_: int) -> np.ndarray:
         lengths = np.linalg.norm(x, axis=1, keepdims=True)
         out = np.zeros((len(x), self.width))
@@ -90,8 +94,9 @@ def _matrix(column, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _bucket_rows(classes: DataFrame, tables: Tables, vectors: bool) -> DataFrame:
-    """``slot`` (table), ``bucket``, ``asks`` of every place that a class or a query of it takes; with the vectors or not."""
+def _bucket_rows(classes: DataFrame, tables: Tables, vectors: bool, everywhere: bool) -> DataFrame:
+    """``slot`` (table), ``bucket``, ``asks`` of every place that a class or a query of it takes; with the vectors or not.
+    ``everywhere``: queries look into all buckets of one table instead."""
     schema = "slot int, bucket bigint, asks boolean" + ", class bigint, least bigint, vector binary" * vectors
 
     def run(batches):
@@ -103,11 +108,13 @@ def _bucket_rows(classes: DataFrame, tables: Tables, vectors: bool) -> DataFrame
                 x = _matrix(batch.column("vector"), tables.dim)
                 asking = np.flatnonzero(np.asarray(batch.column("asks")))
                 raw = [v.tobytes() for v in x] if vectors else None
-                for table in range(TABLES):
+                for table in range(1 if everywhere else TABLES):
                     row, bucket = np.arange(len(x)), tables.buckets(x, table)
                     asks = np.zeros(len(row), bool)
                     if len(asking):
                         probed = tables.probes(x[asking], table)
+                        if everywhere:
+                            probed = np.tile(np.arange(tables.buckets_in_all), (len(asking), 1))
                         row = np.append(row, np.repeat(asking, probed.shape[1]))
                         bucket = np.append(bucket, probed.ravel())
                         asks = np.append(asks, np.ones(probed.size, bool))
@@ -163,6 +170,39 @@ def usable(vector: Column) -> Column:
     return F.coalesce(~bad & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+def _search(classes: DataFrame, tables: Tables, k: int, everywhere: bool) -> DataFrame:
+    """``q`` (class that asks), ``near``: up to ``k + 1`` pairs (negative score, id) in order, its own ids among them."""
+    counts = _bucket_rows(classes, tables, False, everywhere).groupBy("slot", "bucket").agg(
+        F.ceil(F.count_if("asks") / BLOCK).cast("int").alias("ask_blocks"),
+        F.ceil(F.count_if(~F.col("asks")) / BLOCK).cast("int").alias("blocks"),
+    ).where("ask_blocks > 0 AND blocks > 0")
+    own, asks = F.xxhash64("class", "slot"), F.col("asks")
+    others = F.when(asks, F.col("blocks")).otherwise(F.col("ask_blocks"))
+    dealt = (
+        _bucket_rows(classes, tables, True, everywhere).join(counts, ["slot", "bucket"])
+        .withColumn("mine", F.when(asks, F.pmod(own, "ask_blocks")).otherwise(F.pmod(own, "blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+        .select(
+            "slot", "bucket", F.when(asks, F.col("mine")).otherwise(F.col("other")).alias("ask_block"),
+            F.when(asks, F.col("other")).otherwise(F.col("mine")).alias("block"), "asks", "class", "least", "vector",
+        )
+    )
+    found = (
+        dealt.groupBy("slot", "bucket", "ask_block", "block")
+        .applyInArrow(_best_of_block(k + 1), "q bigint, c bigint, least bigint, score double")
+        .groupBy("q", "c", "least").agg(F.max("score").alias("score"))
+    )
+    # At most k + 1 candidates from each block that a query looked into.
+    near = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "least", "c")))
+    best = found.groupBy("q").agg(F.slice(near, 1, k + 1).alias("best"))
+    ids = classes.select(F.col("class").alias("c"), "ids")
+    return (
+        best.select("q", F.inline("best")).select("q", "far", "c").join(ids, "c")
+        .select("q", "far", F.explode("ids").alias("vec_id")).distinct()
+        .groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("near"))
+    )
+
+
 def nearest(
     vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -211,34 +251,16 @@ def nearest(
     same = shape["low"] >= shape["high"] * (1 - 1e-6)
     tables = Tables(dim, None if same else shape["high"], depth)
 
-    counts = _bucket_rows(classes, tables, vectors=False).groupBy("slot", "bucket").agg(
-        F.ceil(F.count_if("asks") / BLOCK).cast("int").alias("ask_blocks"),
-        F.ceil(F.count_if(~F.col("asks")) / BLOCK).cast("int").alias("blocks"),
-    ).where("ask_blocks > 0 AND blocks > 0")
-    own = F.xxhash64("class", "slot")
-    dealt = (
-        _bucket_rows(classes, tables, vectors=True).join(counts, ["slot", "bucket"])
-        .withColumn("mine", F.when(F.col("asks"), F.pmod(own, "ask_blocks")).otherwise(F.pmod(own, "blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("asks"), F.col("blocks")).otherwise(F.col("ask_blocks")) - 1)))
-        .select(
-            "slot", "bucket", F.when(F.col("asks"), F.col("mine")).otherwise(F.col("other")).alias("ask_block"),
-            F.when(F.col("asks"), F.col("other")).otherwise(F.col("mine")).alias("block"), "asks", "class", "least", "vector",
+    first = stored(_search(classes, tables, k, everywhere=False), "neighbours")
+    # Queries that found fewer than there are: compared with every class, in blocks.
+    enough = first.where(F.size("near") >= min(k + 1, n)).select(F.col("q").alias("class"))
+    short = classes.join(enough, "class", "left_anti").where("asks").select("class", F.lit(True).alias("short"))
+    listed = first
+    if not short.isEmpty():
+        marked = classes.join(short, "class", "left").withColumn("asks", F.coalesce("short", F.lit(False))).drop("short")
+        listed = first.join(short.select(F.col("class").alias("q")), "q", "left_anti").union(
+            _search(marked, tables, k, everywhere=True)
         )
-    )
-    found = (
-        dealt.groupBy("slot", "bucket", "ask_block", "block")
-        .applyInArrow(_best_of_block(k + 1), "q bigint, c bigint, least bigint, score double")
-        .groupBy("q", "c", "least").agg(F.max("score").alias("score"))
-    )
-    # At most k + 1 candidates from each block that a query looked into.
-    best = found.groupBy("q").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "least", "c"))), 1, k + 1).alias("best")
-    )
-    listed = (
-        best.select("q", F.inline("best")).select("q", "far", "c").join(classes.select(F.col("class").alias("c"), "ids"), "c")
-        .select("q", "far", F.explode("ids").alias("vec_id")).distinct()
-        .groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("near"))
-    )
     asked = hashed.where("asks").select(F.col("vec_id").alias("query_id"), *mark).distinct()
     each = asked.join(classes.select(*mark, F.col("class").alias("q")), mark).join(listed, "q")
     others = F.filter("near", lambda x: x["vec_id"] != F.col("query_id"))
