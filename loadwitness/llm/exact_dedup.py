@@ -131,8 +131,10 @@ def repeated_fingerprints(rows: DataFrame, column: str, segment_bits: int) -> Da
             values = np.concatenate([seen, fresh])
             seen, where = np.unique(values, return_inverse=True)
             held = np.bincount(where, np.concatenate([held, n]), len(seen)).astype(np.int64)
+        if not len(seen):
+            return
         segment = (seen >> np.uint64(bits)).astype(np.int64)
-        cuts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(seen) else []
+        cuts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
         low = np.uint64((1 << bits) - 1)
         for a, b in zip(cuts, [*cuts[1:], len(seen)], strict=True):
             made = CountingQuotientFilter.build(seen[a:b] & low, held[a:b], bits)
