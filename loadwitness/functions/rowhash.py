@@ -24,13 +24,30 @@ def canonical_text(c: Column, dtype: T.DataType, scale: int | None = None) -> Co
         return F.unix_micros(c).cast("string")
     if isinstance(dtype, T.BinaryType):
         return F.lower(F.hex(c))
-    if isinstance(dtype, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(c)), {"ignoreNullFields": "false"})
-    if isinstance(dtype, (T.StructType, T.ArrayType)):
-        return F.to_json(c, {"ignoreNullFields": "false"})
+    if isinstance(dtype, (T.MapType, T.StructType, T.ArrayType)):
+        return F.to_json(_inner(c, dtype), {"ignoreNullFields": "false"})
     return c.cast("string")
 
 
+def _inner(c: Column, dtype: T.DataType) -> Column:
+    """A nested value with its inner values as canonical text, so that JSON cannot round them; maps as sorted entries."""
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: _inner(x, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        parts = [_inner(c.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(c.isNotNull(), F.struct(*parts)) if parts else c
+    if isinstance(dtype, T.MapType):
+        return F.transform(
+            F.array_sort(F.map_entries(c)),
+            lambda e: F.struct(
+                _inner(e["key"], dtype.keyType).alias("key"), _inner(e["value"], dtype.valueType).alias("value")
+            ),
+        )
+    if isinstance(dtype, (T.DoubleType, T.FloatType, T.TimestampType, T.TimestampNTZType, T.BinaryType)):
+        return canonical_text(c, dtype)
+    return c
+
+
 def hashable(c: Column, dtype: T.DataType, scale: int | None = None) -> tuple[Column, Column | None]:
     """A value that Spark's own hash functions tell apart exactly where ``canonical_text`` does.
 

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwitness.operators.compare import compare, row_count
+from loadwitness.operators.compare import compare, converts, row_count
 
 RESULT_COLUMNS = ["validation_type", "column_name", "status", "metrics", "comment"]
 
@@ -17,6 +17,9 @@ RESULT_COLUMNS = ["validation_type", "column_name", "status", "metrics", "commen
 NOT_UNIQUE = "NOT_UNIQUE"
 NULLS_EXIST = "NULLs Exist"
 
+# Between the columns of a composite key: comments are cut at commas.
+KEY_SEPARATOR = " + "
+
 
 def _metrics(**values) -> F.Column:
     pairs = [part for name, value in values.items() for part in (F.lit(name), value.cast("bigint"))]
@@ -32,7 +35,7 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def duplicate_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: ``column_name, duplicate_groups, duplicate_rows``."""
     return duplicate_groups(df, cols).agg(
-        F.lit(", ".join(cols)).alias("column_name"),
+        F.lit(KEY_SEPARATOR.join(cols)).alias("column_name"),
         F.count("*").alias("duplicate_groups"),
         F.coalesce(F.sum("copies"), F.lit(0)).alias("duplicate_rows"),
     )
@@ -50,7 +53,7 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def schema_pairs(source: DataFrame, target: DataFrame, compat: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Columns of both sides by name (case does not count): types, position, whether they fit.
 
-    A source type fits an equal target type, or one that ``compat`` declares if every value converts. Values are read
+    A source type fits an equal target type, or one that ``compat`` declares if every value converts without loss. Values are read
     for declared pairs only, all in one pass; without such pairs no data is read.
     """
     compat = compat or {}
@@ -65,7 +68,8 @@ def schema_pairs(source: DataFrame, target: DataFrame, compat: Mapping[str, Sequ
         bad, fits = F.lit(0).cast("bigint"), F.lit(s_type == t_type)
         if s_type != t_type and t_type in compat.get(s_type, ()):
             raw = F.col(f"`{s.name}`")
-            probes.append(F.count_if(raw.isNotNull() & raw.try_cast(t.dataType).isNull()).alias(f"n{len(probes)}"))
+            fit = converts(raw, s.dataType, t.dataType)
+            probes.append(F.count_if(raw.isNotNull() & ~fit).alias(f"n{len(probes)}"))
             bad = F.col(f"n{len(probes) - 1}")
             fits = bad == 0
         rows.append(

@@ -13,8 +13,9 @@ from loadwitness.functions.comments import SOURCE_ONLY, TARGET_ONLY
 from loadwitness.functions.rowhash import canonical_text, field, hashable
 from loadwitness.scratch import materialise
 
-# A key takes about 100 bytes in a broadcast table, so this is about 100 MB.
-BROADCAST_ROWS = 1_000_000
+# Words of 64 bits in the table that tells which keys may differ. It is sent to all executors, so this bounds what is sent:
+# at most so many rows of two numbers, whatever the number of differing rows.
+TABLE_WORDS = 1 << 18
 
 # Names that no compared column should have.
 KEYS = ["_key_1", "_key_2"]
@@ -33,8 +34,26 @@ def shared_columns(source: DataFrame, target: DataFrame, cols: Sequence[str] | N
     return T.StructType([by_name[c.lower()] for c in cols])
 
 
+def converts(raw: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Whether a value that is not null keeps all it says in the target type: cast there and back it is the same.
+
+    Text is not compared as it is written (``1.50`` is 1.5), but by what it says: as an instant for dates, as a number
+    with 18 places for decimals. Values with inner types only have to convert.
+    """
+    cast = raw.try_cast(target)
+    same = F.lit(True)
+    if isinstance(source, T.StringType):
+        if isinstance(target, T.DateType):
+            same = raw.try_cast("timestamp_ntz") == cast.cast("timestamp_ntz")
+        elif isinstance(target, T.DecimalType):
+            same = raw.try_cast(T.DecimalType(38, 18)) == cast.try_cast(T.DecimalType(38, 18))
+    elif not isinstance(source, (T.ArrayType, T.MapType, T.StructType)):
+        same = cast.try_cast(source) == raw
+    return cast.isNotNull() & F.coalesce(same, F.lit(False))
+
+
 def _casts(df: DataFrame, fields: T.StructType) -> list[tuple[T.StructField, Column, Column | None]]:
-    """Each field's value in the target type, and the raw text of values that cannot be cast (None: no cast needed)."""
+    """Each field's value in the target type, and the raw text of values that lose something there (None: no cast needed)."""
     own = {f.name.lower(): f for f in df.schema.fields}
     out = []
     for f in fields.fields:
@@ -43,8 +62,8 @@ def _casts(df: DataFrame, fields: T.StructType) -> list[tuple[T.StructField, Col
         if mine.dataType == f.dataType:
             out.append((f, raw, None))
         else:
-            cast = raw.try_cast(f.dataType)
-            out.append((f, cast, F.when(raw.isNotNull() & cast.isNull(), raw.cast("string"))))
+            fits = converts(raw, mine.dataType, f.dataType)
+            out.append((f, F.when(fits, raw.try_cast(f.dataType)), F.when(raw.isNotNull() & ~fits, raw.cast("string"))))
     return out
 
 
@@ -111,12 +130,21 @@ def side_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _with_rows(rows: DataFrame, found: DataFrame, few: bool) -> DataFrame:
-    """One row behind each key in ``found``."""
-    if few:
-        return rows.join(F.broadcast(found), KEYS).dropDuplicates(KEYS)
-    # The copies of a row go before the join, and the join reuses the partitioning and the order that takes.
-    return rows.dropDuplicates(KEYS).join(found, KEYS)
+def _places(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_word", F.pmod(KEYS[0], F.lit(TABLE_WORDS))).withColumn(
+        "_bit", F.pmod(KEYS[1], F.lit(64)).cast("int")
+    )
+
+
+def _with_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """One row behind each key in ``found``.
+
+    Equal rows are left out where they are read, by a table of bits of fixed size; only what it lets through is
+    shuffled, one row per key and task. Full tables let equal rows through as well, which the join then leaves out.
+    """
+    words = _places(found).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    near = _places(rows).join(F.broadcast(words), "_word").where("shiftrightunsigned(_bits, _bit) & 1 = 1")
+    return near.drop("_word", "_bit", "_bits").dropDuplicates(KEYS).join(found, KEYS)
 
 
 def compare(
@@ -126,7 +154,6 @@ def compare(
     multiset: bool = False,
     scales: Mapping[str, int] | None = None,
     sides: Sequence[str] = (SOURCE_ONLY, TARGET_ONLY),
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows that one side holds and the other does not: ``side, row_hash, copies, data``.
 
@@ -134,8 +161,7 @@ def compare(
     both sides is reported too where the numbers of copies differ, on the side with more, ``copies`` being the surplus.
 
     Both sides are scanned twice. The first pass compares keys only and writes the differing ones down; the second
-    fetches their rows, with a broadcast of the keys when there are at most ``broadcast_rows`` of them, else by a
-    join on the key.
+    fetches their rows and drops the equal ones before anything else than keys is shuffled.
     """
     fields = shared_columns(source, target, cols)
     if not fields.fields:
@@ -153,11 +179,10 @@ def compare(
         )
         .filter(F.col("_side").isin(*sides))
     )
-    few = found.count() <= broadcast_rows
     pairs = [part for f in fields.fields for part in (F.lit(f.name), F.col(f"`{f.name}`"))]
 
     def one_side(side: str) -> DataFrame:
-        rows = _with_rows(keyed[side], found.filter(F.col("_side") == side).drop("_side"), few)
+        rows = _with_rows(keyed[side], found.filter(F.col("_side") == side).drop("_side"))
         return canonical_rows(rows, fields, scales, keep=["_copies"]).select(
             F.lit(side).alias("side"),
             F.col(HASH).alias("row_hash"),

@@ -52,7 +52,7 @@ def with_workspace(runs: DataFrame, workspaces: DataFrame, base_url: str) -> Dat
         F.min("workspace_id").alias("workspace_id")
     )
     return (
-        salted_join(runs, own, ["pipeline_id"], ["batch_id"], "left")
+        salted_join(runs, own, ["pipeline_id"], runs.columns, "left")
         .withColumn("pipeline_url", workspace_url(base_url, F.col("workspace_id"), F.col("pipeline_id")))
         .withColumn("workspace_id", F.coalesce(F.col("workspace_id").cast("string"), F.lit("N/A")))
     )
@@ -82,7 +82,7 @@ def object_names(workspaces: DataFrame) -> DataFrame:
 
 def with_object_names(runs: DataFrame, workspaces: DataFrame) -> DataFrame:
     """Runs with the names of their objects, ``N/A`` for null, empty or unknown ones."""
-    named = salted_join(runs, object_names(workspaces), ["pipeline_id"], ["batch_id"], "left")
+    named = salted_join(runs, object_names(workspaces), ["pipeline_id"], runs.columns, "left")
     return named.withColumn("source_obj_name", or_na(F.col("source_obj_name"))).withColumn(
         "target_obj_name", or_na(F.col("target_obj_name"))
     )

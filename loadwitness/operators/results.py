@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loadwitness.functions import comments as C
 from loadwitness.operators.skew import salted_join
 
+# Batches with at most so many comments are marked as listed inline; nothing is left out beyond.
 INLINE_LIMIT = 10
 
 RULES = ("r1", "r2", "r3")
@@ -44,24 +45,21 @@ def discrepancy_counts(found: DataFrame, by: Sequence[str] = ("batch_id",)) -> D
     )
 
 
-def preview(found: DataFrame, n: int = INLINE_LIMIT, by: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """The comments of batches that have at most ``n``; those with more are only counted and exported.
+def with_totals(found: DataFrame, n: int = INLINE_LIMIT, by: Sequence[str] = ("batch_id",)) -> DataFrame:
+    """All comments with the ``total`` of their batch, and whether it is small enough to be listed ``inline``."""
+    totals = found.groupBy(*by).agg(F.count("*").alias("total"))
+    return salted_join(found, totals, list(by), ["seq"]).withColumn("inline", F.col("total") <= n)
 
-    Each batch is first cut to ``n + 1`` rows, before the shuffle; the count then runs over those few.
-    """
-    order = Window.partitionBy(*by).orderBy("seq")
-    return (
-        found.withColumn("line_no", F.row_number().over(order))
-        .filter(F.col("line_no") <= n + 1)
-        .withColumn("total", F.count("*").over(Window.partitionBy(*by)))
-        .filter(F.col("total") <= n)
-    )
 
+def preview(found: DataFrame, n: int = INLINE_LIMIT, by: Sequence[str] = ("batch_id",)) -> DataFrame:
+    """``with_totals``, and the ``line_no`` of comments that are listed inline (null for the others, which have ``seq``).
 
-def detailed(found: DataFrame, n: int = INLINE_LIMIT, by: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """All comments of the batches that have more than ``n``."""
-    many = found.groupBy(*by).agg(F.count("*").alias("total")).filter(F.col("total") > n)
-    return salted_join(found, many, list(by), ["seq"])
+    Batches beyond ``n`` are spread over tasks, as their rows need no number.
+    """
+    salt = F.when(~F.col("inline"), F.pmod(F.xxhash64("seq"), F.lit(64)))
+    counted = with_totals(found, n, by).withColumn("_spread", salt)
+    order = Window.partitionBy(*by, "_spread").orderBy("seq")
+    return counted.withColumn("line_no", F.when(F.col("inline"), F.row_number().over(order))).drop("_spread")
 
 
 def last_schemas_comment(results: DataFrame) -> DataFrame:
@@ -94,8 +92,8 @@ def nulls_exist(comment: Column, rules: str) -> Column:
     return found | low.contains("fail") if rules == "r1" else found
 
 
-def step_facts(results: DataFrame) -> DataFrame:
-    """One row per batch with all that the verdicts ask of its comments, under every rule set, from one pass.
+def step_facts(results: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
+    """One row per batch (or other keys) with all that the verdicts ask of its comments, under every rule set, from one pass.
 
     Every fact is a number or a flag, so the aggregate works on hashed fixed-size buffers with partial results, and
     no comment is shuffled. Patterns are tried on comments of their own type only.
@@ -109,7 +107,7 @@ def step_facts(results: DataFrame) -> DataFrame:
         return F.coalesce(F.bool_or((kind == t) & condition), F.lit(False))
 
     side = C.side(c)
-    return results.groupBy("batch_id").agg(
+    return results.groupBy(*by).agg(
         count("ingestion").alias("ingestion_comments"),
         count("schema").alias("schema_mismatches"),
         F.max_by(F.when(kind == "schemas", schema_missing(c)), F.when(kind == "schemas", seq)).alias("last_schemas_missing"),
@@ -151,7 +149,7 @@ def report_lines(results: DataFrame, rules: str = "r3") -> DataFrame:
     """One line per comment that a report quotes one by one: schema mismatches, uniqueness, not-null.
 
     They stay rows, in the order of ``seq``, however many a batch has. The older rule sets also list the data
-    comments of batches that have few.
+    comments; ``inline`` marks those of batches that have few.
     """
     kind, c = F.col("validation_type"), F.col("comment")
     by_blank, by_comma = C.pairs_text(C.format_pairs(c, ", ")), C.pairs_text(C.format_pairs(c, ","))
@@ -163,17 +161,23 @@ def report_lines(results: DataFrame, rules: str = "r3") -> DataFrame:
     # The second rule set does not quote not-null comments.
     quoted = ("schema", "uniqueness") if rules == "r2" else ("schema", "uniqueness", "not_null")
     lines = of_type(results, *quoted).select(
-        "batch_id", "validation_type", F.lit(None).cast("string").alias("heading"), "seq", text.alias("line")
+        "batch_id",
+        "validation_type",
+        F.lit(None).cast("string").alias("heading"),
+        "seq",
+        text.alias("line"),
+        F.lit(True).alias("inline"),
     )
     if rules == "r3":
         return lines
-    few = readable(preview(discrepancies(results)).filter(F.col("side") != "other"))
+    listed = readable(with_totals(discrepancies(results)).filter(F.col("side") != "other"))
     return lines.unionByName(
-        few.select(
+        listed.select(
             "batch_id",
             F.lit("data").alias("validation_type"),
             F.concat("side", F.lit(":")).alias("heading"),
             "seq",
             F.col("text").alias("line"),
+            "inline",
         )
     )

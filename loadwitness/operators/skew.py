@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +26,15 @@ def salted_join(
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def join_nulls_apart(left: DataFrame, right: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
+    """Left join on ``on``. Rows of ``left`` with a null there match nothing; they are spread by a hash of ``spread``
+    instead of meeting in one task."""
+    absent = reduce(or_, [F.col(c).isNull() for c in on])
+    marked = left.withColumn("_apart", F.when(absent, F.xxhash64(*spread)))
+    renamed = right.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in right.columns]).withColumn(
+        "_never", F.lit(None).cast("bigint")
+    )
+    same = reduce(and_, [F.col(c) == F.col(f"_on_{c}") for c in on]) & F.col("_apart").eqNullSafe(F.col("_never"))
+    return marked.join(renamed, same, "left").drop("_apart", "_never", *[f"_on_{c}" for c in on])

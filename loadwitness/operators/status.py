@@ -85,7 +85,8 @@ def node_status(runs: DataFrame, objects: DataFrame, status: DataFrame, flow: Da
         "object_id",
         json_path_text(F.col("object_info"), "config", "nodeName").alias("node_name"),
     )
-    per_run = salted_join(nodes, coded, ["pipeline_id"], ["object_id"])
+    # A pipeline has few nodes and ever more runs, so the runs are spread and the nodes copied.
+    per_run = salted_join(coded, nodes, ["pipeline_id"], ["batch_id"])
     ran = status.select(
         F.col("node_id").alias("object_id"),
         F.col("data_movement_id").alias("pipeline_id"),

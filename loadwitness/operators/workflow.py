@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadwitness.functions.jsonpath import workflow_nodes_array
-from loadwitness.operators.skew import salted_join
+from loadwitness.operators.skew import join_nulls_apart, salted_join
 
 # Names of nodes with a part of their own.
 INGESTION_NODE = "Ingestion pipeline"
@@ -44,7 +44,8 @@ def resolve_run(node_runs: DataFrame, node_batches: DataFrame) -> DataFrame:
 def _attach_status(nodes: DataFrame, node_runs: DataFrame) -> DataFrame:
     """Left join to node runs on node and batch, so nodes that never ran stay with null status."""
     ran = node_runs.select(F.col("node_id").alias("node_key"), "batch_id", "node_batch_id", "status")
-    return nodes.withColumn("node_key", F.col("node_id").try_cast("bigint")).join(ran, ["node_key", "batch_id"], "left").drop("node_key")
+    keyed = nodes.withColumn("node_key", F.col("node_id").try_cast("bigint"))
+    return join_nulls_apart(keyed, ran, ["node_key", "batch_id"], ["workflow_orch_id", "pos"]).drop("node_key")
 
 
 def workflow_nodes(runs: DataFrame, workflows: DataFrame, node_runs: DataFrame) -> DataFrame:

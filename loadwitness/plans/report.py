@@ -9,12 +9,11 @@ from loadwitness.functions.comments import SOURCE_ONLY, TARGET_ONLY
 from loadwitness.functions.scalars import format_ts, numbered, report_name, status_class
 from loadwitness.operators.lookups import execution_meta, with_object_names, with_workspace
 from loadwitness.operators.results import (
-    INLINE_LIMIT,
-    detailed,
     discrepancies,
     readable,
     report_lines,
     step_texts,
+    with_totals,
 )
 from loadwitness.operators.skew import salted_join
 from loadwitness.operators.status import node_execution, order_by_start
@@ -57,8 +56,6 @@ def _actual(rules: str) -> Column:
 
     always = F.lit(True)
     some_data = F.col("data_comments") > 0
-    # The newest rule set always counts and exports; the others list up to ten comments and count only beyond.
-    summed = some_data if rules == "r3" else F.col("data_comments") > INLINE_LIMIT
     where = {
         "r1": F.lit("See 'Detailed Data Validation Logs' below for full list."),
         "r2": F.format_string("Full list in: data_validation_discrepancies_%s_%s.csv", "pipeline_id", "batch_id"),
@@ -87,10 +84,10 @@ def _actual(rules: str) -> Column:
             3: _lines(
                 head,
                 refused,
-                shown(summed, quoted("Total discrepancies: ", "data_comments")),
-                shown(summed & (F.col("source_only") > 0), quoted("- Present only in Source: ", "source_only")),
-                shown(summed & (F.col("target_only") > 0), quoted("- Present only in Destination: ", "target_only")),
-                shown(summed, where),
+                shown(some_data, quoted("Total discrepancies: ", "data_comments")),
+                shown(some_data & (F.col("source_only") > 0), quoted("- Present only in Source: ", "source_only")),
+                shown(some_data & (F.col("target_only") > 0), quoted("- Present only in Destination: ", "target_only")),
+                shown(some_data, where),
                 shown(~some_data, none),
             ),
             4: _lines(
@@ -140,7 +137,7 @@ def quoted_lines(runs: DataFrame, results: DataFrame, wide_status: DataFrame, ru
         steps = steps.filter(F.col("execution_status") == "Success")
     open_steps = steps.select("pipeline_id", "batch_id", "step_id", "validation_type")
     return salted_join(report_lines(results, rules), open_steps, ["batch_id", "validation_type"], ["seq"]).select(
-        "pipeline_id", "batch_id", "step_id", "heading", "seq", "line"
+        "pipeline_id", "batch_id", "step_id", "heading", "seq", "line", "inline"
     )
 
 
@@ -248,12 +245,12 @@ def manifest(runs: DataFrame, results: DataFrame, wide_status: DataFrame) -> Dat
 
 
 def detailed_log(results: DataFrame) -> DataFrame:
-    """Discrepancies of batches with more than ten comments, with the heading of their side."""
+    """All discrepancies with the heading of their side; ``inline`` marks those of batches that have few."""
     heading = F.when(F.col("side") == SOURCE_ONLY, "Present only in Source:").when(
         F.col("side") == TARGET_ONLY, "Present only in Destination:"
     )
-    rows = detailed(discrepancies(results)).withColumn("heading", heading)
-    return readable(rows.filter(F.col("heading").isNotNull())).select("batch_id", "heading", "seq", "text")
+    rows = with_totals(discrepancies(results)).withColumn("heading", heading)
+    return readable(rows.filter(F.col("heading").isNotNull())).select("batch_id", "heading", "seq", "text", "inline")
 
 
 def node_definitions(execution: DataFrame) -> DataFrame:

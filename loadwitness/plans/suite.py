@@ -6,7 +6,8 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,14 +21,23 @@ from loadwitness.operators.checks import (
 )
 from loadwitness.operators.status import KEYWORDS
 from loadwitness.plans.verdict import verdicts
+from loadwitness.scratch import fresh_path
 from loadwitness.sources.objects import load_source, load_target
 from loadwitness.sources.specs import MappingSpec
 
 Loader = Callable[[SparkSession, MappingSpec], DataFrame]
 
+RESULT_SCHEMA = """
+  mapping_id string, pipeline_id bigint, batch_id bigint, seq bigint, validation_type string, column_name string,
+  status string, metrics map<string,bigint>, comment string
+"""
+
+# What tells the results of one load from those of another: several mappings may share a pipeline and batch.
+LOAD = ["mapping_id", "pipeline_id", "batch_id"]
+
 
 def _source(spark: SparkSession, spec: MappingSpec) -> DataFrame:
-    return load_source(spark, spec.source_object, spec.source_format)
+    return load_source(spark, spec.source_object, spec.source_format, spec.source_schema, spec.source_options)
 
 
 def _target(spark: SparkSession, spec: MappingSpec) -> DataFrame:
@@ -42,18 +52,20 @@ def check_mapping(source: DataFrame, target: DataFrame, spec: MappingSpec) -> Da
     """The rows of all checks for one mapping."""
     frames = [
         check_schema(source, target, spec.compatible_types),
-        check_data(source, target, scales=spec.scales),
+        check_data(source, target, cols=spec.columns, multiset=spec.multiset, scales=spec.scales),
         check_row_count(source, target),
     ]
     if spec.uniqueness_columns:
         frames.append(check_unique(target, spec.uniqueness_columns))
+    frames += [check_unique(target, key, composite=True) for key in spec.unique_keys]
     if spec.not_null_columns:
         frames.append(check_not_null(target, spec.not_null_columns))
     return union_results(frames)
 
 
 def _failed(spark: SparkSession, error: Exception) -> DataFrame:
-    row = [("suite", None, "error", {}, str(error).splitlines()[0])]
+    said = str(getattr(error, "java_exception", None) or error).splitlines() or [type(error).__name__]
+    row = [("suite", None, "error", {}, said[0])]
     return spark.createDataFrame(
         row, "validation_type string, column_name string, status string, metrics map<string,bigint>, comment string"
     )
@@ -66,36 +78,56 @@ def run_suite(
     target_of: Loader = _target,
     parallel: int = 4,
 ) -> DataFrame:
-    """``mapping_id, pipeline_id, batch_id`` with the result columns, for all mappings.
+    """The result table: ``mapping_id, pipeline_id, batch_id, seq`` with the result columns, for all mappings.
 
-    The first pass of each row comparison runs here, ``parallel`` mappings at a time; the rest stays one lazy plan. A
-    mapping whose objects cannot be found or compared gives one row of status ``error``; the others go on.
+    Each mapping is checked and written by itself, ``parallel`` at a time, so a plan is as large as one mapping's. A
+    mapping that cannot be read or compared, be it found out only while its rows are read, gives one row of status
+    ``error`` in place of all others; the other mappings go on. ``seq`` tells the rows of a mapping apart.
     """
+    folder = fresh_path(spark, "suite")
 
-    def results_of(spec: MappingSpec) -> DataFrame:
-        try:
-            rows = check_mapping(source_of(spark, spec), target_of(spark, spec), spec)
-        except (AnalysisException, ValueError) as error:
-            rows = _failed(spark, error)
-        return rows.select(
+    def write(rows: DataFrame, spec: MappingSpec, path: str) -> str:
+        rows.select(
             F.lit(spec.mapping_id).alias("mapping_id"),
             F.lit(spec.pipeline_id).cast("bigint").alias("pipeline_id"),
             F.lit(spec.batch_id).cast("bigint").alias("batch_id"),
+            F.monotonically_increasing_id().alias("seq"),
             *RESULT_COLUMNS,
-        )
+        ).write.parquet(path)
+        return path
+
+    def results_of(numbered: tuple[int, MappingSpec]) -> str:
+        number, spec = numbered
+        try:
+            rows = check_mapping(source_of(spark, spec), target_of(spark, spec), spec)
+            return write(rows, spec, f"{folder}/mapping-{number}")
+        except (PySparkException, Py4JJavaError, ValueError) as error:
+            return write(_failed(spark, error), spec, f"{folder}/error-{number}")
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        return union_results(list(pool.map(results_of, specs)))
+        written = list(pool.map(results_of, enumerate(specs)))
+    if not written:
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    return spark.read.schema(RESULT_SCHEMA).parquet(*written)
 
 
 def suite_verdicts(results: DataFrame, specs: DataFrame, rules: str = "r3") -> DataFrame:
-    """Verdicts straight from a suite's results: each mapping counts as a run whose steps were all executed.
+    """Verdicts of each mapping from a suite's results: ``mapping_id`` and the columns of ``verdicts``.
 
-    Results of one suite have at most one comment per pick, so any order will do for ``seq``.
+    A step counts as executed if the mapping declares it and no error kept it from being checked: a mapping with an error
+    row has no Pass at all. The suite does not run the ingestion, so its step is not judged.
     """
-    done = {kind: F.lit("Success") for kind in KEYWORDS}
-    runs = specs.select(
-        "pipeline_id", "batch_id", F.lit("SUCCESS").alias("status"), F.lit("SUCCESS").alias("ingestion_status")
+    errors = results.where(F.col("status") == "error").select(*LOAD).distinct().withColumn("broken", F.lit(True))
+    declared = {
+        "uniqueness": (F.size("uniqueness_columns") > 0) | (F.size("unique_keys") > 0),
+        "not_null": F.size("not_null_columns") > 0,
+        "ingestion": F.lit(False),
+    }
+    done = {k: F.when(declared.get(k, F.lit(True)) & F.col("broken").isNull(), F.lit("Success")) for k in KEYWORDS}
+    state = specs.join(errors, LOAD, "left")
+    runs = state.select(
+        *LOAD,
+        F.when(F.col("broken").isNull(), "SUCCESS").otherwise("FAILED").alias("status"),
+        F.lit("NA").alias("ingestion_status"),
     )
-    executed = runs.select("pipeline_id", "batch_id").withColumns(done)
-    return verdicts(results.withColumn("seq", F.lit(0).cast("bigint")), executed, runs, rules)
+    return verdicts(results, state.withColumns(done).select(*LOAD, *KEYWORDS), runs, rules, keys=LOAD)

@@ -6,10 +6,13 @@ judges ingestion by its comments and forces NA afterwards.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadwitness.operators.results import RULES, step_facts
+from loadwitness.operators.skew import join_nulls_apart
 from loadwitness.operators.status import KEYWORDS
 from loadwitness.plans.steps import STEP_TYPES
 
@@ -107,12 +110,18 @@ def step_verdict(step: int, rules: str = "r3") -> Column:
     return F.when(execution_status(step, rules) == "Success", judged).otherwise("NA")
 
 
-def judged_runs(runs: DataFrame, results: DataFrame, wide_status: DataFrame) -> DataFrame:
+RUN = ["pipeline_id", "batch_id"]
+
+
+def judged_runs(runs: DataFrame, results: DataFrame, wide_status: DataFrame, keys: Sequence[str] = RUN) -> DataFrame:
     """Runs with the status of each step and the facts of their comments: one row per run.
 
-    Results and nodes are reduced to a row per batch before they meet the runs.
+    Results and nodes are reduced to a row per run before they meet the runs. ``keys`` names a run; comments belong to it
+    by those of the keys that they have. Runs without a batch (pipelines that never ran) meet nothing.
     """
-    joined = runs.join(wide_status, ["pipeline_id", "batch_id"], "left").join(step_facts(results), "batch_id", "left")
+    own = [k for k in keys if k in results.columns]
+    with_steps = join_nulls_apart(runs, wide_status, list(keys), runs.columns)
+    joined = join_nulls_apart(with_steps, step_facts(results, own), own, runs.columns)
     flags = [f"{flag}_{rules}" for flag in ("not_unique", "nulls_exist") for rules in RULES]
     return joined.fillna({**{c: 0 for c in COUNTS}, **{c: False for c in flags}})
 
@@ -133,12 +142,16 @@ def step_rows(judged: DataFrame, *rules: str) -> DataFrame:
     return judged.withColumn("step", F.explode(steps)).select("*", "step.*").drop("step", *KEYWORDS)
 
 
-def verdicts(results: DataFrame, wide_status: DataFrame, runs: DataFrame, rules: str = "r3") -> DataFrame:
-    """``pipeline_id, batch_id, step_id, validation_type, execution_status, verdict`` for all runs at once."""
-    return verdicts_under(results, wide_status, runs, rules).drop("rules")
+def verdicts(
+    results: DataFrame, wide_status: DataFrame, runs: DataFrame, rules: str = "r3", keys: Sequence[str] = RUN
+) -> DataFrame:
+    """``keys``, then ``step_id, validation_type, execution_status, verdict``, for all runs at once."""
+    return verdicts_under(results, wide_status, runs, rules, keys=keys).drop("rules")
 
 
-def verdicts_under(results: DataFrame, wide_status: DataFrame, runs: DataFrame, *rules: str) -> DataFrame:
+def verdicts_under(
+    results: DataFrame, wide_status: DataFrame, runs: DataFrame, *rules: str, keys: Sequence[str] = RUN
+) -> DataFrame:
     """``verdicts`` under several rule sets, named in ``rules``; nodes and comments are still read once."""
-    rows = step_rows(judged_runs(runs, results, wide_status), *rules)
-    return rows.select("rules", "pipeline_id", "batch_id", "step_id", "validation_type", "execution_status", "verdict")
+    rows = step_rows(judged_runs(runs, results, wide_status, keys), *rules)
+    return rows.select("rules", *keys, "step_id", "validation_type", "execution_status", "verdict")

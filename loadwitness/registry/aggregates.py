@@ -133,13 +133,13 @@ def latest_flow_status(d):
 
 @query(
     "discrepancy_preview",
-    """SELECT batch_id, seq, line_no, total, side, text FROM (
+    """SELECT batch_id, seq, CASE WHEN total <= 10 THEN line_no END AS line_no, total, total <= 10 AS inline, side, text FROM (
   SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY seq) AS line_no, count(*) OVER (PARTITION BY batch_id) AS total
-  FROM ox_data) x WHERE total <= 10""",
+  FROM ox_data) x""",
 )
 def discrepancy_preview(d):
     found = results.readable(results.preview(results.discrepancies(d.validation_result)))
-    return found.select("batch_id", "seq", F.col("line_no").cast("bigint").alias("line_no"), "total", "side", "text")
+    return found.select("batch_id", "seq", F.col("line_no").cast("bigint").alias("line_no"), "total", "inline", "side", "text")
 
 
 @query("order_by_type", "SELECT validation_type, seq, batch_id, comment FROM fx_validation_result ORDER BY validation_type, seq")
@@ -213,3 +213,26 @@ def union_results(d):
             for m in mappings()
         ]
     )
+
+
+@query(
+    "symmetric_difference_third",
+    """WITH t AS (SELECT o_orderkey, o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS o_custkey, o_orderpriority FROM orders),
+s AS (SELECT o_orderkey, o_custkey, o_orderpriority FROM orders)
+SELECT 'present_only_in_source' AS side, count(*) AS copies, o_orderkey, o_custkey, o_orderpriority FROM s
+WHERE o_orderkey % 3 = 0 GROUP BY ALL
+UNION ALL SELECT 'present_only_in_destination', count(*), o_orderkey, o_custkey, o_orderpriority FROM t
+WHERE o_orderkey % 3 = 0 GROUP BY ALL""",
+)
+def symmetric_difference_third(d):
+    """A load in which every third row differs."""
+    source = d.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    moved = F.col("o_custkey") + F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(0)
+    rows = compare.compare(source, source.withColumn("o_custkey", moved))
+    return rows.select(
+        "side",
+        "copies",
+        F.col("data.o_orderkey").cast("bigint").alias("o_orderkey"),
+        F.col("data.o_custkey").cast("bigint").alias("o_custkey"),
+        F.col("data.o_orderpriority").alias("o_orderpriority"),
+    )

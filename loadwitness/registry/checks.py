@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from loadwitness.operators import checks
 from loadwitness.plans import suite
 from loadwitness.registry import query
 from loadwitness.registry.inputs import SCALES, TEXT_TO_DATE, mappings, object_of
 from loadwitness.registry.oracle_views import PAIR_COLUMNS
-from loadwitness.scratch import materialise
+from loadwitness.sources.objects import load_target
 from loadwitness.sources.specs import specs_frame
 
 _TYPE = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' END"
@@ -82,7 +84,7 @@ FROM (SELECT count(*) AS n, CAST(coalesce(sum(k), 0) AS BIGINT) AS r
         [
             _unique_row("fx_target", "o_orderkey"),
             _unique_row("lineitem", "l_orderkey"),
-            _unique_row("lineitem", "l_orderkey, l_linenumber"),
+            _unique_row("lineitem", "l_orderkey, l_linenumber", "l_orderkey + l_linenumber"),
         ]
     ),
 )
@@ -123,6 +125,7 @@ def _suite() -> str:
             f"SELECT 'schemas' AS validation_type, CAST(NULL AS VARCHAR) AS column_name, 'passed' AS status, '{both}' AS comment",
             _count_row(s, t),
             *[_unique_row(t, c) for c in m.uniqueness_columns],
+            *[_unique_row(t, ", ".join(key), " + ".join(key)) for key in m.unique_keys],
             *[_null_row(t, c) for c in m.not_null_columns],
         ]
         if m.mapping_id == "m1":
@@ -144,7 +147,7 @@ def validation_suite(d):
 
 def _load_verdicts() -> str:
     return f"""WITH all_rows AS ({_suite()})
-SELECT batch_id - 1000 AS pipeline_id, batch_id, 1 AS step_id, 'ingestion' AS validation_type, 'Pass' AS verdict
+SELECT batch_id - 1000 AS pipeline_id, batch_id, 1 AS step_id, 'ingestion' AS validation_type, 'NA' AS verdict
 FROM all_rows GROUP BY batch_id
 UNION ALL SELECT batch_id - 1000, batch_id, 2, 'schema', CASE WHEN count(*) FILTER (validation_type = 'schema') > 0 THEN 'Fail' ELSE 'Pass' END
 FROM all_rows GROUP BY batch_id
@@ -157,5 +160,31 @@ FROM all_rows JOIN (VALUES (4, 'row_count'), (5, 'uniqueness'), (6, 'not_null'))
 @query("load_verdicts", _load_verdicts())
 def load_verdicts(d):
     """Did these loads arrive intact? All checks of all mappings, written down and judged."""
-    judged = suite.suite_verdicts(materialise(run_all(d)), specs_frame(d.spark, mappings()))
+    judged = suite.suite_verdicts(run_all(d), specs_frame(d.spark, mappings()))
     return judged.select("pipeline_id", "batch_id", "step_id", "validation_type", "verdict")
+
+
+def _shared_batch() -> str:
+    steps = "(VALUES (1, 'ingestion'), (2, 'schema'), (3, 'data'), (4, 'row_count'), (5, 'uniqueness'), (6, 'not_null')) t(step_id, k)"
+    return f"""WITH all_rows AS ({_suite()})
+SELECT m.mapping_id, CASE m.mapping_id WHEN 'm3' THEN 2 ELSE 1 END AS pipeline_id, 1001 AS batch_id, t.step_id,
+       t.k AS validation_type, CASE WHEN t.step_id = 1 THEN 'NA' WHEN EXISTS (SELECT 1 FROM all_rows r
+           WHERE r.mapping_id = m.mapping_id AND r.validation_type = t.k AND r.status = 'failed') THEN 'Fail' ELSE 'Pass' END AS verdict
+FROM (SELECT DISTINCT mapping_id FROM all_rows) m CROSS JOIN {steps}
+UNION ALL SELECT 'm4', 1, 1001, step_id, k, 'NA' FROM {steps}"""
+
+
+@query("load_verdicts_shared_batch", _shared_batch())
+def load_verdicts_shared_batch(d):
+    """Several mappings in one batch, the same batch number in two pipelines, and a mapping that cannot be read."""
+    specs = [replace(m, pipeline_id=2 if m.mapping_id == "m3" else 1, batch_id=1001) for m in mappings()]
+    specs.append(replace(specs[0], mapping_id="m4", target_object="no_such_table"))
+
+    def target(_, spec):
+        if spec.mapping_id == "m4":
+            return load_target(d.spark, f"{d.folder}/{spec.target_object}.parquet", "parquet")
+        return object_of(d, spec.target_object)
+
+    found = suite.run_suite(d.spark, specs, lambda _, m: object_of(d, m.source_object), target)
+    judged = suite.suite_verdicts(found, specs_frame(d.spark, specs))
+    return judged.select("mapping_id", "pipeline_id", "batch_id", "step_id", "validation_type", "verdict")

@@ -25,7 +25,7 @@ def mappings() -> list[MappingSpec]:
         ),
         MappingSpec(
             "m3", 3, 1003, "lineitem", "lineitem", uniqueness_columns=["l_orderkey", "l_linenumber"],
-            not_null_columns=["l_partkey", "l_suppkey"], scales=SCALES,
+            not_null_columns=["l_partkey", "l_suppkey"], scales=SCALES, unique_keys=[["l_orderkey", "l_linenumber"]],
         ),
     ]
 

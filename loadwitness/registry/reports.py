@@ -37,7 +37,7 @@ def _report_sql(rules: str) -> str:
     refused = "NULL" if rules == "r1" else "CASE WHEN v.execution_status = 'Fail' THEN 'N/A (Execution Failed)' END"
     name = "r.ingestion_name" if rules == "r3" else "r.pipeline_name"
     data, schema = "coalesce(f.n_data, 0)", "coalesce(f.n_schema, 0)"
-    summed = f"{data} > 0" if rules == "r3" else f"{data} > 10"
+    summed = f"{data} > 0"
     where = {
         "r1": "'See ''Detailed Data Validation Logs'' below for full list.'",
         "r2": "concat('Full list in: data_validation_discrepancies_', v.pipeline_id, '_', v.batch_id, '.csv')",
@@ -99,13 +99,14 @@ def _lines_sql(rules: str) -> str:
     not_null = by_blank if rules == "r1" else by_comma
     kinds = "'schema', 'uniqueness'" if rules == "r2" else "'schema', 'uniqueness', 'not_null'"
     listed = f"""SELECT batch_id, validation_type, CAST(NULL AS VARCHAR) AS heading, seq,
-       CASE validation_type WHEN 'schema' THEN trim(comment) WHEN 'uniqueness' THEN {by_blank} ELSE {not_null} END AS line
+       CASE validation_type WHEN 'schema' THEN trim(comment) WHEN 'uniqueness' THEN {by_blank} ELSE {not_null} END AS line,
+       true AS inline
 FROM fx_validation_result WHERE validation_type IN ({kinds})"""
     if rules != "r3":
-        listed += """ UNION ALL SELECT batch_id, 'data', concat(side, ':'), seq, text
-FROM (SELECT *, count(*) OVER (PARTITION BY batch_id) AS n FROM ox_data) d WHERE n <= 10 AND side <> 'other'"""
+        listed += """ UNION ALL SELECT batch_id, 'data', concat(side, ':'), seq, text, n <= 10
+FROM (SELECT *, count(*) OVER (PARTITION BY batch_id) AS n FROM ox_data) d WHERE side <> 'other'"""
     ran = "" if rules == "r1" else "WHERE v.execution_status = 'Success'"
-    return f"""SELECT v.pipeline_id, v.batch_id, v.step_id, l.heading, l.seq, l.line
+    return f"""SELECT v.pipeline_id, v.batch_id, v.step_id, l.heading, l.seq, l.line, l.inline
 FROM ox_verdict_{rules} v JOIN ({listed}) l ON l.batch_id = v.batch_id AND l.validation_type = v.validation_type {ran}"""
 
 
@@ -197,8 +198,8 @@ def discrepancy_manifest(d):
 @query(
     "detailed_log",
     """SELECT batch_id, CASE side WHEN 'present_only_in_source' THEN 'Present only in Source:' ELSE 'Present only in Destination:' END
-       AS heading, seq, text
-FROM (SELECT *, count(*) OVER (PARTITION BY batch_id) AS n FROM ox_data) x WHERE n > 10 AND side <> 'other'""",
+       AS heading, seq, text, n <= 10 AS inline
+FROM (SELECT *, count(*) OVER (PARTITION BY batch_id) AS n FROM ox_data) x WHERE side <> 'other'""",
 )
 def detailed_log(d):
     return report.detailed_log(d.validation_result)

@@ -25,11 +25,15 @@ def jdbc_scan(d):
 @query(
     "csv_source_scan",
     """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority,
-       o_orderday, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice FROM fx_source""",
+       o_orderday, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, CASE o_orderkey % 5 WHEN 0 THEN 'say "hi", now'
+       WHEN 1 THEN concat('two', chr(10), 'lines') WHEN 2 THEN '' WHEN 3 THEN NULL ELSE 'plain' END AS note FROM fx_source""",
 )
 def csv_source_scan(d):
+    """Values with quotes, commas and line breaks, empty ones and nulls."""
     path = fresh_path(d.spark, "csv_source")
-    d.source.write.option("header", True).csv(path)
+    kind = F.col("o_orderkey") % 5
+    note = F.when(kind == 0, 'say "hi", now').when(kind == 1, "two\nlines").when(kind == 2, "").when(kind == 4, "plain")
+    d.source.withColumn("note", note).write.option("header", True).option("escape", '"').csv(path)
     return objects.load_source(d.spark, path).withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
 
 
@@ -82,8 +86,7 @@ def validation_result_sink(d):
 @query(
     "discrepancy_csv_sink",
     """SELECT r.pipeline_id, x.batch_id, x.side AS discrepancy_type, x.payload AS data_content
-FROM ox_data x JOIN fx_run r USING (batch_id)
-JOIN (SELECT batch_id FROM ox_data GROUP BY batch_id HAVING count(*) > 10) m USING (batch_id) WHERE x.side <> 'other'""",
+FROM ox_data x JOIN fx_run r USING (batch_id) WHERE x.side <> 'other'""",
 )
 def discrepancy_csv_sink(d):
     path = fresh_path(d.spark, "discrepancies")

@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
 
-def load_source(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None) -> DataFrame:
-    """A source file. CSV has a header; without a schema all its columns are text.
+# CSV as RFC 4180 has it: quotes inside quotes are doubled, quoted values may hold line breaks. An empty value is null unless
+# it is quoted; the mark for null is one that no text holds. Files without line breaks in values are read in parallel
+# with ``multiLine`` off.
+CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\u0000"}
+
+
+def load_source(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    schema: T.StructType | str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A source file. CSV has a header (``CSV_OPTIONS``, which ``options`` override); without a schema all its columns
+    are text.
 
     With a schema, lines that do not fit it are kept whole in ``_corrupt_record``.
     """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if fmt != "csv":
-        reader = spark.read.format(fmt)
+        reader = spark.read.format(fmt).options(**(options or {}))
         return (reader if schema is None else reader.schema(schema)).load(path)
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.options(**{**CSV_OPTIONS, **(options or {})})
     if schema is None:
         return reader.option("inferSchema", False).csv(path)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])

@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwitness.operators.skew import salted_join
-
-# Tasks that share the rows of one partition folder, so that a batch with a third of all rows is not one task's.
-WRITERS = 16
-
 
 def _spread(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
-    """Bring the rows of a folder together in at most ``WRITERS`` tasks."""
-    return df.repartition(*keys, F.pmod(F.xxhash64(*by), F.lit(WRITERS)))
+    """Neighbouring folders together, so that there are at most as many files as folders and tasks; the hash splits a
+    folder that holds much of the data."""
+    return df.repartitionByRange(*keys, F.xxhash64(*by)).sortWithinPartitions(*keys)
 
 
 def save_results(df: DataFrame, target: str, mode: str = "append") -> None:
@@ -30,15 +26,13 @@ def save_results(df: DataFrame, target: str, mode: str = "append") -> None:
         writer.saveAsTable(target)
 
 
-def export_discrepancies(discrepancies: DataFrame, path: str, min_rows: int = 11, mode: str = "append") -> None:
-    """Raw discrepancies as CSV, a folder per pipeline and batch, for batches with at least ``min_rows`` comments.
+def export_discrepancies(discrepancies: DataFrame, path: str, mode: str = "append") -> None:
+    """Raw discrepancies as CSV, a folder per pipeline and batch.
 
-    ``discrepancies`` has ``pipeline_id, batch_id, seq, side, payload``; rows of unknown side count but are not written.
+    ``discrepancies`` has ``pipeline_id, batch_id, seq, side, payload``; rows of unknown side are not written.
     """
     keys = ["pipeline_id", "batch_id"]
-    many = discrepancies.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") >= min_rows).select(*keys)
-    tagged = discrepancies.filter(F.col("side") != "other")
-    rows = salted_join(tagged, many, keys, ["seq"], "left_semi").select(
+    rows = discrepancies.filter(F.col("side") != "other").select(
         *keys, "seq", F.col("side").alias("discrepancy_type"), F.col("payload").alias("data_content")
     )
     (

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import types as T
 
 from loadwitness import scratch
+from loadwitness.operators.status import KEYWORDS
+from loadwitness.plans.report import discrepancy_report, report_step
 from loadwitness.plans.suite import run_suite, suite_verdicts
 from loadwitness.sources.metadata import jdbc_options, load_meta
 from loadwitness.sources.objects import load_source, load_target
@@ -55,14 +57,22 @@ def test_results_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 200
 
 
-def test_export_only_long_lists(spark, tmp_path):
+def test_export_of_all_batches(spark, tmp_path):
     rows = [(1, 1, i, "present_only_in_source", f'a,"{i}"\nb') for i in range(11)] + [(2, 2, i, "other", "x") for i in range(11)]
     rows += [(3, 3, i, "present_only_in_source", "x") for i in range(10)]
     df = spark.createDataFrame(rows, "pipeline_id long, batch_id long, seq long, side string, payload string")
     export_discrepancies(df, str(tmp_path / "out"))
     read = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path / "out"))
-    assert sorted(r.data_content for r in read.collect()) == sorted(f'a,"{i}"\nb' for i in range(11))
-    assert read.select("pipeline_id", "batch_id").distinct().count() == 1
+    assert sorted(r.data_content for r in read.collect()) == sorted([f'a,"{i}"\nb' for i in range(11)] + ["x"] * 10)
+    assert read.select("pipeline_id", "batch_id").distinct().count() == 2
+
+
+def test_an_export_has_few_files(spark, tmp_path):
+    df = spark.range(3000).selectExpr(
+        "id % 40 AS pipeline_id", "id % 40 AS batch_id", "id AS seq", "'present_only_in_source' AS side", "'x' AS payload"
+    )
+    export_discrepancies(df, str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").rglob("part-*.csv"))) <= 40 + 8
 
 
 def test_reports_have_a_folder_per_batch(spark, tmp_path):
@@ -88,8 +98,71 @@ def test_suite_end_to_end(spark, tmp_path):
     assert ("m", "row_count", None, "failed") in rows
     assert ("m", "not_null", "email", "failed") in rows and ("m", "not_null", "id", "passed") in rows
     assert sum(1 for r in rows if r[1] == "data") == 2
-    judged = suite_verdicts(results, specs_frame(spark, [good])).orderBy("step_id").collect()
-    assert [r.verdict for r in judged] == ["Pass", "Pass", "Fail", "Fail", "Pass", "Fail"]
+    judged = suite_verdicts(results, specs_frame(spark, [good, gone])).orderBy("mapping_id", "step_id").collect()
+    assert [r.verdict for r in judged] == ["NA"] * 6 + ["NA", "Pass", "Fail", "Fail", "Pass", "Fail"]
+
+
+@pytest.fixture
+def loads(spark, tmp_path):
+    """A clean and a broken load of one batch, the same batch number elsewhere, and one whose target cannot be read."""
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "a.csv").write_text("id,day\n1,2024-01-01\n2,2024-01-02\n")
+    spark.sql("SELECT '1' AS id, '2024-01-01' AS day UNION ALL SELECT '2', '2024-01-02'").write.parquet(str(tmp_path / "t"))
+    spark.sql("SELECT '1' AS id, '2024-01-01' AS day").write.parquet(str(tmp_path / "less"))
+    spark.sql("SELECT '1' AS id, '2024-01-01' AS day").write.parquet(str(tmp_path / "torn"))
+    for file in (tmp_path / "torn").glob("part-*"):
+        file.write_bytes(file.read_bytes()[:-20] + b"x" * 20)
+    schema = spark.read.parquet(str(tmp_path / "t")).schema
+
+    def target(session, spec):
+        return session.read.schema(schema).parquet(spec.target_object)
+
+    def spec(name, pipeline, folder):
+        return MappingSpec(name, pipeline, 7, str(tmp_path / "s"), str(tmp_path / folder), unique_keys=[["id", "day"]])
+
+    specs = [spec("clean", 1, "t"), spec("broken", 1, "less"), spec("other", 2, "t"), spec("torn", 1, "torn")]
+    return specs, run_suite(spark, specs, target_of=target)
+
+
+def test_mappings_of_one_batch_are_judged_apart(spark, loads):
+    specs, results = loads
+    judged = suite_verdicts(results, specs_frame(spark, specs)).orderBy("step_id").collect()
+    found = {s.mapping_id: [r.verdict for r in judged if r.mapping_id == s.mapping_id] for s in specs}
+    assert found["clean"] == found["other"] == ["NA", "Pass", "Pass", "Pass", "Pass", "NA"]
+    assert found["broken"] == ["NA", "Pass", "Fail", "Fail", "Pass", "NA"]
+    assert found["torn"] == ["NA"] * 6
+    shown = {r.execution_status for r in judged if r.mapping_id == "torn" and r.step_id > 1}
+    assert shown == {"Fail"}
+
+
+def test_an_unreadable_file_stays_with_its_mapping(loads):
+    _, results = loads
+    rows = results.collect()
+    assert [(r.validation_type, r.status) for r in rows if r.mapping_id == "torn"] == [("suite", "error")]
+    assert len({(r.mapping_id, r.seq) for r in rows}) == len(rows)
+    assert any(r.comment.startswith("Column: id + day, Status: UNIQUE") for r in rows if r.comment)
+
+
+def test_saved_results_are_reported(spark, loads, tmp_path):
+    specs, results = loads
+    save_results(results, str(tmp_path / "saved"))
+    saved = spark.read.parquet(str(tmp_path / "saved"))
+    runs = specs_frame(spark, specs).selectExpr(
+        "mapping_id", "pipeline_id", "batch_id", "1L AS dataflow_batch_id", "0L AS seq", "'SUCCESS' AS status",
+        "'SUCCESS' AS ingestion_status", "'i' AS ingestion_name", "'p' AS pipeline_name",
+    )
+    clean = runs.where("mapping_id = 'other'").drop("mapping_id")
+    steps = clean.select("pipeline_id", "batch_id").selectExpr("*", *[f"'Success' AS {k}" for k in KEYWORDS])
+    own = saved.where("mapping_id = 'other'").drop("mapping_id", "pipeline_id")
+    rows = report_step(clean, own, steps).orderBy("step_id").collect()
+    assert [r.verdict for r in rows] == ["Pass", "Pass", "Pass", "Pass", "Pass", "NA"]
+    assert discrepancy_report(clean, own, steps).count() == 0
+
+
+def test_csv_as_sources_write_it(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,t\n1,"say ""hi"", now"\n2,"two\nlines"\n3,\n4,""\n')
+    rows = load_source(spark, str(tmp_path)).orderBy("id").collect()
+    assert [r.t for r in rows] == ['say "hi", now', "two\nlines", None, ""]
 
 
 def test_a_cluster_needs_a_shared_folder():

@@ -2,7 +2,7 @@
 
 import pytest
 
-from loadwitness.operators.results import detailed, discrepancies, discrepancy_counts, preview
+from loadwitness.operators.results import discrepancies, discrepancy_counts, preview, with_totals
 from loadwitness.operators.status import KEYWORDS
 from loadwitness.plans.report import discrepancy_report, report_step
 from loadwitness.plans.verdict import verdicts
@@ -109,10 +109,14 @@ def data_rows(n):
     return [("data", f"present_only_in_source||{i}") for i in range(n)]
 
 
-@pytest.mark.parametrize("n, shown, logged", [(0, 0, 0), (10, 10, 0), (11, 0, 11)])
-def test_preview_and_log_part_at_ten(spark, n, shown, logged):
+@pytest.mark.parametrize("n, inline", [(0, 0), (10, 10), (11, 0)])
+def test_no_list_is_cut(spark, n, inline):
     found = discrepancies(results_of(spark, *data_rows(n)))
-    assert (preview(found).count(), detailed(found).count()) == (shown, logged)
+    listed = preview(found).collect()
+    assert len(listed) == n == with_totals(found).count()
+    assert sum(r.inline for r in listed) == inline
+    assert sorted(r.line_no for r in listed if r.inline) == list(range(1, inline + 1))
+    assert all(r.total == n for r in listed)
 
 
 def test_unknown_tags_count_in_the_total_only(spark):
