@@ -36,9 +36,13 @@ def explode_nodes(workflows: DataFrame) -> DataFrame:
 
 
 def resolve_run(node_runs: DataFrame, node_batches: DataFrame) -> DataFrame:
-    """Dataflow and dataflow batch to which each ``node_batch_id`` belongs; one without is not there."""
+    """Dataflow and dataflow batch to which each ``node_batch_id`` belongs.
+
+    One that belongs to none stays, with nulls and ``found`` false, so that callers can report it.
+    """
     wanted = node_batches.select("node_batch_id").distinct()
-    return node_runs.select("node_batch_id", "workflow_orch_id", "batch_id").join(wanted, "node_batch_id", "left_semi").distinct()
+    known = node_runs.select("node_batch_id", "workflow_orch_id", "batch_id").distinct().withColumn("found", F.lit(True))
+    return wanted.join(known, "node_batch_id", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def _attach_status(nodes: DataFrame, node_runs: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def wide_status(d) -> DataFrame:
 def main_runs(d) -> DataFrame:
     """Runs of the main dataflows, found through the batches of their nodes."""
     main = d.workflow_node.filter(F.col("workflow_orch_id") >= 0)
-    return resolve_run(d.workflow_node, main).select("workflow_orch_id", "batch_id").distinct()
+    return resolve_run(d.workflow_node, main).where("found").select("workflow_orch_id", "batch_id").distinct()
 
 
 def run_nodes(d) -> DataFrame:

@@ -170,7 +170,7 @@ def discrepancy_report(d):
 
 @query(
     "node_definitions",
-    """SELECT object_id, batch_id, node_name, status, 'neutral' AS status_class, node_type_name, description FROM ox_execution""",
+    """SELECT object_id, batch_id, node_name, status, CASE status WHEN 'Success' THEN 'ok' WHEN 'Failed' THEN 'error' ELSE 'neutral' END AS status_class, node_type_name, description FROM ox_execution""",
 )
 def node_definitions(d):
     return report.node_definitions(node_execution(d.node_status, d.object, d.node_type))
@@ -178,7 +178,7 @@ def node_definitions(d):
 
 @query(
     "execution_status",
-    """SELECT node_id, batch_id, status, 'neutral' AS status_class, start_time, end_time FROM ox_execution
+    """SELECT node_id, batch_id, status, CASE status WHEN 'Success' THEN 'ok' WHEN 'Failed' THEN 'error' ELSE 'neutral' END AS status_class, start_time, end_time FROM ox_execution
 ORDER BY start_time NULLS LAST, node_id""",
 )
 def execution_status(d):

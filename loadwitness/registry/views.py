@@ -147,7 +147,7 @@ FROM (
     "fx_node_status": f"""
 SELECT o_orderkey AS node_id, o_custkey AS data_movement_id, {older("o_orderkey % 11 = 0", "1000 + o_custkey")} AS batch_id,
        CASE WHEN o_orderkey % 53 = 0 THEN 'ERROR' WHEN o_orderkey % 31 = 0 THEN 'PROGRESS' WHEN o_orderkey % 17 = 0 THEN 'COMPLETED'
-            WHEN o_orderkey % 37 = 0 THEN 'SKIPPED' WHEN o_orderkey % 59 = 0 THEN NULL ELSE 'SUCCESS' END AS status,
+            WHEN o_orderkey % 37 = 0 THEN 'SKIPPED' WHEN o_orderkey % 41 = 0 THEN 'Success' WHEN o_orderkey % 43 = 0 THEN 'Failed' WHEN o_orderkey % 59 = 0 THEN NULL ELSE 'SUCCESS' END AS status,
        CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_orderdate END AS start_time,
        CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE o_orderdate END AS end_time
 FROM orders""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Skewed sort-merge joins are split at run time even when that costs one more shuffle; session time is UTC so that
@@ -19,6 +21,7 @@ SETTINGS = {
 
 def local_session(cores: int | str = 8, app: str = "loadwitness", **settings: str) -> SparkSession:
     """A ``local[cores]`` session for tests and the benchmark; on a cluster pass SETTINGS to spark-submit."""
+    settings = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="loadwitness-"), **settings}
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
