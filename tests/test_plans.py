@@ -89,3 +89,37 @@ def test_salting_spreads_a_hot_key(spark, no_broadcast):
     assert "_salt" in plan[plan.index("Exchange") :]
     salts = big.select(F.pmod(F.xxhash64("v"), F.lit(SALTS)).alias("s")).groupBy("s").count().collect()
     assert len(salts) == SALTS and max(r["count"] for r in salts) < 20_000 / SALTS * 1.3
+
+
+def test_null_keys_are_spread(spark, no_broadcast):
+    """Rows without a key match nothing; they do not meet in one task, and the result is that of a plain left join."""
+    from loadwitness.operators.skew import join_nulls_apart
+
+    left = spark.range(3000).selectExpr("if(id % 3 = 0, null, id % 7) AS k", "id AS v")
+    right = spark.sql("SELECT * FROM VALUES (0, 'a'), (1, 'b'), (null, 'c') t(k, w)").selectExpr("cast(k AS bigint) AS k", "w")
+    found = join_nulls_apart(left, right, ["k"], ["v"])
+    plan = plan_of(found)
+    exchange = plan[plan.index("Exchange hashpartitioning") :]
+    assert "_apart" in exchange[: exchange.index("\n")]
+    wanted = left.join(right, "k", "left").select("k", "v", "w")
+    assert sorted(map(repr, found.select("k", "v", "w").collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_node_lists_are_written_once(spark):
+    """The plan of the runs that reports take starts from a written table, so each input is read a few times at most."""
+    from loadwitness.plans.dataflow import report_runs
+    from loadwitness.registry.inputs import run_nodes
+
+    d = Data(spark, FOLDER)
+    plan = report_runs(run_nodes(d), d.workflow, d.workflow_node)._jdf.queryExecution().optimizedPlan().toString()
+    direct = d.workflow_node._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") <= direct.count("parquet") + 2 * max(1, d.workflow._jdf.queryExecution().optimizedPlan().toString().count("parquet"))
+
+
+def test_unresolved_runs_stay(spark):
+    from loadwitness.operators.workflow import resolve_run
+
+    known = spark.createDataFrame([(1, 10, 100)], "node_batch_id long, workflow_orch_id long, batch_id long")
+    wanted = spark.createDataFrame([(1,), (2,), (2,)], "node_batch_id long")
+    rows = [tuple(r) for r in resolve_run(known, wanted).orderBy("node_batch_id").collect()]
+    assert rows == [(1, 10, 100, True), (2, None, None, False)]
