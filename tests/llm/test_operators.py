@@ -143,6 +143,51 @@ def test_sharding_keeps_groups_together_and_splits_a_hot_one(spark):
     check_shards(L.shard_by_text(spark.createDataFrame(hot, "doc_id bigint, text string")).collect(), hot, 0.03)
 
 
+def cut_groups(found, texts):
+    """Texts that stand on more than one shard, and how many shards the first text takes."""
+    where, text_of = defaultdict(set), dict(texts)
+    for r in found:
+        where[text_of[r["doc_id"]]].add(r["shard"])
+    return sum(len(s) > 1 for s in where.values()), len(where[texts[0][1]])
+
+
+def test_sharding_cuts_only_what_no_shard_holds(spark):
+    def sharded(texts):
+        found = L.shard_by_text(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+        check_shards(found, texts, 0.02)
+        return cut_groups(found, texts)
+
+    pairs = [(10000 + i, f"pair {i // 2:05} " * (3 + i // 2 % 30)) for i in range(1500)]
+    rest = sum(len(t) + 1 for _, t in pairs)
+    # One text with a third of all bytes, beside pairs only.
+    hot = "hot " * 25
+    assert sharded([(i, hot) for i in range(rest // 2 // (len(hot) + 1))] + pairs) == (1, 3)
+    # Mostly grouped rows, some groups of a sixth of a shard.
+    groups = [(20000 + i, f"group {i // 100} " * 25) for i in range(1000)]
+    assert sharded(pairs + groups + [(30000 + i, f"own {i}") for i in range(50)]) == (0, 1)
+    # Nothing but one text.
+    assert sharded([(i, hot) for i in range(801)]) == (1, 8)
+
+
+def test_dealing_units_too_large_for_a_share():
+    units = [(900, 9), (610, 61), (600, 60), (600, 2), (90, 9)]
+    pieces, held = L.deal(units, 4, 700)
+    assert sum(held) == pytest.approx(sum(b for b, _ in units)) and max(held) <= 707 + 100
+    assert [len(p) for p in pieces][1:] == [1, 1, 2, 1] and all(p[0][0] == 0 for p in pieces)
+    assert L.deal([(10**12, 10**9)], 8, 1.25e11)[1] == pytest.approx([1.25e11] * 8)
+
+
+def test_links_through_several_hubs_bring_units_together(spark):
+    # Ten families of eight rows: hubs of two rows, and hubs of all eight.
+    links = [(r, f"{r // 8}-{r // 2}") for r in range(80)] + [(r, f"all-{r // 8}") for r in range(80)]
+    linked = spark.createDataFrame([(r, 100) for r in range(80)], "row bigint, size bigint")
+    found = L.propagate(linked, spark.createDataFrame(links, "row bigint, hub string"), 4, 1e6).collect()
+    shard = {r["row"]: r["shard"] for r in found}
+    assert len(found) == len(shard) == 80 and all(shard[r] == shard[r + 1] for r in range(0, 80, 2))
+    assert sum(len({shard[r] for r in range(f, f + 8)}) > 1 for f in range(0, 80, 8)) <= 1
+
+
+
 # Jaccard join
 
 
