@@ -1,10 +1,10 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 In each of ``TABLES`` tables a vector is turned by a pseudo-rotation (three rounds of random signs and a fast Hadamard
-transform) and falls into the bucket of the signed axis nearest to it, or of one axis for each of ``depth`` rotations where
-the table is so large that single axes would make crowded buckets. A query looks into the ``PROBES`` buckets of each table
-whose axes are nearest to it. Buckets are cut into blocks of bounded size, and each block of queries is compared with each
-block of members by the inner products of their original vectors; the best of all blocks remain.
+transform) and falls into the bucket of the signed axis nearest to it. A query looks into the ``PROBES`` buckets of each
+table whose axes are nearest to it. The tables are the same for any number of vectors, so recall does not depend on it:
+buckets grow with the table, are cut into blocks of bounded size, and each block of queries is compared with each block of
+members by the inner products of their original vectors; the best of all blocks remain.
 
 Vectors of unequal length are brought to one sphere first: one more coordinate fills each up to the largest norm and is zero
 for queries, so that order by angle is order by inner product. Equal vectors are one class, which enters every table once;
@@ -14,7 +14,6 @@ a class needs no more members than the result has places, and those of the small
 from __future__ import annotations
 
 import math
-from itertools import product
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -24,8 +23,8 @@ from pyspark.sql import functions as F
 from loadwitness.llm.common import stored
 
 TABLES, PROBES, SEED = 16, 8, 20
-# Members and queries of one comparison, and the members of a bucket from which on a second axis tells them apart.
-BLOCK, CROWDED = 2048, 1 << 17
+# Members and queries of one comparison.
+BLOCK = 2048
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -42,17 +41,17 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 class Tables:
     """Rotations and bucket numbers; ``norm``: the largest norm of all vectors, None if all have the same."""
 
-    def __init__(self, dim: int, norm: float | None, depth: int):
-        self.dim, self.norm, self.depth = dim, norm, depth
+    def __init__(self, dim: int, norm: float | None):
+        self.dim, self.norm = dim, norm
         self.width = 1 << max(0, dim + (norm is not None) - 1).bit_length()
         rng = np.random.default_rng(SEED)
-        self.signs = rng.choice([-1.0, 1.0], (TABLES, depth, 3, self.width))
+        self.signs = rng.choice([-1.0, 1.0], (TABLES, 3, self.width))
 
     @property
     def buckets_in_all(self) -> int:
-        return (2 * self.width) ** self.depth
+        return 2 * self.width
 
-    def _turned(self, x: np.ndarray, query: bool, table: int, round_: int) -> np.ndarray:
+    def _turned(self, x: np.ndarray, query: bool, table: int) -> np.ndarray:
         lengths = np.linalg.norm(x, axis=1, keepdims=True)
         out = np.zeros((len(x), self.width))
         if self.norm is None or query:
@@ -60,34 +59,18 @@ class Tables:
         else:
             out[:, : self.dim] = x / self.norm
             out[:, self.dim] = np.sqrt(np.maximum(0, 1 - (lengths[:, 0] / self.norm) ** 2))
-        for signs in self.signs[table, round_]:
+        for signs in self.signs[table]:
             out = hadamard(out * signs)
         return np.concatenate([out, -out], axis=1)
 
     def buckets(self, x: np.ndarray, table: int) -> np.ndarray:
         """The bucket of each vector."""
-        out = np.zeros(len(x), np.int64)
-        for r in range(self.depth):
-            out = out * (2 * self.width) + self._turned(x, False, table, r).argmax(axis=1)
-        return out
+        return self._turned(x, False, table).argmax(axis=1)
 
     def probes(self, x: np.ndarray, table: int) -> np.ndarray:
         """The buckets nearest to each query, nearest first (rows of at most ``PROBES``)."""
         near = min(PROBES, 2 * self.width)
-        axes, lost = [], []
-        for r in range(self.depth):
-            turned = self._turned(x, True, table, r)
-            order = np.argsort(-turned, axis=1, kind="stable")[:, :near]
-            axes.append(order)
-            score = np.take_along_axis(turned, order, 1)
-            lost.append(score[:, :1] - score)
-        choices = np.array(list(product(range(near), repeat=self.depth)))
-        cost = sum(lost[r][:, choices[:, r]] ** 2 for r in range(self.depth))
-        best = np.argsort(cost, axis=1, kind="stable")[:, :near]
-        out = np.zeros((len(x), near), np.int64)
-        for r in range(self.depth):
-            out = out * (2 * self.width) + np.take_along_axis(axes[r], choices[best, r], 1)
-        return out
+        return np.argsort(-self._turned(x, True, table), axis=1, kind="stable")[:, :near]
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -246,10 +229,8 @@ def nearest(
         ),
         "vector-classes",
     )
-    width = 2 << max(0, dim - 1).bit_length()
-    depth = max(1, math.ceil(math.log(max(n / CROWDED, 1)) / math.log(width)) + (n > CROWDED * width))
     same = shape["low"] >= shape["high"] * (1 - 1e-6)
-    tables = Tables(dim, None if same else shape["high"], depth)
+    tables = Tables(dim, None if same else shape["high"])
 
     first = stored(_search(classes, tables, k, everywhere=False), "neighbours")
     # Queries that found fewer than there are: compared with every class, in blocks.

@@ -311,6 +311,20 @@ def test_neighbours_recall_order_and_odd_vectors(spark, unit):
     assert C.nearest(vectors.where("false"), F.lit(True)).collect() == []
 
 
+def test_recall_does_not_depend_on_the_size_of_the_table(spark, monkeypatch):
+    # Once, buckets were cut by more axes from so many vectors a bucket on, and the number of probes stayed.
+    monkeypatch.setattr(C, "CROWDED", 1, raising=False)
+    x = np.random.default_rng(5).normal(size=(1500, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = defaultdict(set)
+    for r in C.nearest(vectors, F.col("vec_id") % 50 == 0, k=12).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    assert sum(len(found[q] & set(np.argsort(-score[q])[:12].tolist())) for q in range(0, 1500, 50)) >= 0.9 * 12 * 30
+
+
 # Classifiers
 
 
