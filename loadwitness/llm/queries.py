@@ -16,6 +16,7 @@ from loadwitness.llm import (
     line_dedup,
     naive_bayes,
     token_files,
+    whitening,
 )
 from loadwitness.llm.common import ORACLES, QUERIES, query, table
 
@@ -117,3 +118,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=1)
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
