@@ -15,6 +15,7 @@ from loadwitness.llm import (
     label_propagation,
     line_dedup,
     naive_bayes,
+    source_divergence,
     token_files,
     whitening,
 )
@@ -120,6 +121,54 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=1)
 
 
+@query(
+    "op11_source_divergence",
+    r"""
+    WITH d AS (
+        SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+            regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ), o AS (
+        SELECT lang, source, r, unnest(terms) AS term FROM d
+    ), k AS (
+        SELECT lang, term, count(*) OVER (PARTITION BY lang) AS v
+        FROM (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 10)
+    ), g AS (
+        SELECT DISTINCT lang, source FROM d
+    ), c AS (
+        SELECT lang, source, term, count(*) AS c FROM o GROUP BY lang, source, term
+    ), a AS (
+        SELECT g.lang, g.source, k.term, k.v, coalesce(c.c, 0) AS c,
+            sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, g.source) AS n,
+            sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, k.term) AS lc,
+            sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang) AS ln
+        FROM g JOIN k ON g.lang = k.lang
+        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    ), s AS (
+        SELECT lang, source, term, c, 1 + (1000000000::HUGEINT * (c + 2)) // (n + 2 * v) AS p,
+            1 + (1000000000::HUGEINT * (lc + 2)) // (ln + 2 * v) AS q
+        FROM a
+    ), f AS (
+        SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+        FROM s x JOIN s y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+    ), u AS (
+        SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f.value, 0)::BIGINT AS value
+        FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+        LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+        UNION ALL
+        SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM s WHERE c > 0 AND p > q
+    ), z AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM u
+    )
+    SELECT * FROM z WHERE part = 'pair' OR rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
