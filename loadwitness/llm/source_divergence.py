@@ -7,14 +7,14 @@ complete, which a zero byte marks (no term holds one), and its count is its own.
 
 Open prefixes go to the tasks as a table of bits of bounded size. A prefix that passes by chance has fewer documents than
 asked for, so have its extensions, and the exact count of the next level drops them: the table decides only how much work
-is spared. Tasks add up counts before anything is shuffled, whatever the size of a source.
+is spared. Counts are added up before anything is shuffled, whatever the size of a source. A task's memory follows
+``PIECE`` or the longest single text, of which it holds terms and their places, some ten bytes per byte.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -28,8 +28,8 @@ SHARE, SMOOTHING = 1_000_000_000, 2
 FIRST_BYTES = 6
 # Bits of the table per prefix, and its least and most bits (a table of 16 MB at most).
 BITS_PER_PREFIX, LEAST_TABLE, MOST_TABLE = 16, 1 << 16, 1 << 27
-# Entries that a task counts before it sends them on, bytes of a text it cuts into terms at a time.
-HELD, PIECE = 1 << 19, 1 << 20
+# Bytes of texts that a task cuts into terms at a time; a longer text is cut by itself.
+PIECE = 1 << 23
 # Kept terms in a task that compares sources, and sources in a block.
 BUCKET_TERMS, BLOCK_SOURCES = 1 << 15, 64
 
@@ -38,31 +38,39 @@ END = b"\0"
 _BYTES = bytes(b if b >= 0x80 else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
 
 
-def term_lists(text: bytes):
-    """The terms of a UTF-8 text in order, as lists of bounded size."""
-    plain = text.translate(_BYTES)
-    at = 0
-    while at < len(plain):
-        end = plain.find(b" ", at + PIECE)
-        end = len(plain) if end < 0 else end
-        yield plain[at:end].split()
-        at = end
+def terms_of(texts):
+    """Of an Arrow array of UTF-8 texts: their distinct terms, and for each occurrence its term's and its text's place."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
+    texts = texts.cast(pa.binary())
+    ends = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset)
+    data = texts.buffers()[2]
+    held = data[int(ends[0]) : int(ends[-1])].to_pybytes().translate(_BYTES) if data is not None else b""
+    buffers = [None, pa.py_buffer((ends - ends[0]).astype(np.int32)), pa.py_buffer(held)]
+    split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(texts), buffers))
+    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    coded = split.flatten().cast(pa.binary()).dictionary_encode()
+    place, text = coded.indices.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(texts)), lengths)
+    # Separators at a text's ends leave empty terms.
+    real = (pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False) > 0)[place] if len(place) else slice(0)
+    return coded.dictionary, place[real], text[real]
 
-class _Prefixes(dict):
-    """Term to its prefix of a level, or None if the term is complete already or its last prefix went."""
 
-    def __init__(self, lang: str, length: int, before: int, table: np.ndarray | None):
-        self.seed = zlib.crc32(lang.encode())
-        self.length, self.before, self.table = length, before, table
+def _by_lang(batches):
+    """Of Arrow batches (lang, source, text): language and rows, of few bytes together or one text."""
+    import pyarrow.compute as pc
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        last = (term + END)[: self.before]
-        open_ = not last.endswith(END) and (self.table is None or _holds(self.table, last, self.seed))
-        if len(self) >= HELD:
-            self.clear()
-        self[term] = found = (term + END)[: self.length] if open_ else None
-        return found
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).cumsum()
+        at = 0
+        while at < batch.num_rows:
+            done = int(sizes[at - 1]) if at else 0
+            n = max(1, int(np.searchsorted(sizes, done + PIECE)) - at)
+            some = batch.slice(at, n)
+            for lang in some.column(0).unique():
+                yield lang.as_py(), some.filter(pc.equal(some.column(0), lang))
+            at += n
 
 
 def _place(table_bytes: int, prefix: bytes, seed: int) -> int:
@@ -89,7 +97,9 @@ def _bit_table(prefixes: DataFrame, n: int) -> np.ndarray:
                 table[place >> 3] |= 1 << (place & 7)
         if table.any():
             near = TaskContext.get().partitionId() % 64
-            yield pa.RecordBatch.from_pydict({"near": pa.array([near], pa.int32()), "bits": pa.array([table.tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([near], pa.int32()), pa.array([table.tobytes()], pa.binary())], ["near", "bits"]
+            )
 
     def joined(group):
         import pyarrow as pa
@@ -106,11 +116,28 @@ def _bit_table(prefixes: DataFrame, n: int) -> np.ndarray:
     return np.frombuffer(found[0]["bits"], np.uint8) if found else np.zeros(bits // 8, np.uint8)
 
 
-def _rows_of(batches):
-    for batch in batches:
-        columns = batch.columns
-        for i in range(batch.num_rows):
-            yield tuple(c[i].as_py() for c in columns)
+def _marked(prefixes, lang: str, table: np.ndarray) -> np.ndarray:
+    """Which of an Arrow array of distinct prefixes the table holds."""
+    seed = zlib.crc32(lang.encode())
+    return np.fromiter((_holds(table, x, seed) for x in prefixes.to_pylist()), bool, len(prefixes))
+
+
+def _open_terms(terms, lang: str, before: int, table: np.ndarray | None) -> np.ndarray:
+    """Which terms reach the last level's length with a prefix that stayed."""
+    import pyarrow.compute as pc
+
+    long = pc.binary_length(terms).to_numpy(zero_copy_only=False) >= max(before, 1)
+    if table is None or not long.any():
+        return long
+    coded = pc.binary_slice(terms.filter(long), 0, before).dictionary_encode()
+    long[long] = _marked(coded.dictionary, lang, table)[coded.indices.to_numpy(zero_copy_only=False)]
+    return long
+
+
+def _ended(terms):
+    import pyarrow.compute as pc
+
+    return pc.binary_join_element_wise(terms, END, b"")
 
 
 def _prefix_counts(docs: DataFrame, length: int, before: int, table: np.ndarray | None) -> DataFrame:
@@ -119,32 +146,26 @@ def _prefix_counts(docs: DataFrame, length: int, before: int, table: np.ndarray
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        def rows(lang: str, counts: Counter):
-            return pa.RecordBatch.from_pydict(
+        for lang, rows in _by_lang(batches):
+            terms, place, text = terms_of(rows.column(2))
+            open_ = _open_terms(terms, lang, before, sent.value)
+            if not open_.any():
+                continue
+            coded = pc.binary_slice(_ended(terms.filter(open_)), 0, length).dictionary_encode()
+            prefix = np.full(len(terms), -1)
+            prefix[open_] = coded.indices.to_numpy(zero_copy_only=False)
+            prefix, n = prefix[place], len(coded.dictionary)
+            held = np.unique(text[prefix >= 0] * n + prefix[prefix >= 0])
+            yield pa.RecordBatch.from_pydict(
                 {
-                    "lang": pa.array([lang] * len(counts), pa.string()),
-                    "prefix": pa.array(list(counts), pa.binary()),
-                    "documents": pa.array(list(counts.values()), pa.int64()),
+                    "lang": pa.array([lang] * n, pa.string()),
+                    "prefix": coded.dictionary,
+                    "documents": pa.array(np.bincount(held % n, minlength=n), pa.int64()),
                 }
             )
 
-        known: dict[str, _Prefixes] = {}
-        counts: dict[str, Counter] = {}
-        for lang, _, text in _rows_of(batches):
-            if lang not in known:
-                known[lang], counts[lang] = _Prefixes(lang, length, before, sent.value), Counter()
-            found = set()
-            for terms in term_lists(text):
-                found.update(map(known[lang].__getitem__, set(terms)))
-            found.discard(None)
-            counts[lang].update(found)
-            if len(counts[lang]) >= HELD:
-                yield rows(lang, counts.pop(lang))
-                counts[lang] = Counter()
-        for lang, held in counts.items():
-            yield rows(lang, held)
-
     counted = docs.mapInArrow(run, "lang string, prefix binary, documents bigint")
     return counted.groupBy("lang", "prefix").agg(F.sum("documents").alias("documents"))
 
@@ -174,37 +195,28 @@ def term_counts(docs: DataFrame, kept: DataFrame, n_kept: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        def rows(lang: str, source: str, counts: Counter):
-            table, seed = sent.value, zlib.crc32(lang.encode())
-            some = [(t, n) for t, n in counts.items() if _holds(table, t + END, seed)]
-            return pa.RecordBatch.from_pydict(
+        for lang, rows in _by_lang(batches):
+            sources = rows.column(1).dictionary_encode()
+            terms, place, text = terms_of(rows.column(2))
+            stays = _marked(_ended(terms), lang, sent.value)[place] if len(terms) else slice(0)
+            source = sources.indices.to_numpy(zero_copy_only=False)[text[stays]]
+            pairs, n = np.unique(source * max(len(terms), 1) + place[stays], return_counts=True)
+            groups, found = len(sources.dictionary), len(pairs)
+            names = np.concatenate([np.arange(groups), pairs // max(len(terms), 1)])
+            yield pa.RecordBatch.from_pydict(
                 {
-                    "lang": pa.array([lang] * (len(some) + 1), pa.string()),
-                    "source": pa.array([source] * (len(some) + 1), pa.string()),
-                    "term": pa.array([None, *(t for t, _ in some)], pa.binary()),
-                    "n": pa.array([0, *(n for _, n in some)], pa.int64()),
+                    "lang": pa.array([lang] * (groups + found), pa.string()),
+                    "source": sources.dictionary.take(pa.array(names)),
+                    "term": pa.concat_arrays([pa.nulls(groups, pa.binary()), terms.take(pa.array(pairs % max(len(terms), 1)))]),
+                    "n": pa.array(np.concatenate([np.zeros(groups, np.int64), n.astype(np.int64)])),
                 }
             )
 
-        counts: dict[tuple[str, str], Counter] = {}
-        held = 0
-        for lang, source, text in _rows_of(batches):
-            mine = counts.setdefault((lang, source), Counter())
-            held -= len(mine) + 1
-            for terms in term_lists(text):
-                mine.update(terms)
-            held += len(mine) + 2
-            if held >= HELD:
-                for key, some in counts.items():
-                    yield rows(*key, some)
-                counts, held = {}, 0
-        for key, some in counts.items():
-            yield rows(*key, some)
-
     counted = docs.mapInArrow(run, "lang string, source string, term binary, n bigint")
     total = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    terms = kept.select("lang", F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term"))
-    return total.where("term IS NULL").unionByName(total.where("term IS NOT NULL").join(terms, ["lang", "term"], "left_semi"))
+    terms = kept.select("lang", F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term"), F.lit(True).alias("stays"))
+    found = total.join(terms, ["lang", "term"], "left").where("term IS NULL OR stays")
+    return found.select("lang", "source", "term", "n")
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -239,7 +251,8 @@ def _pair_sums(shares: DataFrame, groups: DataFrame, kept: DataFrame, n_kept: in
     )
     own = F.floor(F.col("at") / BLOCK_SOURCES).cast("int")
     rows = used.unionByName(unused).withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("low", F.least(own, "partner")).withColumn("high", F.greatest(own, "partner")).drop("partner", "blocks")
+    blocks = {"low": F.least(own, "partner"), "high": F.greatest(own, "partner")}
+    rows = rows.withColumns(blocks).drop("partner", "blocks")
 
     def compare(group):
         import pyarrow as pa
@@ -291,8 +304,8 @@ def divergence(
     (part ``pair``), and the ``ranks`` terms that it uses most beyond its language (part ``term``).
 
     Nulls in text, language and source count as empty, so an empty text still makes its group occur. Every row is a document,
-    also one that repeats another. Terms are runs of ASCII letters and characters beyond ASCII, A-Z lower-cased; a text is cut
-    into terms piece by piece, a single term may be as long as a text. Ties of values go by the item's bytes. A language
+    also one that repeats another. Terms are runs of ASCII letters and characters beyond ASCII, A-Z lower-cased; one may be as
+    long as a text, and a text of any length is counted whole. Ties of values go by the item's bytes. A language
     without kept terms has distances of 0 and no term rows, a source alone in its language no pairs; an empty table gives an
     empty result. Other columns are not read. All arithmetic is in whole numbers.
     """
@@ -330,7 +343,8 @@ def divergence(
     by_value = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     terms = (
         shares.where("p > q")
-        .select("lang", "source", F.lit("term").alias("part"), F.col("term").cast("string").alias("item"), _apart(F.col("p"), F.col("q")).alias("value"))
+        .withColumn("value", _apart(F.col("p"), F.col("q")))
+        .select("lang", "source", F.lit("term").alias("part"), F.col("term").cast("string").alias("item"), "value")
         .withColumn("rank", F.row_number().over(by_value))
         .where(F.col("rank") <= ranks)
     )

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from loadwitness.llm import source_divergence as S
@@ -110,7 +111,18 @@ def test_prefixes_go_level_by_level(spark, monkeypatch):
     assert {bytes(r["prefix"]) for r in S.kept_terms(docs, 10).collect()} == kept
 
 
-@pytest.mark.parametrize("text", ["", " ", "a", "a b", "x" * 50, "ab " * 50])
-def test_pieces_hold_whole_terms(text, monkeypatch):
+@pytest.mark.parametrize("some", [[""], [" "], ["a"], [" a b", "", "B  é "], ["x" * 50, "ab " * 50, "\x85a\xa0"], []])
+def test_terms_of_slices(some):
+    texts = pa.array(["left out", *some], pa.binary())[1:] if some else pa.array([], pa.binary())
+    terms, place, text = S.terms_of(texts)
+    found = [(int(t), terms[int(p)].as_py().decode()) for p, t in zip(place, text, strict=True)]
+    assert found == [(i, t) for i, x in enumerate(some) for t in x.lower().split(" ") if t]
+
+
+def test_slices_hold_whole_texts(spark, monkeypatch):
     monkeypatch.setattr(S, "PIECE", 7)
-    assert [t.decode() for some in S.term_lists(text.encode()) for t in some] == text.split()
+    batch = pa.record_batch([["en", "de", "en", "en"], ["s"] * 4, [b"abc", b"abcdefghijk", b"", b"abcd"]], names=["l", "s", "t"])
+    found = [(lang, rows.column(2).to_pylist()) for lang, rows in S._by_lang([batch, batch.slice(0, 0)])]
+    assert sorted((lang, t) for lang, texts in found for t in texts) == sorted(
+        zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)
+    )
