@@ -18,6 +18,7 @@ from loadwitness.llm import (
     source_divergence,
     token_files,
     whitening,
+    winnowing,
 )
 from loadwitness.llm.common import ORACLES, QUERIES, query, table
 
@@ -169,6 +170,45 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op12_winnowing",
+    r"""
+    WITH d AS (
+        SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+    ), b AS (
+        SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark
+    ), w AS (
+        SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS win
+        FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 8, 2))) AS i FROM b WHERE len(words) > 0)
+    ), g AS (
+        SELECT r, i, n, array_to_string(words[i:i + n - 1], ' ') AS win
+        FROM (
+            SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i
+            FROM d CROSS JOIN (SELECT DISTINCT n FROM w) WHERE len(words) >= n
+        )
+    ), h AS (
+        SELECT g.r, g.i, g.n, w.item_id FROM g JOIN w ON g.n = w.n AND g.win = w.win
+    ), c AS (
+        SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r
+    ), t AS (
+        SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY r
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
