@@ -46,6 +46,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores before those that ``df`` has as columns (in any case of letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 # Tasks' vectors of counts are cut into blocks, and those summed in two steps, so that no task meets all of a block's.
 BLOCKS, GROUPS = 16, 64
 VECTOR = "block int, part int, counts binary"

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadwitness.llm.common import free_names
+
 WINDOW = 3
 LINE_END = "\n"
 
@@ -46,7 +48,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     occurrences of all windows cover are merged, and those lines go, also where windows of one row overlap. Lines end at
     line feeds only; the text is otherwise unchanged, and becomes empty if all its lines go. Windows of empty lines and
     texts of fewer than three lines lose nothing; a null text stays null. Rows that repeat an id are versions of one
-    document: a window at the same line of several versions is one occurrence. An empty table stays empty.
+    document: a window at the same line of several versions is one occurrence. An empty table stays empty. Other columns may
+    have any names; a text may have any length, its lines being one row's arrays.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -66,16 +69,16 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # As many positions as the text has lines, at most.
     starts = later.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("starts"))
     gone = F.flatten(F.transform("starts", lambda p: F.array(*[p + k for k in range(WINDOW)])))
-    covered = starts.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), gone.alias("_gone"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_version"))
+    # Names that the columns of ``docs`` leave free.
+    id_, version_, gone_, lines_ = free_names(docs, "_id", "_version", "_gone", "_lines")
+    covered = starts.select(F.col("doc_id").alias(id_), F.col("version").alias(version_), gone.alias(gone_))
+    same = F.col(id_col).eqNullSafe(F.col(id_)) & (F.xxhash64(F.col(text_col)) == F.col(version_))
     lines = F.split(F.col(text_col), LINE_END, -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
-    changed = F.col("_gone").isNotNull() & F.col(text_col).isNotNull()
-    text = F.when(changed, F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), LINE_END)).otherwise(
-        F.col(text_col)
-    )
-    removed = F.when(changed, F.size(F.array_distinct("_gone"))).otherwise(F.lit(0))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines_) - 1), gone_)
+    changed = F.col(gone_).isNotNull() & F.col(text_col).isNotNull()
+    text = F.when(changed, F.array_join(F.transform(kept, lambda i: F.get(lines_, i)), LINE_END)).otherwise(F.col(text_col))
+    removed = F.when(changed, F.size(F.array_distinct(gone_))).otherwise(F.lit(0))
     others = [c for c in docs.columns if c not in (text_col, "lines_removed")]
-    joined = docs.join(covered, same, "left").withColumn("_lines", F.when(changed, lines))
+    joined = docs.join(covered, same, "left").withColumn(lines_, F.when(changed, lines))
     out = joined.select(*others, text.alias(text_col), removed.alias("lines_removed"))
     return out.select(*[c for c in docs.columns if c != "lines_removed"], "lines_removed")
