@@ -11,6 +11,7 @@ have ended; files of attempts that were lost are in no manifest.
 
 from __future__ import annotations
 
+import io
 import struct
 import uuid
 import zlib
@@ -35,6 +36,8 @@ SKIPPABLE, SEEK_FRAME, SEEK_FOOTER, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F
 
 NULL_ID = np.iinfo(np.int64).min
 LEVEL = 1
+# Bytes that are read at a time.
+BLOCK = 1 << 20
 
 
 def write_frames(out: BinaryIO, documents: Iterable[tuple[int, bytes]]) -> tuple[int, int, int]:
@@ -101,8 +104,8 @@ def write_token_files(
 ) -> DataFrame:
     """Encode ``docs`` and write them to ``folder`` in ascending order of their ids; returns the manifest.
 
-    The manifest has a row per file: ``path``, ``part`` (files ascend by it), ``documents``, ``tokens``, ``bytes`` and
-    ``first`` (tokens in all files before). A null text is empty, which is the end id alone; a null doc_id comes
+    The manifest has a row per file: ``path``, ``part`` (files ascend by it), ``documents``, ``tokens``, ``bytes``,
+    ``first_id``, ``last_id`` and ``first`` (tokens in all files before). A null text is empty, which is the end id alone; a null doc_id comes
     first and is kept as the smallest long; rows that repeat an id follow one another in the order of their texts' hashes.
     An empty table gives an empty manifest. Ids must be integers; other columns are not read.
     """
@@ -118,10 +121,14 @@ def write_token_files(
         files.create_dir(base, recursive=True)
         part = TaskContext.get().partitionId()
 
+        last_id = NULL_ID
+
         def documents() -> Iterator[tuple[int, bytes]]:
+            nonlocal last_id
             for ids, texts in in_slices(batches):
                 for doc_id, text in zip(ids.to_pylist(), texts, strict=True):
-                    yield NULL_ID if doc_id is None else doc_id, encoder.encode(text) + end
+                    last_id = NULL_ID if doc_id is None else doc_id
+                    yield last_id, encoder.encode(text) + end
 
         rows = documents()
         first = next(rows, None)
@@ -133,12 +140,13 @@ def write_token_files(
 
             n, tokens, size = write_frames(out, chain([first], rows))
         made = {"path": [f"{folder}/{name}"], "part": [part], "documents": [n], "tokens": [tokens], "bytes": [size]}
+        made |= {"first_id": [first[0]], "last_id": [last_id]}
         yield pa.RecordBatch.from_pydict(made)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     order = [F.col("doc_id"), F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = "path string, part bigint, documents bigint, tokens bigint, bytes bigint"
+    schema = "path string, part bigint, documents bigint, tokens bigint, bytes bigint, first_id bigint, last_id bigint"
     written = stored(ordered.mapInArrow(run, schema), "token-file-parts")
     # One narrow row per file, not per document.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -147,7 +155,7 @@ def write_token_files(
 
 def read_token_files(manifest: DataFrame, doc_ids: list[int] | None = None) -> DataFrame:
     """Documents of the files, decompressed frame by frame: ``doc_id``, ``start`` (tokens of all documents before it),
-    ``ids`` (binary). ``doc_ids``: only these documents are decompressed."""
+    ``ids`` (binary). ``doc_ids``: only these documents are decompressed, and only files opened whose range holds one."""
     return _read(manifest, doc_ids, "doc_id bigint, start bigint, ids binary", lambda raw: {"ids": raw})
 
 
@@ -170,9 +178,14 @@ def _read(manifest: DataFrame, doc_ids: list[int] | None, schema: str, columns)
 
         for batch in batches:
             for file in batch.to_pylist():
+                if wanted is not None:
+                    within = wanted[(wanted >= file["first_id"]) & (wanted <= file["last_id"])]
+                    if not len(within):
+                        continue
                 files, path = _store(file["path"])
-                with files.open_input_file(path) as source:
-                    reader = FrameReader(source, source.size())
+                # Frames follow one another: blocks are read ahead, not a piece per document.
+                with files.open_input_file(path) as opened, io.BufferedReader(opened, BLOCK) as source:
+                    reader = FrameReader(source, opened.size())
                     starts = file["first"] + np.cumsum(reader.counts) - reader.counts
                     asked = range(len(reader.ids)) if wanted is None else np.flatnonzero(np.isin(reader.ids, wanted))
                     rows, held = [], 0
@@ -187,8 +200,9 @@ def _read(manifest: DataFrame, doc_ids: list[int] | None, schema: str, columns)
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
-    # A file is a task's work: files are dealt out evenly by their place in the order.
-    return manifest.select("path", "first", "part").repartitionByRange("part").mapInArrow(run, schema)
+    # A file is a task's work. The number of tasks is stated, else the few rows of the manifest would be put together.
+    files = manifest.select("path", "first", "part", "first_id", "last_id")
+    return files.repartitionByRange(max(1, manifest.count()), "part").mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:

@@ -170,3 +170,23 @@ def test_token_files(spark, odd, none, tokenizer):
     assert [(r["doc_id"], bytes(r["ids"])) for r in some] == [(d, as_bytes([*wanted(t), 1])) for d, t in TEXTS if d in (3, 7)]
     assert T.round_trip(none, tokenizer, end_id=1).collect() == []
     assert odd.select(F.count("*")).first()[0] == len(TEXTS)
+
+
+def test_every_file_is_read_by_a_task_of_its_own(spark, tokenizer):
+    docs = spark.createDataFrame([(i, f"some text {i} " * (i % 7)) for i in range(400)], "doc_id bigint, text string")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    manifest = T.write_token_files(docs, tokenizer, fresh_path(spark, "many"), 1)
+    spark.conf.set(coalesce, "true")
+    files = manifest.count()
+    found = T.file_digest(manifest)
+    assert files > 1 and found.rdd.getNumPartitions() == files
+    held = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(held) == files and sum(r["count"] for r in held) == 400
+    ranges = [(r["first_id"], r["last_id"]) for r in manifest.orderBy("part").collect()]
+    assert ranges[0][0] == 0 and ranges[-1][1] == 399
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    # Files that hold none of the ids are not opened.
+    first, last = ranges[1]
+    gone = manifest.withColumn("path", F.when(F.col("first_id") == first, F.col("path")).otherwise("/nowhere/x"))
+    assert {r["doc_id"] for r in T.read_token_files(gone, [first, last]).collect()} == {first, last}
