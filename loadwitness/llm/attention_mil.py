@@ -4,12 +4,14 @@ Every passage of ``PASSAGE_WORDS`` words becomes a vector: shares of character c
 character pairs. One layer encodes it, gated attention weighs it against the other passages of its document, and a
 logistic unit scores the weighted sum. Only labels of documents are used; which passage made a document bad is learned.
 
-The model is fitted on the driver from at most ``SAMPLE`` labelled rows (those whose ids have the smallest hashes);
-passages are encoded where the texts are. Scoring covers every passage of every row.
+The model is fitted on the driver from at most ``SAMPLE`` labelled rows (those whose ids have the smallest hashes), of each
+at most ``BAG`` passages, evenly spread over the whole text; passages are encoded where the texts are. Scoring covers every
+passage of every row. A score depends on the text alone: its sums run in one order, whatever lies beside it in a batch.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 from loadwitness.llm.common import in_slices
 from loadwitness.llm.naive_bayes import held_out
 
-#: Labelled rows that the model is fitted on at most.
-SAMPLE = 6000
+#: Labelled rows that the model is fitted on at most, and passages of each.
+SAMPLE, BAG = 6000, 64
 PASSAGE_WORDS, HIDDEN, GATE = 64, 24, 12
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 64, 0.01, 1e-4, 7
 THRESHOLD = 0.7
@@ -31,6 +33,9 @@ THRESHOLD = 0.7
 _MARKS = ".,;:!?|#$%&*-_/\\<>=+()[]{}\"'@~^`"
 _CATEGORIES = ["Lu", "Ll", "Lt", "Lm", "Lo", "N", "M", "P", "S", "Z", "C"]
 _PAIRS = 64
+# A text of more characters is cut into pieces of so many passages, so that a task's memory does not follow its length.
+LONG_CHARS, PIECE_PASSAGES = 1 << 19, 256
+_PIECE = re.compile(rf"(?:[^\x09-\x0d ]++[\x09-\x0d ]*+){{1,{PIECE_PASSAGES * PASSAGE_WORDS}}}+")
 _CLASSES = 1 + len(_MARKS) + 1 + len(_CATEGORIES)
 FEATURES = _CLASSES + _PAIRS + 8
 
@@ -38,7 +43,7 @@ FEATURES = _CLASSES + _PAIRS + 8
 @lru_cache(maxsize=1)
 def _class_table() -> np.ndarray:
     """Class of each code point of the basic plane; 0 for the rest."""
-    table = np.zeros(1 << 16, np.int64)
+    table = np.zeros((1 << 16) + 1, np.int64)
     for code in range(1 << 16):
         c = chr(code)
         kind = unicodedata.category(c)
@@ -58,7 +63,7 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(c) for c in codes], np.int64)
     chars = np.concatenate(codes) if codes else np.array([], np.uint32)
     text_of = np.repeat(np.arange(len(texts)), sizes)
-    kinds = _class_table()[np.minimum(chars, 0xFFFF)]
+    kinds = _class_table()[np.minimum(chars, 1 << 16)]
     space = (chars == 32) | ((chars >= 9) & (chars <= 13))
     edge = np.append(True, text_of[1:] != text_of[:-1]) if len(chars) else np.array([], bool)
     starts = np.flatnonzero(~space & (edge | np.append(True, space[:-1])[: len(space)]))
@@ -114,6 +119,38 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, owner
 
 
+def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """``passages`` of texts of any length: long ones go piece by piece, cut between passages."""
+    held, owners, some, mine = [], [], [], []
+
+    def flush():
+        if some:
+            x, owner = passages(some)
+            held.append(x)
+            owners.append(np.array(mine, np.int64)[owner])
+            some.clear()
+            mine.clear()
+
+    for i, text in enumerate(texts):
+        if len(text or "") <= LONG_CHARS:
+            some.append(text or "")
+            mine.append(i)
+            continue
+        any_ = False
+        for piece in _PIECE.finditer(text):
+            flush()
+            any_ = True
+            some.append(piece.group())
+            mine.append(i)
+        if not any_:
+            some.append("")
+            mine.append(i)
+    flush()
+    if not held:
+        return np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int64)
+    return np.concatenate(held), np.concatenate(owners)
+
+
 @dataclass
 class AttentionModel:
     """Weights; ``shift`` and ``scale`` standardise the features. Without weights every score is ``prior``."""
@@ -124,14 +161,25 @@ class AttentionModel:
     weights: dict[str, np.ndarray]
 
 
-def _forward(w: dict[str, np.ndarray], x: np.ndarray, begins: np.ndarray, owner: np.ndarray) -> dict[str, np.ndarray]:
-    h = np.tanh(x @ w["encode"] + w["encode_b"])
-    t, g = np.tanh(h @ w["tanh"] + w["tanh_b"]), 1 / (1 + np.exp(-(h @ w["gate"] + w["gate_b"])))
-    e = (t * g) @ w["attend"]
+def in_order(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``rows @ weights``, every row summed from its first column to its last. A library's product rounds a row differently
+    by the number of rows and its place among them."""
+    out = np.zeros((len(rows), *weights.shape[1:]))
+    for i, weight in enumerate(weights):
+        out += rows[:, i : i + 1] * weight if weights.ndim > 1 else rows[:, i] * weight
+    return out
+
+
+def _forward(
+    w: dict[str, np.ndarray], x: np.ndarray, begins: np.ndarray, owner: np.ndarray, product=np.matmul
+) -> dict[str, np.ndarray]:
+    h = np.tanh(product(x, w["encode"]) + w["encode_b"])
+    t, g = np.tanh(product(h, w["tanh"]) + w["tanh_b"]), 1 / (1 + np.exp(-(product(h, w["gate"]) + w["gate_b"])))
+    e = product(t * g, w["attend"])
     e = np.exp(e - np.maximum.reduceat(e, begins)[owner])
     a = e / np.add.reduceat(e, begins)[owner]
     z = np.add.reduceat(a[:, None] * h, begins, axis=0)
-    s = 1 / (1 + np.exp(-np.clip(z @ w["out"] + w["out_b"], -30, 30)))
+    s = 1 / (1 + np.exp(-np.clip(product(z, w["out"]) + w["out_b"], -30, 30)))
     return {"h": h, "t": t, "g": g, "a": a, "z": z, "s": s}
 
 
@@ -187,18 +235,18 @@ def train(x: np.ndarray, owner: np.ndarray, label: np.ndarray) -> AttentionModel
 def score_texts(model: AttentionModel, texts: list[str | None]) -> np.ndarray:
     if not model.weights:
         return np.full(len(texts), model.prior)
-    x, owner = passages([t or "" for t in texts])
-    begins = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-    return _forward(model.weights, (x - model.shift) / model.scale, begins, owner)["s"]
+    x, owner = bags(texts)
+    begins = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
+    return _forward(model.weights, (x - model.shift) / model.scale, begins, owner, in_order)["s"]
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     sample: int = SAMPLE,
 ) -> AttentionModel:
-    """Fit on at most ``sample`` labelled rows that are not held out.
+    """Fit on at most ``sample`` labelled rows that are not held out, of each at most ``BAG`` passages.
 
-    Null ids and labels are no examples; a row is an example once per label it has. Without examples, or with one label
+    Null ids and labels are no examples; a row is an example once per label it has; rows that repeat an id count each. Without examples, or with one label
     only, the model gives every text the mean label (0.5 without any).
     """
     chosen = (
@@ -213,10 +261,11 @@ def fit(
         import pyarrow as pa
 
         for ids, texts in in_slices(batches):
-            x, owner = passages([t or "" for t in texts])
+            x, owner = bags(texts)
             sizes = np.bincount(owner, minlength=len(texts))
             ends = np.cumsum(sizes)
-            made = [x[e - n : e].astype("<f4").tobytes() for n, e in zip(sizes, ends, strict=True)]
+            chosen = [e - n + np.unique(np.arange(min(n, BAG)) * n // min(n, BAG)) for n, e in zip(sizes, ends, strict=True)]
+            made = [x[rows].astype("<f4").tobytes() for rows in chosen]
             yield pa.RecordBatch.from_arrays(
                 [ids.field(0), ids.field(1), pa.array(made, pa.binary())], names=["doc_id", "label", "features"]
             )
@@ -224,10 +273,12 @@ def fit(
     # At most ``sample`` rows, so the side that is sent out has a fixed bound.
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
     kind = docs.schema[id_col].dataType.simpleString()
-    bags = rows.select(F.struct("doc_id", "label").alias("ids"), "text").mapInArrow(
+    examples = rows.select(F.struct("doc_id", "label").alias("ids"), "text").mapInArrow(
         run, f"doc_id {kind}, label double, features binary"
     )
-    found = sorted(bags.collect(), key=lambda r: (r["doc_id"], r["label"], r["features"]))
+    # Ids that many rows repeat give more rows than labels: the bound holds for what comes back.
+    order = [F.xxhash64("doc_id"), "doc_id", "label", F.xxhash64("features")]
+    found = sorted(examples.orderBy(*order).limit(sample).collect(), key=lambda r: (r["doc_id"], r["label"], r["features"]))
     x = [np.frombuffer(r["features"], "<f4").reshape(-1, FEATURES) for r in found]
     owner = np.repeat(np.arange(len(x)), [len(b) for b in x])
     flat = np.concatenate(x).astype(np.float64) if x else np.zeros((0, FEATURES))
@@ -237,7 +288,7 @@ def fit(
 def score(docs: DataFrame, model: AttentionModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from ``THRESHOLD`` on) of every row's whole text.
 
-    A null or empty text is scored as one empty passage. Repeated rows and null ids give a row each; an empty table gives
+    A null or empty text is scored as one empty passage; a text of any length is scored whole, long ones piece by piece. Repeated rows and null ids give a row each; an empty table gives
     none; labels, languages and sources are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -1,5 +1,6 @@
 """Operators over whole texts against brute-force versions, on odd rows and on the small tables."""
 
+import math
 import random
 import re
 import zlib
@@ -111,6 +112,15 @@ def test_line_dedup_of_odd_rows(odd, none):
     assert D.line_dedup(none).collect() == []
 
 
+def test_line_dedup_beside_any_names(spark):
+    rows = [(i, "a\nb\nc\nd", 1, 2, 3, 4, 5, 6) for i in range(3)]
+    names = ["_id", "_version", "_gone", "_lines", "__ID", "pos"]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"`{n}` int" for n in names))
+    found = D.line_dedup(docs)
+    assert found.columns == ["doc_id", "text", *names, "lines_removed"]
+    assert sorted(tuple(r) for r in found.collect()) == [(i, *([r[1], *r[2:], 0] if not i else ["", *r[2:], 4])) for i, r in enumerate(rows)]
+
+
 # Sharding
 
 
@@ -355,6 +365,72 @@ def test_scores_do_not_depend_on_neighbours():
         assert np.allclose(M.passages([t or ""])[0], x[owner == i])
 
 
+def attention_by_loops(model, text):
+    """One text's score, number by number."""
+    w = {k: np.asarray(v).tolist() for k, v in model.weights.items()}
+
+    def layer(values, weights, bias):
+        return [sum((v * row[j] for v, row in zip(values, weights, strict=True)), 0.0) + bias[j] for j in range(len(bias))]
+
+    x = (M.bags([text])[0] - model.shift) / model.scale
+    hidden = [[math.tanh(v) for v in layer(p, w["encode"], w["encode_b"])] for p in x.tolist()]
+    logits = []
+    for h in hidden:
+        t, g = layer(h, w["tanh"], w["tanh_b"]), layer(h, w["gate"], w["gate_b"])
+        logits.append(sum(math.tanh(a) / (1 + math.exp(-b)) * c for a, b, c in zip(t, g, w["attend"], strict=True)))
+    weights = [math.exp(e - max(logits)) for e in logits]
+    z = [sum(a * h[j] for a, h in zip(weights, hidden, strict=True)) / sum(weights) for j in range(M.HIDDEN)]
+    s = sum(a * b for a, b in zip(z, w["out"], strict=True)) + w["out_b"][0]
+    return 1 / (1 + math.exp(-min(max(s, -30), 30)))
+
+
+@pytest.fixture(scope="module")
+def attention():
+    rng = np.random.default_rng(8)
+    x, owner = rng.normal(0, 1, (900, M.FEATURES)), np.arange(900) // 3
+    return M.train(x, owner, (x.reshape(300, 3, -1)[:, :, 4].max(1) > 0.8).astype(float))
+
+
+def test_scores_are_equal_for_any_cut_into_batches(attention):
+    texts = [t for _, t in TEXTS] + ["a b. " * n for n in range(1, 60)] + ["", None]
+    whole = M.score_texts(attention, texts)
+    rng = random.Random(3)
+    for _ in range(20):
+        order = rng.sample(range(len(texts)), len(texts))
+        while order:
+            n = rng.randint(1, 30)
+            some, order = order[:n], order[n:]
+            assert (M.score_texts(attention, [texts[i] for i in some]) == whole[some]).all()
+
+
+def test_scores_against_loops(attention):
+    texts = [t for _, t in TEXTS]
+    for text, found in zip(texts, M.score_texts(attention, texts), strict=True):
+        assert found == pytest.approx(attention_by_loops(attention, text), abs=1e-12)
+
+
+def test_long_texts_go_piece_by_piece(attention, monkeypatch):
+    text = "  Some words of a text, \n and more. " * 20_000
+    whole = M.passages([text])[0]
+    cut, owner = M.bags(["a", text, "b", " " * (M.LONG_CHARS + 1)])
+    assert len(cut) == len(whole) + 3 and np.bincount(owner).tolist() == [1, len(whole), 1, 1]
+    # Only the blank before a piece's first word may count elsewhere.
+    assert np.abs(cut[1:-2] - whole).max() < 0.02
+    most = []
+    monkeypatch.setattr(M, "passages", lambda texts, real=M.passages: most.append(sum(map(len, texts))) or real(texts))
+    M.score_texts(attention, [text])
+    assert max(most) <= M.PIECE_PASSAGES * M.PASSAGE_WORDS * 12
+
+
+def test_what_the_model_learns_from_is_bounded(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(M, "train", lambda x, owner, label, real=M.train: sent.append((len(label), len(x))) or real(x, owner, label))
+    rows = [(7, f"word{i} " * 10) for i in range(500)] + [(8, "word " * 64 * 200)]
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, quality int")
+    M.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), labels, sample=50)
+    assert sent[0][0] <= 50 and sent[0][1] <= 50 * M.BAG
+
+
 def test_slopes_of_the_attention_model():
     """A step of training lowers the loss, and a bag is found by its one odd passage."""
     rng = np.random.default_rng(5)
