@@ -44,3 +44,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there, however often it is used afterwards."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """As ``materialise``, but as a table whose size Spark knows: a small one is then broadcast instead of shuffled."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,12 +1,16 @@
 """Readers, writers, the suite, and where intermediate data goes."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadwitness import scratch
 from loadwitness.operators.status import KEYWORDS
 from loadwitness.plans.report import discrepancy_report, report_step
 from loadwitness.plans.suite import run_suite, suite_verdicts
+from loadwitness.sources import objects, quoted
 from loadwitness.sources.metadata import jdbc_options, load_meta
 from loadwitness.sources.objects import load_source, load_target
 from loadwitness.sources.sinks import export_discrepancies, save_report, save_results
@@ -181,3 +185,77 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="share"):
         scratch.shared_dir(Session())
+
+
+def quoted_file(path, rows, end="\n", header=True):
+    import csv
+
+    with open(path, "w", newline="") as out:
+        writer = csv.writer(out, lineterminator=end)
+        if header:
+            writer.writerow(["id", "a,b", "t"])
+        writer.writerows(rows)
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def in_one_task(spark, path, schema=None):
+    reader = spark.read.options(**objects.CSV_OPTIONS)
+    return (reader if schema is None else reader.schema(schema)).csv(path)
+
+
+def same_rows(a, b):
+    assert a.columns == b.columns
+    return sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_are_read_by_several_tasks(spark, tmp_path, small_splits, end):
+    """Breaks at any place of any split, values longer than several splits, doubled quotes next to breaks."""
+    rng = random.Random(7)
+    parts = [end, '"', ",", "x", 'say "hi"', "two" + end + "lines", "", " ", "é😀", end * 3]
+    for n in range(3):
+        rows = [(i, "".join(rng.choices(parts, k=rng.randint(0, 6))), rng.choice(["", "plain", None])) for i in range(200)]
+        rows[50] = (50, ("long" + end) * 400, "x")
+        rows[120] = (120, ('"' + end) * 500, "x")
+        quoted_file(tmp_path / f"{n}.csv", rows, end)
+    quoted_file(tmp_path / "plain.csv", [(i, "a", "b") for i in range(300)], end)
+    found = objects.load_source(spark, str(tmp_path))
+    lines = quoted._lines(spark, str(tmp_path))
+    assert lines.select("file", "block").distinct().count() > 20
+    assert lines.where("file LIKE '%plain.csv'").select(F.spark_partition_id()).distinct().count() > 1
+    known = {(r["file"][-9:], r["block"]): r["busy"] for r in quoted.split_parities(lines).collect()}
+    assert not any(busy for (file, _), busy in known.items() if file == "plain.csv") and any(known.values())
+    assert found.count() == 900
+    assert same_rows(found, in_one_task(spark, str(tmp_path)))
+
+
+def test_split_files_that_fit_no_schema(spark, tmp_path, small_splits):
+    text = 'id,d\n1,2024-01-01\n"2\n",2024-01-02\nx,2024-01-03\n3\n4,5,6\n\n"5",""\n6,"bad\ndate"\n' + "7,2024-02-02\n" * 100
+    (tmp_path / "a.csv").write_text(text)
+    schema = T.StructType.fromDDL(f"id int, d date, {objects.CORRUPT} string")
+    reader = spark.read.options(**objects.CSV_OPTIONS).option("columnNameOfCorruptRecord", objects.CORRUPT).schema(schema)
+    assert same_rows(objects.load_source(spark, str(tmp_path), schema="id int, d date"), reader.csv(str(tmp_path)))
+
+
+def test_files_that_break_the_standard_and_other_options(spark, tmp_path, small_splits):
+    quoted_file(tmp_path / "a.csv", [(i, "x\ny", "z") for i in range(60)])
+    (tmp_path / "b.csv").write_text('id,"a,b",t\n1,5" pipe,x\n' + "2,y,z\n" * 60)
+    assert same_rows(objects.load_source(spark, str(tmp_path)), in_one_task(spark, str(tmp_path)))
+    assert not quoted.splits({**objects.CSV_OPTIONS, "encoding": "UTF-16"})
+    assert not quoted.splits({**objects.CSV_OPTIONS, "escape": "\\"}) and not quoted.splits({**objects.CSV_OPTIONS, "mode": "DROPMALFORMED"})
+    assert not quoted.splits({**objects.CSV_OPTIONS, "multiLine": "false"})
+    assert objects.load_source(spark, str(tmp_path / "a.csv"), options={"multiLine": "false"}).count() == 120
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "e.csv").write_text("id,t\n")
+    assert objects.load_source(spark, str(tmp_path / "e")).collect() == []
+    quoted_file(tmp_path / "e" / "e.csv", [(1, "x\ny", "z")], header=False)
+    headless = objects.load_source(spark, str(tmp_path / "e"), options={"header": "false"})
+    assert [tuple(r) for r in headless.collect()] == [("1", "x\ny", "z")]
