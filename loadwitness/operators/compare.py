@@ -17,8 +17,11 @@ from loadwitness.scratch import materialise
 # at most so many rows of two numbers, whatever the number of differing rows.
 TABLE_WORDS = 1 << 18
 
-# Names that no compared column should have.
+# Ranges of rows whose digests are compared first; so many numbers reach the driver at most.
+RANGES = 4096
+
 KEYS = ["_key_1", "_key_2"]
+RANGE = "_range"
 HASH = "_row_hash"
 
 
@@ -85,8 +88,10 @@ def canonical_rows(
     return df.select(*keep, F.sha2(F.concat(*parts), 256).alias(HASH), *texts)
 
 
-def with_keys(df: DataFrame, fields: T.StructType, scales: Mapping[str, int] | None = None) -> DataFrame:
-    """The compared columns with a 128-bit key: two rows have the same key exactly when their canonical texts agree.
+def with_keys(
+    df: DataFrame, fields: T.StructType, scales: Mapping[str, int] | None = None, ranges: Column | None = None
+) -> DataFrame:
+    """The compared columns, ``_range`` (by the key where ``ranges`` is not given) and a 128-bit key: two rows have the same key exactly when their canonical texts agree.
 
     The key hashes typed values, an order of magnitude cheaper than rendering and SHA-256, which are left to the rows
     that differ. Both halves see each value with a mark of its presence, in opposite orders, so values cannot slide
@@ -106,11 +111,75 @@ def with_keys(df: DataFrame, fields: T.StructType, scales: Mapping[str, int] | N
                     mark = mark.when(other.isNotNull(), F.xxhash64(F.lit(half), other))
             marks[half].append(mark.otherwise(F.lit(1).cast("bigint")).alias(f"_m{half}_{i}"))
     # Rendered values are used twice, so they get a projection of their own.
-    prepared = df.select(*columns, *values, *marks[0], *marks[1])
+    prepared = df.select(*columns, *values, *marks[0], *marks[1], (F.lit(0) if ranges is None else ranges).alias(RANGE))
+    number = F.pmod(KEYS[0], F.lit(RANGES)).cast("int") if ranges is None else F.col(RANGE)
     first, second = ([c for i in range(len(values)) for c in (f"_m{half}_{i}", f"_v{i}")] for half in (0, 1))
-    return prepared.select(
-        *columns, F.xxhash64(*first).alias(KEYS[0]), F.xxhash64(F.lit(1), *reversed(second)).alias(KEYS[1])
+    keyed = prepared.select(
+        *columns, F.xxhash64(*first).alias(KEYS[0]), F.xxhash64(F.lit(1), *reversed(second)).alias(KEYS[1]), RANGE
     )
+    return keyed.withColumn(RANGE, number)
+
+
+def _numbered(df: DataFrame, fields: T.StructType) -> DataFrame:
+    """The compared columns as ``c0``, ``c1`` and so on: no column can have the name of a helper then."""
+    own = {f.name.lower(): f.name for f in df.schema.fields}
+    return df.select(*[F.col(f"`{own[f.name.lower()]}`").alias(f"c{i}") for i, f in enumerate(fields.fields)])
+
+
+def _ordered_by(fields: T.StructType, range_by: str | None) -> int:
+    """Place of the column whose values make the ranges: the one asked for, else the first with an order in numbers, else
+    the first (whose rows get ranges by their keys)."""
+    names = [f.name.lower() for f in fields.fields]
+    if range_by is not None:
+        return names.index(range_by.lower())
+    kinds = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return next((i for i, f in enumerate(fields.fields) if isinstance(f.dataType, kinds)), 0)
+
+
+def _as_number(value: Column, kind: T.DataType) -> Column | None:
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    return None
+
+
+def _range_columns(sides: Sequence[DataFrame], fields: T.StructType, at: int) -> list[Column | None]:
+    """Per side the number of the range that a row is in, equal for equal rows nearly always.
+
+    Ranges of equal width between the least and the greatest value of both sides, so that rows which were loaded together and
+    differ together share ranges; None for values without such an order. Which range a row is in never decides whether it
+    is reported.
+    """
+    kind = fields.fields[at].dataType
+    numbers = [_as_number(_casts(df, fields)[at][1], kind) for df in sides]
+    if numbers[0] is None:
+        return [None for _ in sides]
+    known = [F.when((n > float("-inf")) & (n < float("inf")), n) for n in numbers]
+    values = reduce(DataFrame.unionByName, [df.select(n.alias("n")) for df, n in zip(sides, known, strict=True)])
+    low, high = values.agg(F.min("n"), F.max("n")).first()
+    width = F.lit(max((high - low) / RANGES, 1e-300) if low is not None else 1.0)
+    within = [F.floor((n - F.lit(low or 0.0)) / width) for n in known]
+    return [F.coalesce(F.least(w, F.lit(RANGES - 1)).cast("int"), F.lit(-1)) for w in within]
+
+
+def unequal_ranges(source: DataFrame, target: DataFrame) -> list[int]:
+    """Ranges whose rows on the two sides differ in number or in the sums of their 128-bit keys.
+
+    What one side adds the other takes away, so sums stay small; they are added up before the one shuffle, which
+    carries a row per range and task. Ranges with equal sums hold the same rows, copies included.
+    """
+    halves = [f(F.col(k)) for k in KEYS for f in (lambda c: F.shiftright(c, 32), lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)))]
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        return rows.select(RANGE, F.lit(sign).cast("bigint").alias("n"), *[(h * sign).alias(f"h{i}") for i, h in enumerate(halves)])
+
+    names = ["n", *[f"h{i}" for i in range(len(halves))]]
+    sums = signed(source, 1).unionByName(signed(target, -1)).groupBy(RANGE).agg(*[F.sum(c).alias(c) for c in names])
+    differ = reduce(lambda a, b: a | b, [F.col(c) != 0 for c in names])
+    return sorted(r[RANGE] for r in sums.where(differ).select(RANGE).collect())
 
 
 def side_counts(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -154,19 +223,35 @@ def compare(
     multiset: bool = False,
     scales: Mapping[str, int] | None = None,
     sides: Sequence[str] = (SOURCE_ONLY, TARGET_ONLY),
+    range_by: str | None = None,
 ) -> DataFrame:
     """Rows that one side holds and the other does not: ``side, row_hash, copies, data``.
 
     There is one record per distinct row; ``copies`` says how often it stands there. With ``multiset`` a row on
     both sides is reported too where the numbers of copies differ, on the side with more, ``copies`` being the surplus.
+    Columns may have any names.
 
-    Both sides are scanned twice. The first pass compares keys only and writes the differing ones down; the second
-    fetches their rows and drops the equal ones before anything else than keys is shuffled.
+    A first scan of both sides compares digests of ranges (of the values of ``range_by``); ranges that agree are read no
+    further, and nothing of them is shuffled. In the others keys only are compared and the differing ones written down;
+    a last scan fetches their rows and drops the equal ones before anything else than keys is shuffled.
     """
     fields = shared_columns(source, target, cols)
     if not fields.fields:
         raise ValueError("the two sides share no column")
-    keyed = {SOURCE_ONLY: with_keys(source, fields, scales), TARGET_ONLY: with_keys(target, fields, scales)}
+    at = _ordered_by(fields, range_by)
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields.fields)])
+    scales = {f"c{i}": scales[f.name] for i, f in enumerate(fields.fields) if f.name in scales} if scales else {}
+    both = [_numbered(df, fields) for df in (source, target)]
+    ranges = _range_columns(both, plain, at)
+    keyed = {
+        side: with_keys(df, plain, scales, number) for side, df, number in zip((SOURCE_ONLY, TARGET_ONLY), both, ranges, strict=True)
+    }
+    unequal = unequal_ranges(keyed[SOURCE_ONLY], keyed[TARGET_ONLY])
+    if not unequal:
+        schema = "side string, row_hash string, copies bigint, data map<string,string>"
+        return source.sparkSession.createDataFrame([], schema)
+    if len(unequal) <= RANGES // 2:
+        keyed = {side: rows.where(F.col(RANGE).isin(unequal)) for side, rows in keyed.items()}
     surplus = F.col("source_copies") - F.col("target_copies")
     differs = surplus != 0 if multiset else (F.col("source_copies") == 0) | (F.col("target_copies") == 0)
     found = materialise(
@@ -179,11 +264,11 @@ def compare(
         )
         .filter(F.col("_side").isin(*sides))
     )
-    pairs = [part for f in fields.fields for part in (F.lit(f.name), F.col(f"`{f.name}`"))]
+    pairs = [part for i, f in enumerate(fields.fields) for part in (F.lit(f.name), F.col(f"c{i}"))]
 
     def one_side(side: str) -> DataFrame:
         rows = _with_rows(keyed[side], found.filter(F.col("_side") == side).drop("_side"))
-        return canonical_rows(rows, fields, scales, keep=["_copies"]).select(
+        return canonical_rows(rows, plain, scales, keep=["_copies"]).select(
             F.lit(side).alias("side"),
             F.col(HASH).alias("row_hash"),
             F.col("_copies").alias("copies"),

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from loadwitness.operators.checks import (
     RESULT_COLUMNS,
     check_data,
+    check_keys,
     check_not_null,
     check_row_count,
     check_schema,
-    check_unique,
 )
 from loadwitness.operators.status import KEYWORDS
 from loadwitness.plans.verdict import verdicts
@@ -55,9 +55,9 @@ def check_mapping(source: DataFrame, target: DataFrame, spec: MappingSpec) -> Da
         check_data(source, target, cols=spec.columns, multiset=spec.multiset, scales=spec.scales),
         check_row_count(source, target),
     ]
-    if spec.uniqueness_columns:
-        frames.append(check_unique(target, spec.uniqueness_columns))
-    frames += [check_unique(target, key, composite=True) for key in spec.unique_keys]
+    keys = [[c] for c in spec.uniqueness_columns or ()] + [list(key) for key in spec.unique_keys or ()]
+    if keys:
+        frames.append(check_keys(target, keys))
     if spec.not_null_columns:
         frames.append(check_not_null(target, spec.not_null_columns))
     return union_results(frames)

@@ -5,9 +5,11 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from loadwitness.functions.comments import SOURCE_ONLY, TARGET_ONLY
 from loadwitness.operators import checks
+from loadwitness.operators import compare as cmp
 from loadwitness.operators.compare import compare, only_in, only_in_target, row_count
 
 SCHEMA = "k bigint, t string, x double"
@@ -160,3 +162,65 @@ def test_times_inside_nested_values_keep_microseconds(spark):
     for column, differ in (("a", 2), ("s", 2), ("m", 0)):
         assert compare(a, b, cols=[column]).count() == differ, column
     assert compare(a, a).count() == 0
+
+
+def test_columns_may_have_the_names_of_helpers(spark):
+    names = ["_word", "_bit", "_v0", "_copies", "_key_1", "_range", "_side", "c1", "_row_hash"]
+    schema = ", ".join(f"`{n}` int" for n in names)
+    source = spark.createDataFrame([tuple(range(9)), (1,) * 9], schema)
+    target = spark.createDataFrame([tuple(range(9)), (2,) * 9], schema)
+    found = {r["side"]: r["data"] for r in cmp.compare(source, target).collect()}
+    assert found == {SOURCE_ONLY: dict.fromkeys(names, "1"), TARGET_ONLY: dict.fromkeys(names, "2")}
+
+
+def shuffled_rows(spark, monkeypatch, source, target, **how):
+    """What the comparison of keys is given, and the rows that are found."""
+    given = []
+
+    def watch(a, b, real=cmp.side_counts):
+        given.append(a.count() + b.count())
+        return real(a, b)
+
+    monkeypatch.setattr(cmp, "side_counts", watch)
+    return cmp.compare(source, target, **how).count(), sum(given)
+
+
+def test_equal_ranges_are_not_shuffled(spark, monkeypatch):
+    """A tenth of all rows differ, as a load that went wrong does: nothing but their ranges is read again."""
+    source = spark.range(100_000).select("id", (F.col("id") * 3).alias("n"), F.lit("x").alias("t"))
+    target = source.withColumn("t", F.when(F.col("id").between(40_000, 49_999), "y").otherwise(F.col("t")))
+    found, given = shuffled_rows(spark, monkeypatch, source, target)
+    assert found == 20_000 and 20_000 <= given <= 20_200
+    found, given = shuffled_rows(spark, monkeypatch, source, target, range_by="n")
+    assert found == 20_000 and given <= 20_200
+    assert shuffled_rows(spark, monkeypatch, source, source.select("t", "n", "id")) == (0, 0)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "date", "timestamp", "decimal(20,4)", "string", "boolean"])
+def test_ranges_decide_nothing(spark, kind):
+    """Whatever the type of the column that makes ranges, nulls, copies and values at both ends are compared alike."""
+    base = spark.range(50).select(
+        (F.col("id") % 2 if kind == "boolean" else F.timestamp_seconds("id") if kind in ("date", "timestamp") else F.col("id"))
+        .cast(kind).alias("k"), F.col("id").alias("n"),
+    )
+    none = base.limit(1).select(F.lit(None).cast(kind).alias("k"), F.lit(-1).cast("bigint").alias("n"))
+    source, target = base.unionByName(none).unionByName(base.where("n = 7")), base.where("n <> 3").unionByName(none.withColumn("n", F.lit(-2)))
+    found = sorted((r["side"], r["data"]["n"], r["copies"]) for r in cmp.compare(source, target).collect())
+    assert found == sorted([(SOURCE_ONLY, "-1", 1), (SOURCE_ONLY, "3", 1), (TARGET_ONLY, "-2", 1)])
+    surplus = sorted((r["side"], r["data"]["n"]) for r in cmp.compare(source, target, multiset=True).collect())
+    assert surplus == sorted([(SOURCE_ONLY, "-1"), (SOURCE_ONLY, "3"), (TARGET_ONLY, "-2"), (SOURCE_ONLY, "7")])
+    assert cmp.compare(none, none).collect() == [] and cmp.compare(base.where("false"), base.where("false")).collect() == []
+
+
+def test_uniqueness_of_all_keys_in_one_scan(spark, tmp_path):
+    rows = [(1, "a", 0.0, None), (2, "a", -0.0, "x"), (2, None, float("nan"), "x"), (None, None, float("nan"), "y")]
+    spark.createDataFrame(rows, "a int, b string, c double, d string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    keys = [["a"], ["b"], ["c"], ["a", "d"], ["b", "c"], ["a", "b", "c", "d"]]
+    found = checks.duplicate_summary(df, keys)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    for key, row in zip(keys, found.collect(), strict=True):
+        groups = checks.duplicate_groups(df, key).collect()
+        assert (row["column_name"], row["duplicate_groups"]) == (" + ".join(key), len(groups))
+        assert row["duplicate_rows"] == sum(g["copies"] for g in groups)
