@@ -1,16 +1,16 @@
 """Sharding by balanced label propagation: linked rows move towards their neighbours' shards under quotas.
 
 Links run through hubs: rows that have a hub in common are neighbours, so a group of any size is as many links as it has
-rows. What moves together is a unit: the rows whose smallest hub is the same. Units that are a large part of a shard are
-dealt out first, the largest first, each to the shard with most room; where no shard has room for the whole unit, and only
-there, it is cut, into as few pieces as the room allows. All others start whole, by the hash of their hub. In a round a hub
-tells the bytes that it has on each shard (one narrow row per hub), every unit adds up what its hubs tell and wishes for the
-shard that holds most among those with room for it, of equal shards its own, then the emptiest; each shard admits wishes up
-to its room and passes over those that do not fit. A unit moves as a whole, so no round cuts one. Rounds end when no bytes
-move or links keep no more bytes together than before; where each row has one hub, the start leaves none to move. Rows
-without links cut nothing, wherever they are; they fill the shards up to equal sizes.
-
-What the driver sees is of fixed size: bytes by shard and bucket of hashes, and the units too large for a bucket.
+rows. The rows whose smallest hub is the same are a group. Groups that are a large part of a shard are dealt out first, the
+largest first, each to the shard with most room; where no shard has room for the whole group, and only there, it is cut, into
+as few pieces as the room allows. All others are cut into slices, which start on shards of their own and find together: in a
+round a hub tells the bytes that it has on each shard (one narrow row per hub), every slice adds up what its hubs tell and
+wishes for the shard that holds most among those with room for it, of equal shards its own, then the emptiest; each shard
+admits wishes up to its room and passes over those that do not fit. Rounds end when links keep no more bytes together than
+before. A group that is cut then, though shards have room, is dealt out as a whole. Rows without links cut nothing, wherever
+they are; they fill the shards up to equal sizes.
+
+What the driver sees is of fixed size: bytes by shard and bucket of hashes, and the groups too large for a bucket.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from loadwitness.llm.common import stored
 
 BUCKETS = 4096
+# Slices of a group, which start apart; rounds in vain after which they end, as in each only half of the slices may move.
+SLICES, VAIN = 8, 3
 # Room that linked rows may take beyond an equal share, and the part of a share from which on a unit is dealt out by itself:
 # less than the room, so that the emptiest shard always has room for a smaller one.
 SLACK, LARGE = 0.01, 1 / 128
@@ -73,26 +75,44 @@ def propagate(linked: DataFrame, links: DataFrame, shards: int, share: float) ->
         f"unit {kind}, starts array<bigint>, homes array<int>",
     )
     dealt = rows.join(F.broadcast(homes), "unit", "left")
-    small = rows.join(F.broadcast(homes), "unit", "left_anti").withColumn("bucket", _bucket("unit"))
-    sizes = small.groupBy("bucket").agg(F.sum("size").alias("bytes")).collect()  # at most BUCKETS rows
-    chosen = fill([(r["bucket"], r["bytes"]) for r in sizes], held)
-    by_bucket = F.get(F.array(*[F.lit(chosen.get(b, 0)) for b in range(BUCKETS)]), F.col("bucket"))
+    small = rows.join(F.broadcast(homes), "unit", "left_anti")
     one = dealt.where(F.size("homes") == 1).select("row", "size", F.col("homes")[0].alias("shard"))
     fixed = one
     if any(len(p) > 1 for p in pieces):
         piece = F.size(F.filter("starts", lambda x: x <= F.col("slot"))) - 1
         cut = gapless(dealt.where(F.size("homes") > 1), "unit", ["row"])
         fixed = one.union(cut.select("row", "size", F.get("homes", piece).alias("shard")))
-    state = small.select("row", "size", "unit", by_bucket.alias("shard"))
-    if not rows.where("hubs > 1").isEmpty():
-        fixed = stored(fixed, "fixed")
-        state = _rounds(state, fixed, links, shards, share * (1 + SLACK))
-    return state.select("row", "size", "shard").union(fixed)
+    fixed = stored(fixed, "fixed")
+    slices = small.select("row", "size", F.struct("unit", F.pmod(F.xxhash64("row"), F.lit(SLICES)).alias("slice")).alias("unit"))
+    moved, _ = _rounds(_filled(slices, held), fixed, links, shards, share * (1 + SLACK))
+
+    moved = stored(moved.withColumn("unit", F.col("unit.unit")), "moved")
+    is_cut = (F.min("shard") != F.max("shard")).alias("cut")
+    on = moved.groupBy("unit").agg(is_cut, F.sum("size").alias("bytes"), F.min("shard").alias("at"))
+    whole = on.where("NOT cut").groupBy("at").agg(F.sum("bytes").alias("bytes")).collect()
+    for r in whole:
+        held[r["at"]] += r["bytes"]
+    left = moved.join(on.where("cut").select("unit"), "unit", "left_semi").select("row", "size", "unit")
+    stays = moved.join(on.where("cut").select("unit"), "unit", "left_anti")
+    return stays.select("row", "size", "shard").union(_filled(left, held).select("row", "size", "shard")).union(fixed)
+
+
+def _filled(rows: DataFrame, held: list[float]) -> DataFrame:
+    """``rows`` (``unit``, ``size`` and others) with a ``shard``: whole units by buckets of their hashes, the largest bucket
+    first to the shard that holds least."""
+    rows = rows.withColumn("bucket", _bucket("unit"))
+    sizes = rows.groupBy("bucket").agg(F.sum("size").alias("bytes")).collect()  # at most BUCKETS rows
+    chosen = fill([(r["bucket"], r["bytes"]) for r in sizes], held)
+    by_bucket = F.get(F.array(*[F.lit(chosen.get(b, 0)) for b in range(BUCKETS)]), F.col("bucket"))
+    return rows.withColumn("shard", by_bucket).drop("bucket")
 
 
-def _rounds(state: DataFrame, fixed: DataFrame, links: DataFrame, shards: int, capacity: float) -> DataFrame:
-    """``state`` (``row``, ``size``, ``unit``, ``shard``) after all rounds; rows of ``fixed`` stay where they are."""
-    names, still, last = [f"s{i}" for i in range(shards)], 0, -1
+def _rounds(
+    state: DataFrame, fixed: DataFrame, links: DataFrame, shards: int, capacity: float
+) -> tuple[DataFrame, list[int]]:
+    """``state`` (``row``, ``size``, ``unit``, ``shard``) after all rounds, and what links kept together before each; rows of
+    ``fixed`` stay where they are."""
+    names, still, last, kept = [f"s{i}" for i in range(shards)], 0, -1, []
     bytes_of = state.groupBy("unit").agg(F.sum("size").alias("bytes"))
     for nth in count():
         state = stored(state, "shards")
@@ -104,8 +124,9 @@ def _rounds(state: DataFrame, fixed: DataFrame, links: DataFrame, shards: int, c
         # What links keep together: units that move one after the other only ever raise it.
         together = hubs.agg(F.sum(sum(F.col(n).cast("decimal(19,0)") * F.col(n) for n in names))).first()[0] or 0
         still = 0 if together > last else still + 1
-        if still == 4:  # halves of the units in vain
-            return state
+        kept.append(int(together))
+        if still == VAIN or not together:
+            return state, kept
         last = max(last, together)
         # A unit's own bytes in a hub move with it and pull nowhere.
         inside = links.join(state, "row").groupBy("unit", "shard", "hub").agg(F.sum("size").cast("double").alias("mine"))
@@ -166,7 +187,7 @@ def shard_by_text(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text
     """``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard`` of every row of ``docs``.
 
     Rows of equal texts are linked. The law is ``bytes``: shards hold nearly equal sums of sizes, a size being the UTF-8
-    bytes of the text and one more; ``grown_shard`` is null under it. A group is cut only where no shard
+    bytes of the text and one more; ``grown_shard`` is null under it. A group of equal texts is cut only where no shard
     has room for the whole of it. A null text counts as empty. Repeated rows and null ids are rows of their own; an empty
     table gives no rows; other columns are not read.
     """

@@ -198,6 +198,31 @@ def test_links_through_several_hubs_bring_units_together(spark):
 
 
 
+def test_rounds_bring_the_copies_of_the_documents_together(spark, monkeypatch):
+    """On the given table rounds run, move bytes, and links keep more together from round to round."""
+    runs = []
+
+    def watch(state, fixed, links, shards, capacity, real=L._rounds):
+        state = L.stored(state, "before")
+        after, kept = real(state, fixed, links, shards, capacity)
+        moved = state.join(after.select("row", F.col("shard").alias("to")), "row").where("`to` <> shard").count()
+        cut = [df.groupBy("unit.unit").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() for df in (state, after)]
+        runs.append((kept, moved, cut))
+        return after, kept
+
+    monkeypatch.setattr(L, "_rounds", watch)
+    folder = "/root/testdata/sf0.01"
+    docs = table(spark, folder, "documents")
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = L.shard_by_text(docs).collect()
+    check_shards(found, texts, 0.01)
+    (kept, moved, (before, after)), = runs
+    best = list(np.maximum.accumulate(kept))
+    assert len(kept) > L.VAIN and best[0] < best[1] < best[-1] and moved > 0
+    assert after < before / 4
+    assert cut_groups(found, texts)[0] == 0
+
+
 # Jaccard join
 
 
