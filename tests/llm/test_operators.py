@@ -360,6 +360,41 @@ def test_recall_does_not_depend_on_the_size_of_the_table(spark, monkeypatch):
     assert sum(len(found[q] & set(np.argsort(-score[q])[:12].tolist())) for q in range(0, 1500, 50)) >= 0.9 * 12 * 30
 
 
+def test_vectors_of_each_length_are_searched_among_their_own(spark):
+    rng = np.random.default_rng(9)
+    sizes = {24: range(0, 300), 7: range(300, 340), 1: range(340, 344)}
+    x = {i: rng.normal(size=d).astype(np.float32).astype(np.float64) for d, ids in sizes.items() for i in ids}
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "vec_id bigint, embedding array<float>")
+    found = defaultdict(list)
+    for r in C.nearest(vectors, F.col("vec_id") % 10 == 0, k=12).orderBy("rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    assert sorted(found) == list(range(0, 344, 10))
+    for ids in sizes.values():
+        hits, wanted = 0, 0
+        for q in [i for i in ids if i % 10 == 0]:
+            best = sorted((i for i in ids if i != q), key=lambda i: (-(x[i] * x[q]).sum(), i))[:12]
+            assert set(found[q]) <= set(ids) and len(found[q]) == len(best)
+            hits, wanted = hits + len(set(best) & set(found[q])), wanted + len(best)
+        assert hits >= 0.9 * wanted
+
+
+@pytest.mark.parametrize("products", [1, 1 << 22])
+def test_a_shard_gives_the_best_of_the_probed_buckets(monkeypatch, products):
+    monkeypatch.setattr(C, "PRODUCTS", products)
+    x, asks = np.random.default_rng(6).normal(size=(400, 12)), np.random.default_rng(7).normal(size=(15, 12))
+    tables = C.Tables(12, float(np.linalg.norm(x, axis=1).max()))
+    q, m, score = C.best_of_shard(asks, x, tables, 9)
+    buckets = [tables.buckets(x, t) for t in range(C.TABLES)]
+    probes = [tables.probes(asks, t) for t in range(C.TABLES)]
+    for i, ask in enumerate(asks):
+        seen = [j for j in range(400) if any(buckets[t][j] in probes[t][i] for t in range(C.TABLES))]
+        best = sorted(seen, key=lambda j: (-(x[j] * ask).sum(), j))[:9]
+        assert m[q == i].tolist() == best and np.allclose(score[q == i], x[best] @ ask)
+    # Fewer members than places: all of them, whatever the buckets.
+    few = C.best_of_shard(asks, x[:5], tables, 9)
+    assert np.bincount(few[0]).tolist() == [5] * 15
+
+
 # Classifiers
 
 
