@@ -28,19 +28,28 @@ from loadwitness.llm.common import stored
 TABLES, PROBES, SEED = 16, 8, 20
 # Bytes of vectors, as doubles, of a shard of members and of a block of queries; smaller tables still have SHARDS of them.
 BLOCK_BYTES, SHARDS = 1 << 25, 8
-# Inner products that a task holds at a time.
-PRODUCTS = 1 << 22
+# Inner products that a task holds at a time, and vectors that it turns at a time.
+PRODUCTS, COLUMNS = 1 << 22, 1024
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """The normalised fast Hadamard transform of each row; its length is a power of two."""
+    """The normalised fast Hadamard transform of each row; its length is a power of two.
+
+    Components are held as columns, so that each step adds and subtracts long neighbouring stretches.
+    """
     n, d = x.shape
-    step = 1
-    while step < d:
-        x = x.reshape(n, -1, 2, step)
-        x = np.stack([x[:, :, 0] + x[:, :, 1], x[:, :, 0] - x[:, :, 1]], axis=2).reshape(n, d)
-        step *= 2
-    return x / math.sqrt(d)
+    out = np.array(x.T, order="C", copy=True)
+    for at in range(0, n, COLUMNS):
+        part, step = np.ascontiguousarray(out[:, at : at + COLUMNS]), 1
+        while step < d:
+            pairs = part.reshape(-1, 2, step, part.shape[1])
+            low = pairs[:, 0] - pairs[:, 1]
+            pairs[:, 0] += pairs[:, 1]
+            pairs[:, 1] = low
+            step *= 2
+        out[:, at : at + COLUMNS] = part
+    out /= math.sqrt(d)
+    return out.T
 
 
 class Tables:
@@ -73,9 +82,9 @@ class Tables:
         return self._turned(x, False, table).argmax(axis=1)
 
     def probes(self, x: np.ndarray, table: int) -> np.ndarray:
-        """The buckets nearest to each query, nearest first (rows of at most ``PROBES``)."""
-        near = min(PROBES, 2 * self.width)
-        return np.argsort(-self._turned(x, True, table), axis=1, kind="stable")[:, :near]
+        """The buckets nearest to each query, in any order (rows of at most ``PROBES``)."""
+        far, near = np.ascontiguousarray(-self._turned(x, True, table)), min(PROBES, 2 * self.width)
+        return far.argpartition(near - 1, axis=1)[:, :near]
 
 
 def _best(q: np.ndarray, m: np.ndarray, score: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
