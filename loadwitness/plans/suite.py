@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +26,7 @@ from loadwitness.operators.checks import (
 )
 from loadwitness.operators.status import KEYWORDS
 from loadwitness.plans.verdict import verdicts
-from loadwitness.scratch import fresh_path
+from loadwitness.scratch import fresh_path, shared_dir
 from loadwitness.sources.objects import load_source, load_target
 from loadwitness.sources.specs import MappingSpec
 
@@ -32,6 +37,9 @@ RESULT_SCHEMA = """
   status string, metrics map<string,bigint>, comment string
 """
 
+# One row per mapping that a named suite has finished; the driver reads as many as it was given declarations.
+MANIFEST_SCHEMA = "name string, path string"
+
 # What tells the results of one load from those of another: several mappings may share a pipeline and batch.
 LOAD = ["mapping_id", "pipeline_id", "batch_id"]
 
@@ -71,20 +79,48 @@ def _failed(spark: SparkSession, error: Exception) -> DataFrame:
     )
 
 
+def _declared(specs: Sequence[MappingSpec]) -> list[str]:
+    """A name for each mapping that depends on its declaration; equal declarations are numbered."""
+    seen: Counter[str] = Counter()
+    names = []
+    for spec in specs:
+        text = json.dumps(asdict(spec), sort_keys=True, default=list)
+        digest = hashlib.sha256(text.encode()).hexdigest()[:32]
+        seen[digest] += 1
+        names.append(f"{digest}-{seen[digest]}")
+    return names
+
+
+def _finished(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Names of the mappings that an earlier start of the suite finished, each with the folder of its rows."""
+    manifest = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", True)
+    try:
+        return {r.name: r.path for r in manifest.parquet(f"{folder}/finished").collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+
+
 def run_suite(
     spark: SparkSession,
     specs: Sequence[MappingSpec],
     source_of: Loader = _source,
     target_of: Loader = _target,
     parallel: int = 4,
+    run: str | None = None,
 ) -> DataFrame:
     """The result table: ``mapping_id, pipeline_id, batch_id, seq`` with the result columns, for all mappings.
 
     Each mapping is checked and written by itself, ``parallel`` at a time, so a plan is as large as one mapping's. A
     mapping that cannot be read or compared, be it found out only while its rows are read, gives one row of status
     ``error`` in place of all others; the other mappings go on. ``seq`` tells the rows of a mapping apart.
+
+    A suite with a name (``run``) may be started again under it, in the same shared folder, after its driver was lost:
+    mappings that it had finished, by the same declaration, are not checked again. A mapping that gave an error is.
     """
-    folder = fresh_path(spark, "suite")
+    folder = f"{shared_dir(spark).rstrip('/')}/suite-{run}" if run else fresh_path(spark, "suite")
+    finished = _finished(spark, folder) if run else {}
 
     def write(rows: DataFrame, spec: MappingSpec, path: str) -> str:
         rows.select(
@@ -96,16 +132,23 @@ def run_suite(
         ).write.parquet(path)
         return path
 
-    def results_of(numbered: tuple[int, MappingSpec]) -> str:
-        number, spec = numbered
+    def results_of(keyed: tuple[str, MappingSpec]) -> str:
+        key, spec = keyed
+        if key in finished:
+            return finished[key]
+        attempt = f"{key}-{uuid.uuid4().hex}"
         try:
             rows = check_mapping(source_of(spark, spec), target_of(spark, spec), spec)
-            return write(rows, spec, f"{folder}/mapping-{number}")
+            path = write(rows, spec, f"{folder}/mapping-{attempt}")
         except (PySparkException, Py4JJavaError, ValueError) as error:
-            return write(_failed(spark, error), spec, f"{folder}/error-{number}")
+            return write(_failed(spark, error), spec, f"{folder}/error-{attempt}")
+        if run:
+            done = spark.createDataFrame([(key, path)], MANIFEST_SCHEMA)
+            done.coalesce(1).write.mode("append").parquet(f"{folder}/finished/{attempt}")
+        return path
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        written = list(pool.map(results_of, enumerate(specs)))
+        written = list(pool.map(results_of, zip(_declared(specs), specs)))
     if not written:
         return spark.createDataFrame([], RESULT_SCHEMA)
     return spark.read.schema(RESULT_SCHEMA).parquet(*written)

@@ -83,6 +83,17 @@ def validation_result_sink(d):
     return d.spark.read.parquet(path).select("batch_id", "seq", "validation_type", "comment")
 
 
+@query("validation_result_replaced", "SELECT batch_id, seq, validation_type, comment FROM fx_validation_result")
+def validation_result_replaced(d):
+    """Saved three times: whole, an altered half, whole again."""
+    path = fresh_path(d.spark, "validation_replaced")
+    sinks.replace_results(d.validation_result, path)
+    half = d.validation_result.where(F.col("batch_id") % 2 == 0).withColumn("comment", F.lit("superseded"))
+    sinks.replace_results(half, path)
+    sinks.replace_results(d.validation_result, path)
+    return sinks.load_results(d.spark, path).select("batch_id", "seq", "validation_type", "comment")
+
+
 @query(
     "discrepancy_csv_sink",
     """SELECT r.pipeline_id, x.batch_id, x.side AS discrepancy_type, x.payload AS data_content

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# What one load is told from another by, as far as results have the columns.
+LOAD_COLUMNS = ("mapping_id", "pipeline_id", "batch_id")
+
 
 def _spread(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """Neighbouring folders together, so that there are at most as many files as folders and tasks; the hash splits a
@@ -12,20 +21,55 @@ def _spread(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     return df.repartitionByRange(*keys, F.xxhash64(*by)).sortWithinPartitions(*keys)
 
 
+def _by_batch(df: DataFrame) -> DataFrame:
+    ranged = df.repartitionByRange("batch_id", F.xxhash64("validation_type", "comment"))
+    return ranged.sortWithinPartitions("batch_id", "validation_type")
+
+
 def save_results(df: DataFrame, target: str, mode: str = "append") -> None:
     """Validation results, to a path (with a slash) or a table, in ranges of batches.
 
     Files hold neighbouring batches in order, so a filter on ``batch_id`` skips the others by their statistics, and
     there is no folder per batch. The second range key splits a batch that holds much of the data.
     """
-    ranged = df.repartitionByRange("batch_id", F.xxhash64("validation_type", "comment"))
-    writer = ranged.sortWithinPartitions("batch_id", "validation_type").write.mode(mode)
+    writer = _by_batch(df).write.mode(mode)
     if "/" in target:
         writer.parquet(target)
     else:
         writer.saveAsTable(target)
 
 
+def replace_results(
+    df: DataFrame, path: str, by: Sequence[str] | None = None, loads: DataFrame | None = None
+) -> None:
+    """Validation results under ``path``, in place of those saved there before for the same loads.
+
+    A load is what ``by`` tells apart (of ``LOAD_COLUMNS`` those that ``df`` has), null being a value like others. ``loads``
+    names loads that are replaced even if ``df`` has no row of them. Rows go into a folder of this save, then one row per
+    load into the manifest. A save takes effect as a whole when its part of the manifest is committed: one that is lost
+    before is as if it had not been, and no earlier file is touched. Read with ``load_results``.
+    """
+    spark, keys = df.sparkSession, list(by or [c for c in LOAD_COLUMNS if c in df.columns])
+    if not keys or not set(keys) <= set(df.columns):
+        raise ValueError(f"results need columns that tell loads apart, such as {LOAD_COLUMNS}")
+    # Saves are ordered by their names.
+    save = f"save=s{time.time_ns():020d}-{uuid.uuid4().hex}"
+    _by_batch(df).write.parquet(f"{path}/results/{save}")
+    saved = spark.read.schema(df.schema).parquet(f"{path}/results/{save}").select(*keys)
+    if loads is not None:
+        saved = saved.union(loads.select(*[F.col(c).cast(df.schema[c].dataType) for c in keys]))
+    saved.distinct().write.parquet(f"{path}/saves/{save}")
+
+
+def load_results(spark: SparkSession, path: str) -> DataFrame:
+    """Of every load the rows of its last save by ``replace_results``."""
+    saves = spark.read.parquet(f"{path}/saves")
+    keys = [c for c in saves.columns if c != "save"]
+    last = saves.groupBy(*[F.col(c).alias(f"_{c}") for c in keys]).agg(F.max("save").alias("_save"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys] + [F.col("save") == F.col("_save")]
+    return spark.read.parquet(f"{path}/results").join(last, reduce(and_, same), "left_semi").drop("save")
+
+
 def export_discrepancies(discrepancies: DataFrame, path: str, mode: str = "append") -> None:
     """Raw discrepancies as CSV, a folder per pipeline and batch.
 

@@ -13,7 +13,7 @@ from loadwitness.plans.suite import run_suite, suite_verdicts
 from loadwitness.sources import objects, quoted
 from loadwitness.sources.metadata import jdbc_options, load_meta
 from loadwitness.sources.objects import load_source, load_target
-from loadwitness.sources.sinks import export_discrepancies, save_report, save_results
+from loadwitness.sources.sinks import export_discrepancies, load_results, replace_results, save_report, save_results
 from loadwitness.sources.specs import MappingSpec, specs_frame
 
 LOGIN = {"user": "u", "password": "p"}
@@ -61,6 +61,45 @@ def test_results_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 200
 
 
+def test_results_saved_again_take_the_place_of_earlier_ones(spark, tmp_path):
+    path = str(tmp_path / "results")
+    schema = "mapping_id string, batch_id bigint, validation_type string, comment string"
+
+    def results(*rows):
+        return spark.createDataFrame([(m, b, "data", c) for m, b, c in rows], schema)
+
+    def kept():
+        rows = load_results(spark, path).collect()
+        return sorted(((r.mapping_id, r.batch_id, r.comment) for r in rows), key=repr)
+
+    first = [("a", 1, "x"), ("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), (None, 1, "n"), ("a", None, "m")]
+    replace_results(results(*first), path)
+    replace_results(results(*first), path)
+    assert kept() == sorted(first, key=repr)
+    replace_results(results(("a", 1, "new"), (None, 1, "new"), ("c", 1, "added")), path)
+    wanted = [("a", 1, "new"), ("a", 2, "y"), ("b", 1, "z"), (None, 1, "new"), ("a", None, "m"), ("c", 1, "added")]
+    assert kept() == sorted(wanted, key=repr)
+    # A load without any result now.
+    replace_results(results(), path, loads=results(("b", 1, ""), ("a", None, "")))
+    wanted = [w for w in wanted if w[:2] not in [("b", 1), ("a", None)]]
+    assert kept() == sorted(wanted, key=repr)
+    assert load_results(spark, path).columns == ["mapping_id", "batch_id", "validation_type", "comment"]
+    with pytest.raises(ValueError):
+        replace_results(spark.createDataFrame([("data", "x")], "validation_type string, comment string"), path)
+
+
+def test_a_save_that_breaks_off_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "results")
+    good = spark.range(10).selectExpr("id AS batch_id", "'data' AS validation_type", "'x' AS comment")
+    replace_results(good, path)
+    broken = good.selectExpr("batch_id", "validation_type", "raise_error('lost') AS comment")
+    with pytest.raises(Exception, match="lost"):
+        replace_results(broken, path)
+    # Rows that came through before the manifest was written.
+    good.withColumn("comment", F.lit("no")).write.parquet(f"{path}/results/save=s99999999999999999999-x")
+    assert {r.comment for r in load_results(spark, path).collect()} == {"x"} and load_results(spark, path).count() == 10
+
+
 def test_export_of_all_batches(spark, tmp_path):
     rows = [(1, 1, i, "present_only_in_source", f'a,"{i}"\nb') for i in range(11)] + [(2, 2, i, "other", "x") for i in range(11)]
     rows += [(3, 3, i, "present_only_in_source", "x") for i in range(10)]
@@ -147,6 +186,41 @@ def test_an_unreadable_file_stays_with_its_mapping(loads):
     assert any(r.comment.startswith("Column: id + day, Status: UNIQUE") for r in rows if r.comment)
 
 
+def test_a_suite_goes_on_where_it_was_lost(spark, tmp_path):
+    spark.sql("SELECT 1 AS id, 'a' AS t").write.parquet(str(tmp_path / "t"))
+    specs = [MappingSpec(f"m{i}", 1, 7, "s", str(tmp_path / "t"), unique_keys=[["id"]]) for i in range(4)]
+    specs += [MappingSpec("gone", 1, 7, "s", str(tmp_path / "nowhere")), specs[0]]
+    read, lost = [], {"m2"}
+
+    def source(session, spec):
+        read.append(spec.mapping_id)
+        if spec.mapping_id in lost:
+            raise KeyboardInterrupt
+        return session.sql("SELECT 1 AS id, 'a' AS t")
+
+    def target(session, spec):
+        return session.read.parquet(spec.target_object)
+
+    name = f"lost-{tmp_path.name}"
+    with pytest.raises(KeyboardInterrupt):
+        run_suite(spark, specs, source, target, parallel=1, run=name)
+    assert read[:3] == ["m0", "m1", "m2"]
+    lost.clear()
+    read.clear()
+    results = run_suite(spark, specs, source, target, parallel=1, run=name)
+    assert "m0" not in read[:-1] and "m1" not in read and "m2" in read
+    whole = run_suite(spark, specs, source, target, parallel=2)
+    shown = ["mapping_id", "validation_type", "status", "comment"]
+    assert sorted(map(repr, results.select(*shown).collect())) == sorted(map(repr, whole.select(*shown).collect()))
+    # All finished: only the mapping with an error is tried again. Another declaration is another mapping.
+    read.clear()
+    run_suite(spark, specs, source, target, parallel=1, run=name)
+    assert read == ["gone"]
+    changed = [MappingSpec("m0", 1, 7, "s", str(tmp_path / "t"), not_null_columns=["t"])]
+    run_suite(spark, changed, source, target, run=name)
+    assert read == ["gone", "m0"]
+
+
 def test_saved_results_are_reported(spark, loads, tmp_path):
     specs, results = loads
     save_results(results, str(tmp_path / "saved"))
