@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,9 @@ KEYWORDS = {
     "ingestion": ["rest api source", "target", "get body", "ingestion"],
 }
 
+# Keywords of a table that become one expression, and letters by which more of them meet names.
+LITERALS, LETTERS = 500, 3
+
 
 def with_codes(df: DataFrame, column: str, codes: Sequence[int]) -> DataFrame:
     """Rows whose code is in a list."""
@@ -102,38 +105,97 @@ def node_status(runs: DataFrame, objects: DataFrame, status: DataFrame, flow: Da
     )
 
 
-def speaks_of(node_name: Column, validation_type: str) -> Column:
-    """Whether a node's name holds any keyword of a step."""
+def _listed(keywords: DataFrame | Mapping[str, Sequence[str]]) -> dict[str, list[str]] | None:
+    """Keywords by step; none if a table holds more than ``LITERALS`` rows. Null and empty keywords speak of nothing."""
+    if not isinstance(keywords, DataFrame):
+        return {t: [w for w in words if w] for t, words in keywords.items()}
+    rows = keywords.select("validation_type", "keyword").limit(LITERALS + 1).collect()
+    if len(rows) > LITERALS:
+        return None
+    listed: dict[str, list[str]] = {}
+    for r in rows:
+        if r.validation_type is not None:
+            listed.setdefault(r.validation_type, []).extend([r.keyword] if r.keyword else [])
+    return listed
+
+
+def speaks_of(node_name: Column, words: Sequence[str]) -> Column:
+    """Whether a node's name holds any of the keywords."""
     name = lower_text(node_name)
     found = F.lit(False)
-    for word in KEYWORDS[validation_type]:
-        found = found | name.contains(word)
+    for word in words:
+        found = found | name.contains(F.lower(F.lit(word)))
     return found
 
 
-def match_steps(nodes: DataFrame) -> DataFrame:
-    """One row per node and step its name speaks of; a node can count for several steps, once for each."""
+def match_steps(nodes: DataFrame, keywords: DataFrame | Mapping[str, Sequence[str]] = KEYWORDS) -> DataFrame:
+    """One row per node and step its name speaks of; a node can count for several steps, once for each.
+
+    ``keywords`` are lists by step or a table of ``validation_type, keyword``. Up to ``LITERALS`` of them become one
+    expression; more meet the distinct names by the first letters of each keyword.
+    """
+    listed = _listed(keywords)
+    if listed is None:
+        return _match_by_letters(nodes, keywords)
+    if not listed:
+        return nodes.withColumn("validation_type", F.lit(None).cast("string")).where(F.lit(False))
     types = F.filter(
-        F.array(*[F.when(speaks_of(F.col("node_name"), t), F.lit(t)) for t in KEYWORDS]), lambda t: t.isNotNull()
+        F.array(*[F.when(speaks_of(F.col("node_name"), words), F.lit(t)) for t, words in listed.items()]),
+        lambda t: t.isNotNull(),
     )
     return nodes.withColumn("validation_type", F.explode(types))
 
 
-def step_status(nodes: DataFrame) -> DataFrame:
-    """One row per run, one column per step: Fail if any node of the step failed, else Success if any succeeded, else NA."""
-    status = upper_text(F.col("status"))
-    weight = F.when(status == "FAILED", 2).when(status == "SUCCEEDED", 1)
+def _match_by_letters(nodes: DataFrame, keywords: DataFrame) -> DataFrame:
+    """``match_steps`` by a join of every stretch of up to ``LETTERS`` letters of a distinct name with the keywords that begin
+    so; those that the name holds remain. Names, letters and nodes of a name may be hot, so both joins are salted."""
+    words = keywords.where("validation_type IS NOT NULL AND keyword <> ''").select(
+        "validation_type", F.lower("keyword").alias("word"), F.lower("keyword").substr(1, LETTERS).alias("letters")
+    ).distinct()
+    name = lower_text(F.col("node_name"))
+    names = nodes.select(name.alias("_name")).where("_name <> ''").distinct()
+    begins = F.sequence(F.lit(1), F.length("_name"))
+    stretches = F.flatten(
+        F.transform(begins, lambda at: F.array(*[F.substr("_name", at, F.lit(n)) for n in range(1, LETTERS + 1)]))
+    )
+    met = salted_join(names.select("_name", F.explode(F.array_distinct(stretches)).alias("letters")), words, ["letters"], ["_name"])
+    steps = met.where(F.contains("_name", "word")).select("_name", "validation_type").distinct()
+    return salted_join(nodes.withColumn("_name", name), steps, ["_name"], nodes.columns).drop("_name")
+
+
+def step_status(nodes: DataFrame, keywords: DataFrame | Mapping[str, Sequence[str]] = KEYWORDS) -> DataFrame:
+    """One row per run, one column per step: Fail if any node of the step failed, else Success if any succeeded, else NA.
+
+    ``keywords`` as for ``match_steps``; a step without any keyword has a column too.
+    """
+    weight = _weight(F.col("status"))
 
-    def rollup(t: str) -> Column:
-        worst = F.max(F.when(speaks_of(F.col("node_name"), t), weight))
+    def rollup(t: str, worst: Column) -> Column:
         return F.when(worst == 2, "Fail").when(worst == 1, "Success").otherwise("NA").alias(t)
 
-    return nodes.groupBy("pipeline_id", "batch_id").agg(*[rollup(t) for t in KEYWORDS])
+    listed, runs = _listed(keywords), ["pipeline_id", "batch_id"]
+    if listed is not None:
+        worst = {t: F.max(F.when(speaks_of(F.col("node_name"), words), weight)) for t, words in listed.items()}
+        if not worst:
+            return nodes.select(*runs).distinct()
+        return nodes.groupBy(*runs).agg(*[rollup(t, w) for t, w in worst.items()])
+    # Steps become columns, so their names are few.
+    types = sorted(r[0] for r in keywords.where("validation_type IS NOT NULL").select("validation_type").distinct().collect())
+    matched = _match_by_letters(nodes, keywords).select(*runs, "validation_type", weight.alias("_weight"))
+    none = nodes.select(*runs, F.lit(None).cast("string").alias("validation_type"), F.lit(None).cast("int").alias("_weight"))
+    worst = {t: F.max(F.when(F.col("validation_type") == t, F.col("_weight"))) for t in types}
+    return matched.union(none).groupBy(*runs).agg(*[rollup(t, w) for t, w in worst.items()])
+
+
+def _weight(status: Column) -> Column:
+    status = upper_text(status)
+    return F.when(status == "FAILED", 2).when(status == "SUCCEEDED", 1)
 
 
 def step_status_rows(wide: DataFrame) -> DataFrame:
     """``step_status`` with one row per run and step."""
-    rows = F.array(*[F.struct(F.lit(t).alias("validation_type"), F.col(t).alias("step_status")) for t in KEYWORDS])
+    types = [c for c in wide.columns if c not in ("pipeline_id", "batch_id")]
+    rows = F.array(*[F.struct(F.lit(t).alias("validation_type"), F.col(f"`{t}`").alias("step_status")) for t in types])
     return wide.select("pipeline_id", "batch_id", F.inline(rows))
 
 

@@ -85,6 +85,26 @@ def keyword_join(d):
     return status.match_steps(nodes(d))
 
 
+# Keywords out of the data: the name of each pipeline's first node, and words of one and two letters.
+_OWN_KEYWORDS = """
+SELECT concat('like_', workspace_pipeline_id % 3) AS validation_type, lower(min({name})) AS keyword
+FROM {objects} GROUP BY workspace_pipeline_id
+UNION SELECT 'short', 'a' UNION SELECT 'short', 'ro' UNION SELECT 'none', '' UNION SELECT 'none', NULL"""
+
+
+@query(
+    "keyword_join_table",
+    f"""WITH k AS ({_OWN_KEYWORDS.format(name="object_info ->> '$.config.nodeName'", objects="fx_object")})
+SELECT DISTINCT n.pipeline_id, n.batch_id, n.object_id, n.node_name, n.status, k.validation_type
+FROM ox_node_status n JOIN k ON k.keyword <> '' AND contains(lower(coalesce(n.node_name, '')), k.keyword)""",
+)
+def keyword_join_table(d):
+    """Nodes matched by the keywords of a table."""
+    named = d.object.select("workspace_pipeline_id", F.get_json_object("object_info", "$.config.nodeName").alias("node_name"))
+    words = d.spark.sql(_OWN_KEYWORDS.format(name="node_name", objects="{named}"), named=named)
+    return status.match_steps(nodes(d), words)
+
+
 @query(
     "present_only_in_source",
     f"SELECT row_hash, copies, {_NAMES} FROM ox_hashed_source WHERE row_hash NOT IN (SELECT row_hash FROM ox_hashed_target)",

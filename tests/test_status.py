@@ -69,6 +69,41 @@ def test_a_node_counts_once_per_step(spark):
     assert [r.validation_type for r in status.match_steps(df).collect()] == ["data"]
 
 
+WORDS = [("data", "Data Val"), ("data", "data"), ("short", "x"), ("short", "va"), ("other", "nowhere"), ("none", ""), ("none", None)]
+WORDS += [(None, "data"), ("long", "saving data validation result"), ("data.2", "é")]
+
+
+@pytest.mark.parametrize("literals", [0, 500])
+def test_keywords_of_a_table(spark, monkeypatch, literals):
+    monkeypatch.setattr(status, "LITERALS", literals)
+    words = spark.createDataFrame(WORDS, "validation_type string, keyword string")
+    names = ["Data Validation", "saving data validation result", "x", "VA", "", None, "Ünrelated É", "v", "x"]
+    states = ["Failed", "Succeeded", "Succeeded", None, "Failed", "Failed", "succeeded", "Failed", "FAILED"]
+    rows = [(1 + i // 5, 7, i, n, s) for i, (n, s) in enumerate(zip(names, states))]
+    nodes = spark.createDataFrame(rows, "pipeline_id long, batch_id long, object_id long, node_name string, status string")
+    found = status.match_steps(nodes, words)
+    assert found.columns == [*nodes.columns, "validation_type"]
+    wanted = {(i, t) for _, _, i, n, _ in rows for t, w in WORDS if t and w and w.lower() in (n or "").lower()}
+    assert sorted((r.object_id, r.validation_type) for r in found.collect()) == sorted(wanted)
+    wide = {r.pipeline_id: r.asDict() for r in status.step_status(nodes, words).collect()}
+    for pipeline in (1, 2):
+        for step in ("data", "short", "other", "none", "long", "data.2"):
+            seen = {str(s).upper() for p, _, i, _, s in rows if p == pipeline and (i, step) in wanted}
+            state = "Fail" if "FAILED" in seen else "Success" if "SUCCEEDED" in seen else "NA"
+            assert wide[pipeline][step] == state
+    long = status.step_status_rows(status.step_status(nodes, words)).collect()
+    assert {(r.pipeline_id, r.validation_type, r.step_status) for r in long} == {
+        (p, t, v) for p, row in wide.items() for t, v in row.items() if t not in ("pipeline_id", "batch_id")
+    }
+
+
+def test_no_keywords_match_nothing(spark):
+    nodes = spark.createDataFrame([(1, 1, "data", "Failed")], "pipeline_id long, batch_id long, node_name string, status string")
+    none = spark.createDataFrame([], "validation_type string, keyword string")
+    assert status.match_steps(nodes, none).collect() == [] and status.match_steps(nodes, {}).collect() == []
+    assert status.step_status(nodes, none).columns == ["pipeline_id", "batch_id"]
+
+
 def test_current_rows_of_text_and_time(spark):
     texts = spark.createDataFrame([("9999-12-31 00:00:00.000",), ("2024-01-01 00:00:00.000",)], "valid_to_ts string")
     assert status.current_rows(texts).count() == 1
