@@ -8,7 +8,11 @@ from operator import and_, or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadwitness.scratch import written
+
 SALTS = 16
+# Rows of one key that a task may well take.
+HOT = 1_000_000
 
 
 def salted_join(
@@ -28,6 +32,28 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def counted_join(
+    big: DataFrame, small: DataFrame, on: list[str], salt_by: list[str], counted: DataFrame | None = None, hot: int | None = None
+) -> DataFrame:
+    """Inner equi-join of ``big`` to ``small`` on ``on`` in which only keys with more than ``hot`` rows in ``big`` are salted,
+    each over as many tasks as it has ``hot`` rows; of ``small`` only the rows of such keys are repeated.
+
+    The rows of each key are counted first, with partial counts, in ``counted`` where another frame with the rows of ``big``
+    is cheaper to read. There is at most one such key per ``hot`` rows. Without any the join is a plain one. Rows
+    with a null key match nothing and are left out.
+    """
+    hot = hot or HOT
+    present = reduce(and_, [F.col(c).isNotNull() for c in on])
+    keys = (counted if counted is not None else big).where(present).groupBy(*on).agg(F.count("*").alias("_rows"))
+    busy = written(keys.where(F.col("_rows") > hot).select(*on, F.ceil(F.col("_rows") / hot).alias("_salts")), "hot-keys")
+    if busy.isEmpty():
+        return big.join(small, on)
+    salts = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    left = big.where(present).join(busy, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), salts)).drop("_salts")
+    right = small.join(busy, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    return left.join(right.drop("_salts"), [*on, "_salt"]).drop("_salt")
+
+
 def join_nulls_apart(left: DataFrame, right: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
     """Left join on ``on``. Rows of ``left`` with a null there match nothing; they are spread by a hash of ``spread``
     instead of meeting in one task."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadwitness.functions.jsonpath import json_cast, json_path_text
 from loadwitness.functions.scalars import OPEN_END, lower_text, upper_text
-from loadwitness.operators.skew import salted_join
+from loadwitness.operators.skew import counted_join, salted_join
 
 # Codes and words of the metadata store.
 JOB_TYPES = (3, 25)
@@ -88,8 +88,9 @@ def node_status(runs: DataFrame, objects: DataFrame, status: DataFrame, flow: Da
         "object_id",
         json_path_text(F.col("object_info"), "config", "nodeName").alias("node_name"),
     )
-    # A pipeline has few nodes and ever more runs, so the runs are spread and the nodes copied.
-    per_run = salted_join(coded, nodes, ["pipeline_id"], ["batch_id"])
+    # A pipeline has few nodes and ever more runs, so the runs of a busy one are spread and its nodes copied.
+    listed = runs.select("pipeline_id", "batch_id").distinct()
+    per_run = counted_join(coded, nodes, ["pipeline_id"], ["batch_id"], counted=listed)
     ran = status.select(
         F.col("node_id").alias("object_id"),
         F.col("data_movement_id").alias("pipeline_id"),

@@ -91,6 +91,28 @@ def test_salting_spreads_a_hot_key(spark, no_broadcast):
     assert len(salts) == SALTS and max(r["count"] for r in salts) < 20_000 / SALTS * 1.3
 
 
+def test_only_counted_hot_keys_are_salted(spark, no_broadcast):
+    from loadwitness.operators.skew import counted_join
+
+    big = spark.range(4_000).selectExpr("if(id < 3000, 0, if(id % 9 = 0, null, id)) AS k", "id % 2000 AS v")
+    small = spark.range(4_000).selectExpr("id AS k", "id % 3 AS w").union(spark.sql("SELECT 0L, 7L UNION ALL SELECT NULL, 1L"))
+    wanted = sorted(map(repr, big.join(small, "k").select("k", "v", "w").collect()))
+    cool = counted_join(big, small, ["k"], ["v"])
+    assert "_salt" not in plan_of(cool) and "Generate" not in plan_of(cool)
+    salted = counted_join(big, small, ["k"], ["v"], hot=500)
+    assert "_salt" in plan_of(salted)
+    for found in (cool, salted, counted_join(big, small, ["k"], ["v"], counted=big.select("k"), hot=1)):
+        assert found.columns == ["k", "v", "w"]
+        assert sorted(map(repr, found.collect())) == wanted
+    assert counted_join(big.where("false"), small, ["k"], ["v"]).collect() == []
+
+
+def test_node_lists_are_not_copied_without_a_hot_pipeline(spark):
+    from loadwitness.registry.inputs import nodes
+
+    assert "_salt" not in plan_of(nodes(Data(spark, FOLDER)))
+
+
 def test_null_keys_are_spread(spark, no_broadcast):
     """Rows without a key match nothing; they do not meet in one task, and the result is that of a plain left join."""
     from loadwitness.operators.skew import join_nulls_apart
