@@ -11,6 +11,7 @@ only where byte length and SHA-256 agree as well. Texts themselves never move.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -110,7 +111,11 @@ class CountingQuotientFilter:
 
 def merged(filters: list[CountingQuotientFilter]) -> tuple[np.ndarray, np.ndarray]:
     """Values and summed counts of filters of one segment: their sorted runs laid together."""
-    runs = [f.entries() for f in filters]
+    return _together([f.entries() for f in filters])
+
+
+def _together(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of values with counts as one, in ascending order."""
     values, counts = (np.concatenate([r[i] for r in runs]) for i in (0, 1))
     order = np.argsort(values, kind="stable")
     values, counts = values[order], counts[order]
@@ -118,6 +123,19 @@ def merged(filters: list[CountingQuotientFilter]) -> tuple[np.ndarray, np.ndarra
     return values[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def counted(batches: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in ascending order and how often each occurs. A run is laid together with an earlier one only when it
+    has grown to half its size, so each value is sorted a logarithmic number of times."""
+    runs: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        runs.append(np.unique(batch, return_counts=True))
+        while len(runs) > 1 and len(runs[-2][0]) <= 2 * len(runs[-1][0]):
+            runs[-2:] = [_together(runs[-2:])]
+    if not runs:
+        return np.array([], np.uint64), np.array([], np.int64)
+    return _together(runs)
+
+
 def repeated_fingerprints(rows: DataFrame, column: str, segment_bits: int) -> DataFrame:
     """``fingerprint`` (long) and ``copies`` (long) of the values that ``column`` (long) holds more than once."""
     bits = 64 - segment_bits
@@ -125,12 +143,7 @@ def repeated_fingerprints(rows: DataFrame, column: str, segment_bits: int) -> Da
     def filters(batches):
         import pyarrow as pa
 
-        seen, held = np.array([], np.uint64), np.array([], np.int64)
-        for batch in batches:
-            fresh, n = np.unique(batch.column(0).to_numpy().view(np.uint64), return_counts=True)
-            values = np.concatenate([seen, fresh])
-            seen, where = np.unique(values, return_inverse=True)
-            held = np.bincount(where, np.concatenate([held, n]), len(seen)).astype(np.int64)
+        seen, held = counted(batch.column(0).to_numpy().view(np.uint64) for batch in batches)
         if not len(seen):
             return
         segment = (seen >> np.uint64(bits)).astype(np.int64)

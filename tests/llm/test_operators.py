@@ -413,6 +413,60 @@ def test_language_is_learned(spark, odd, none):
     assert N.identify(none, model).collect() == []
 
 
+def _bucket(gram):
+    """The bucket of an n-gram in whole numbers of 32 bits."""
+    mixed = int(N._SEEDS[len(gram)])
+    for place, char in enumerate(gram):
+        mixed = ((mixed ^ ord(char)) * int(N._PLACES[place])) % 2**32
+        mixed ^= mixed >> 15
+    return (mixed * int(N._PLACES[0])) % 2**32 >> 32 - N.BUCKET_BITS
+
+
+def _grams(text):
+    text = text.lower()
+    return [_bucket(text[i : i + n]) for n in N.ORDERS for i in range(len(text) - n + 1)]
+
+
+def test_language_model_by_counting(spark, odd):
+    docs = table(spark, SMALL, "documents").select("doc_id", "text", "lang")
+    rows = docs.where("doc_id % 3 = 0").collect()
+    learned = [r for r in rows if r["text"] and r["lang"] and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    counts, number = defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    for r in learned:
+        number[r["lang"]] += 1
+        for b in _grams(r["text"]):
+            counts[r["lang"]][b] += 1
+    size = 1 << N.BUCKET_BITS
+    totals = {x: sum(c.values()) + N.SMOOTHING * size for x, c in counts.items()}
+    model = N.fit(docs.where("doc_id % 3 = 0"))
+    assert model.languages == sorted(counts)
+    tested = [(r["doc_id"], r["text"]) for r in rows[:60]] + [(10**6 + i, t) for i, (_, t) in enumerate(TEXTS)]
+    frame = spark.createDataFrame(tested, "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in N.identify(frame, model).collect()}
+    for i, text in tested:
+        if not text or not any(c.isalpha() for c in text):
+            assert (found[i]["lang_pred"], found[i]["score"]) == ("und", 0)
+            continue
+        odds = {x: math.log(number[x] / len(learned)) for x in counts}
+        for b in _grams(text):
+            for x in odds:
+                odds[x] += math.log((counts[x].get(b, 0) + N.SMOOTHING) / totals[x])
+        best = max(sorted(odds), key=odds.get)
+        share = 1 / sum(math.exp(o - odds[best]) for o in odds.values())
+        assert share < 0.51 or found[i]["lang_pred"] == best
+        assert abs(found[i]["score"] - share) < 1e-3
+
+
+def test_values_are_counted_whatever_the_batches():
+    rng = np.random.default_rng(8)
+    values = rng.integers(0, 3000, 20_000).astype(U)
+    for cuts in ([], [1, 2, 3], list(range(50, 20_000, 50)), [19_000], [0, 0, 20_000]):
+        seen, held = E.counted(np.split(values, cuts))
+        wanted, n = np.unique(values, return_counts=True)
+        assert (seen == wanted).all() and (held == n).all()
+    assert [len(x) for x in E.counted([])] == [0, 0]
+
+
 def test_scores_do_not_depend_on_neighbours():
     texts = [t for _, t in TEXTS]
     rng = np.random.default_rng(1)
