@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwitness.operators.compare import compare, converts, row_count
+from loadwitness.operators.compare import compare, compare_and_count, converts, row_count
 
 RESULT_COLUMNS = ["validation_type", "column_name", "status", "metrics", "comment"]
 
@@ -69,27 +69,48 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts.select("total_rows", F.inline(per_column)).select("column_name", "nulls", "total_rows")
 
 
-def schema_pairs(source: DataFrame, target: DataFrame, compat: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+def schema_probes(
+    source: DataFrame, target: DataFrame, compat: Mapping[str, Sequence[str]] | None = None
+) -> dict[str, F.Column]:
+    """By column (in lower case) of another type that ``compat`` declares: whether a source value does not convert without
+    loss."""
+    right = {f.name.lower(): f for f in target.schema.fields}
+    probes = {}
+    for s in source.schema.fields:
+        t = right.get(s.name.lower())
+        if t is None or s.dataType.simpleString() == t.dataType.simpleString():
+            continue
+        if t.dataType.simpleString() in (compat or {}).get(s.dataType.simpleString(), ()):
+            raw = F.col(f"`{s.name}`")
+            probes[s.name.lower()] = raw.isNotNull() & ~converts(raw, s.dataType, t.dataType)
+    return probes
+
+
+def schema_pairs(
+    source: DataFrame,
+    target: DataFrame,
+    compat: Mapping[str, Sequence[str]] | None = None,
+    counted: Mapping[str, int] | None = None,
+) -> DataFrame:
     """Columns of both sides by name (case does not count): types, position, whether they fit.
 
     A source type fits an equal target type, or one that ``compat`` declares if every value converts without loss. Values are read
-    for declared pairs only, all in one pass; without such pairs no data is read.
+    for declared pairs only, all in one pass; without such pairs, or with what ``schema_probes`` found ``counted`` already, no
+    data is read.
     """
-    compat = compat or {}
     left = {f.name.lower(): (i, f) for i, f in enumerate(source.schema.fields)}
     right = {f.name.lower(): (i, f) for i, f in enumerate(target.schema.fields)}
-    rows, probes = [], []
+    probes = schema_probes(source, target, compat)
+    place = {key: i for i, key in enumerate(probes)}
+    rows = []
     for key in [*left, *[k for k in right if k not in left]]:
         s_pos, s = left.get(key, (None, None))
         t_pos, t = right.get(key, (None, None))
         s_type = s.dataType.simpleString() if s else None
         t_type = t.dataType.simpleString() if t else None
         bad, fits = F.lit(0).cast("bigint"), F.lit(s_type == t_type)
-        if s_type != t_type and t_type in compat.get(s_type, ()):
-            raw = F.col(f"`{s.name}`")
-            fit = converts(raw, s.dataType, t.dataType)
-            probes.append(F.count_if(raw.isNotNull() & ~fit).alias(f"n{len(probes)}"))
-            bad = F.col(f"n{len(probes) - 1}")
+        if key in probes:
+            bad = F.col(f"n{place[key]}") if counted is None else F.lit(counted[key]).cast("bigint")
             fits = bad == 0
         rows.append(
             F.struct(
@@ -102,7 +123,8 @@ def schema_pairs(source: DataFrame, target: DataFrame, compat: Mapping[str, Sequ
                 fits.alias("fits"),
             )
         )
-    probed = source.agg(*probes) if probes else source.sparkSession.range(1)
+    sums = [F.count_if(bad).alias(f"n{place[key]}") for key, bad in probes.items()]
+    probed = source.agg(*sums) if sums and counted is None else source.sparkSession.range(1)
     return probed.select(F.inline(F.array(*rows)))
 
 
@@ -110,9 +132,14 @@ def _schema_text(df: DataFrame) -> str:
     return "[" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in df.schema.fields) + "]"
 
 
-def check_schema(source: DataFrame, target: DataFrame, compat: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+def check_schema(
+    source: DataFrame,
+    target: DataFrame,
+    compat: Mapping[str, Sequence[str]] | None = None,
+    counted: Mapping[str, int] | None = None,
+) -> DataFrame:
     """One ``schemas`` row with both schemas, one ``schema`` row per column that does not fit."""
-    pairs = schema_pairs(source, target, compat)
+    pairs = schema_pairs(source, target, compat, counted)
     both = f"Source Schema: {_schema_text(source)} Target Schema: {_schema_text(target)}"
     bad = F.count_if(~F.col("fits"))
     head = pairs.agg(F.count("*").alias("n"), bad.alias("bad")).select(
@@ -147,8 +174,12 @@ def check_data(
     scales: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One ``data`` row per row that stands on one side only: tag, double bar, row as JSON with its hash."""
+    return _data_rows(compare(source, target, cols, multiset, scales))
+
+
+def _data_rows(differing: DataFrame) -> DataFrame:
     with_hash = F.map_concat("data", F.create_map(F.lit("row_hash"), F.col("row_hash")))
-    return compare(source, target, cols, multiset, scales).select(
+    return differing.select(
         F.lit("data").alias("validation_type"),
         F.lit(None).cast("string").alias("column_name"),
         F.lit("failed").alias("status"),
@@ -159,7 +190,11 @@ def check_data(
 
 def check_row_count(source: DataFrame, target: DataFrame) -> DataFrame:
     """One ``row_count`` row."""
-    return row_count(source, target).select(
+    return _row_count_rows(row_count(source, target))
+
+
+def _row_count_rows(counts: DataFrame) -> DataFrame:
+    return counts.select(
         F.lit("row_count").alias("validation_type"),
         F.lit(None).cast("string").alias("column_name"),
         F.when(F.col("difference") == 0, "passed").otherwise("failed").alias("status"),
@@ -196,8 +231,12 @@ def check_keys(target: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
 
 def check_not_null(target: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One ``not_null`` row per column."""
+    return _not_null_rows(null_counts(target, cols))
+
+
+def _not_null_rows(counts: DataFrame) -> DataFrame:
     clean = F.col("nulls") == 0
-    return null_counts(target, cols).select(
+    return counts.select(
         F.lit("not_null").alias("validation_type"),
         "column_name",
         F.when(clean, "passed").otherwise("failed").alias("status"),
@@ -211,3 +250,33 @@ def check_not_null(target: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.col("nulls").cast("string"),
         ).alias("comment"),
     )
+
+
+def check_sides(
+    source: DataFrame,
+    target: DataFrame,
+    compat: Mapping[str, Sequence[str]] | None = None,
+    cols: Sequence[str] | None = None,
+    multiset: bool = False,
+    scales: Mapping[str, int] | None = None,
+    not_null: Sequence[str] = (),
+) -> DataFrame:
+    """The rows of ``check_schema``, ``check_data``, ``check_row_count`` and, for the columns in ``not_null``,
+    ``check_not_null``: row counts, nulls and values that do not convert are counted in the comparison's first scan, so
+    none of them reads a side again."""
+    spark, probes = source.sparkSession, schema_probes(source, target, compat)
+    nulls = [F.col(c).isNull() for c in not_null]
+    differing, seen = compare_and_count(
+        source, target, cols, multiset, scales, source_facts=list(probes.values()), target_facts=nulls
+    )
+    a, b = seen.rows
+    counts = spark.createDataFrame([(a, b, abs(a - b))], "source_rows bigint, target_rows bigint, difference bigint")
+    frames = [
+        check_schema(source, target, compat, dict(zip(probes, seen.facts[0], strict=True))),
+        _data_rows(differing),
+        _row_count_rows(counts),
+    ]
+    if nulls:
+        found = [(c, n, b) for c, n in zip(not_null, seen.facts[1], strict=True)]
+        frames.append(_not_null_rows(spark.createDataFrame(found, "column_name string, nulls bigint, total_rows bigint")))
+    return reduce(DataFrame.unionByName, frames)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -89,9 +90,14 @@ def canonical_rows(
 
 
 def with_keys(
-    df: DataFrame, fields: T.StructType, scales: Mapping[str, int] | None = None, ranges: Column | None = None
+    df: DataFrame,
+    fields: T.StructType,
+    scales: Mapping[str, int] | None = None,
+    ranges: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The compared columns, ``_range`` (by the key where ``ranges`` is not given) and a 128-bit key: two rows have the same key exactly when their canonical texts agree.
+    """The compared columns, those in ``keep``, ``_range`` (by the key where ``ranges`` is not given) and a 128-bit key: two
+    rows have the same key exactly when their canonical texts agree.
 
     The key hashes typed values, an order of magnitude cheaper than rendering and SHA-256, which are left to the rows
     that differ. Both halves see each value with a mark of its presence, in opposite orders, so values cannot slide
@@ -111,19 +117,22 @@ def with_keys(
                     mark = mark.when(other.isNotNull(), F.xxhash64(F.lit(half), other))
             marks[half].append(mark.otherwise(F.lit(1).cast("bigint")).alias(f"_m{half}_{i}"))
     # Rendered values are used twice, so they get a projection of their own.
-    prepared = df.select(*columns, *values, *marks[0], *marks[1], (F.lit(0) if ranges is None else ranges).alias(RANGE))
+    number = (F.lit(0) if ranges is None else ranges).alias(RANGE)
+    prepared = df.select(*columns, *keep, *values, *marks[0], *marks[1], number)
     number = F.pmod(KEYS[0], F.lit(RANGES)).cast("int") if ranges is None else F.col(RANGE)
     first, second = ([c for i in range(len(values)) for c in (f"_m{half}_{i}", f"_v{i}")] for half in (0, 1))
     keyed = prepared.select(
-        *columns, F.xxhash64(*first).alias(KEYS[0]), F.xxhash64(F.lit(1), *reversed(second)).alias(KEYS[1]), RANGE
+        *columns, *keep, F.xxhash64(*first).alias(KEYS[0]), F.xxhash64(F.lit(1), *reversed(second)).alias(KEYS[1]), RANGE
     )
     return keyed.withColumn(RANGE, number)
 
 
-def _numbered(df: DataFrame, fields: T.StructType) -> DataFrame:
-    """The compared columns as ``c0``, ``c1`` and so on: no column can have the name of a helper then."""
+def _numbered(df: DataFrame, fields: T.StructType, facts: Sequence[Column] = ()) -> DataFrame:
+    """The compared columns as ``c0``, ``c1`` and so on, ``facts`` as ``f0``, ``f1``: no column can have the name of a helper
+    then."""
     own = {f.name.lower(): f.name for f in df.schema.fields}
-    return df.select(*[F.col(f"`{own[f.name.lower()]}`").alias(f"c{i}") for i, f in enumerate(fields.fields)])
+    columns = [F.col(f"`{own[f.name.lower()]}`").alias(f"c{i}") for i, f in enumerate(fields.fields)]
+    return df.select(*columns, *[F.coalesce(c, F.lit(False)).alias(f"f{i}") for i, c in enumerate(facts)])
 
 
 def _ordered_by(fields: T.StructType, range_by: str | None) -> int:
@@ -165,21 +174,46 @@ def _range_columns(sides: Sequence[DataFrame], fields: T.StructType, at: int) ->
     return [F.coalesce(F.least(w, F.lit(RANGES - 1)).cast("int"), F.lit(-1)) for w in within]
 
 
-def unequal_ranges(source: DataFrame, target: DataFrame) -> list[int]:
-    """Ranges whose rows on the two sides differ in number or in the sums of their 128-bit keys.
+@dataclass(frozen=True)
+class Digests:
+    """What the first scan of both sides tells: ranges that are unequal, rows of each side, rows for which each fact holds."""
+
+    unequal: list[int]
+    rows: tuple[int, int]
+    facts: tuple[list[int], list[int]]
+
+
+def range_digests(source: DataFrame, target: DataFrame) -> Digests:
+    """Ranges whose rows on the two sides differ in number or in the sums of their 128-bit keys, and counts of all rows.
 
     What one side adds the other takes away, so sums stay small; they are added up before the one shuffle, which
-    carries a row per range and task. Ranges with equal sums hold the same rows, copies included.
+    carries a row per range and task. Ranges with equal sums hold the same rows, copies included. Columns ``f0``, ``f1`` and
+    so on, where a side has them, are counted along. The driver gets a row per range.
     """
     halves = [f(F.col(k)) for k in KEYS for f in (lambda c: F.shiftright(c, 32), lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    sides = (source, target)
+    facts = [sum(c.startswith("f") for c in df.columns) for df in sides]
+    digest = ["n", *[f"h{i}" for i in range(len(halves))]]
+    counts = [f"r{side}" for side in (0, 1)] + [f"f{side}_{i}" for side in (0, 1) for i in range(facts[side])]
+
+    def signed(side: int) -> DataFrame:
+        sign, own = (1, -1)[side], {f"r{side}": F.lit(1)} | {f"f{side}_{i}": F.col(f"f{i}") for i in range(facts[side])}
+        return sides[side].select(
+            RANGE,
+            F.lit(sign).cast("bigint").alias("n"),
+            *[(h * sign).alias(f"h{i}") for i, h in enumerate(halves)],
+            *[own.get(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        )
 
-    def signed(rows: DataFrame, sign: int) -> DataFrame:
-        return rows.select(RANGE, F.lit(sign).cast("bigint").alias("n"), *[(h * sign).alias(f"h{i}") for i, h in enumerate(halves)])
-
-    names = ["n", *[f"h{i}" for i in range(len(halves))]]
-    sums = signed(source, 1).unionByName(signed(target, -1)).groupBy(RANGE).agg(*[F.sum(c).alias(c) for c in names])
-    differ = reduce(lambda a, b: a | b, [F.col(c) != 0 for c in names])
-    return sorted(r[RANGE] for r in sums.where(differ).select(RANGE).collect())
+    sums = signed(0).unionByName(signed(1)).groupBy(RANGE).agg(*[F.sum(c).alias(c) for c in digest + counts])
+    differs = reduce(lambda a, b: a | b, [F.col(c) != 0 for c in digest])
+    found = sums.select(RANGE, differs.alias("differs"), *counts).collect()
+    total = {c: sum(r[c] for r in found) for c in counts}
+    return Digests(
+        sorted(r[RANGE] for r in found if r["differs"]),
+        (total["r0"], total["r1"]),
+        tuple([total[f"f{side}_{i}"] for i in range(facts[side])] for side in (0, 1)),
+    )
 
 
 def side_counts(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -235,21 +269,43 @@ def compare(
     further, and nothing of them is shuffled. In the others keys only are compared and the differing ones written down;
     a last scan fetches their rows and drops the equal ones before anything else than keys is shuffled.
     """
+    return compare_and_count(source, target, cols, multiset, scales, sides, range_by)[0]
+
+
+def compare_and_count(
+    source: DataFrame,
+    target: DataFrame,
+    cols: Sequence[str] | None = None,
+    multiset: bool = False,
+    scales: Mapping[str, int] | None = None,
+    sides: Sequence[str] = (SOURCE_ONLY, TARGET_ONLY),
+    range_by: str | None = None,
+    source_facts: Sequence[Column] = (),
+    target_facts: Sequence[Column] = (),
+) -> tuple[DataFrame, Digests]:
+    """``compare``, and what its first scan counts: the rows of each side and those for which each fact (a condition on
+    any columns of that side) is true. The counts are sums of an aggregate, so a task that runs twice counts once."""
     fields = shared_columns(source, target, cols)
     if not fields.fields:
         raise ValueError("the two sides share no column")
     at = _ordered_by(fields, range_by)
     plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields.fields)])
     scales = {f"c{i}": scales[f.name] for i, f in enumerate(fields.fields) if f.name in scales} if scales else {}
-    both = [_numbered(df, fields) for df in (source, target)]
+    facts = (source_facts, target_facts)
+    both = [_numbered(df, fields, some) for df, some in zip((source, target), facts, strict=True)]
     ranges = _range_columns(both, plain, at)
+    counted = [
+        with_keys(df, plain, scales, number, [f"f{i}" for i in range(len(some))])
+        for df, number, some in zip(both, ranges, facts, strict=True)
+    ]
+    digests = range_digests(*counted)
+    unequal = digests.unequal
+    if not unequal:
+        schema = "side string, row_hash string, copies bigint, data map<string,string>"
+        return source.sparkSession.createDataFrame([], schema), digests
     keyed = {
         side: with_keys(df, plain, scales, number) for side, df, number in zip((SOURCE_ONLY, TARGET_ONLY), both, ranges, strict=True)
     }
-    unequal = unequal_ranges(keyed[SOURCE_ONLY], keyed[TARGET_ONLY])
-    if not unequal:
-        schema = "side string, row_hash string, copies bigint, data map<string,string>"
-        return source.sparkSession.createDataFrame([], schema)
     if len(unequal) <= RANGES // 2:
         keyed = {side: rows.where(F.col(RANGE).isin(unequal)) for side, rows in keyed.items()}
     surplus = F.col("source_copies") - F.col("target_copies")
@@ -275,7 +331,7 @@ def compare(
             F.create_map(*pairs).alias("data"),
         )
 
-    return reduce(DataFrame.unionByName, [one_side(side) for side in sides])
+    return reduce(DataFrame.unionByName, [one_side(side) for side in sides]), digests
 
 
 def only_in(

@@ -16,14 +16,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwitness.operators.checks import (
-    RESULT_COLUMNS,
-    check_data,
-    check_keys,
-    check_not_null,
-    check_row_count,
-    check_schema,
-)
+from loadwitness.operators.checks import RESULT_COLUMNS, check_keys, check_sides
 from loadwitness.operators.status import KEYWORDS
 from loadwitness.plans.verdict import verdicts
 from loadwitness.scratch import fresh_path, shared_dir
@@ -57,17 +50,14 @@ def union_results(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def check_mapping(source: DataFrame, target: DataFrame, spec: MappingSpec) -> DataFrame:
-    """The rows of all checks for one mapping."""
+    """The rows of all checks for one mapping. Uniqueness reads the target once more, its key columns only."""
+    not_null = spec.not_null_columns or ()
     frames = [
-        check_schema(source, target, spec.compatible_types),
-        check_data(source, target, cols=spec.columns, multiset=spec.multiset, scales=spec.scales),
-        check_row_count(source, target),
+        check_sides(source, target, spec.compatible_types, spec.columns, spec.multiset, spec.scales, not_null)
     ]
     keys = [[c] for c in spec.uniqueness_columns or ()] + [list(key) for key in spec.unique_keys or ()]
     if keys:
         frames.append(check_keys(target, keys))
-    if spec.not_null_columns:
-        frames.append(check_not_null(target, spec.not_null_columns))
     return union_results(frames)
 
 

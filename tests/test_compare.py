@@ -224,3 +224,25 @@ def test_uniqueness_of_all_keys_in_one_scan(spark, tmp_path):
         groups = checks.duplicate_groups(df, key).collect()
         assert (row["column_name"], row["duplicate_groups"]) == (" + ".join(key), len(groups))
         assert row["duplicate_rows"] == sum(g["copies"] for g in groups)
+
+
+def test_checks_from_one_scan_agree_with_checks_of_their_own(spark):
+    """Nulls, values that lose something, columns that are not compared, columns named as helpers are, empty sides."""
+    a = spark.sql(
+        "SELECT CAST(id AS STRING) AS id, IF(id % 5 = 0, null, IF(id % 7 = 0, 'never', '2024-01-02')) AS day, id AS f0, 1 AS more FROM range(200)"
+    )
+    b = spark.sql(
+        "SELECT CAST(id AS STRING) AS id, IF(id % 5 = 0, null, date'2024-01-02') AS day, IF(id % 3 = 0, null, id) AS F0, null AS other FROM range(20, 230)"
+    )
+    compat, columns = {"string": ["date"]}, ["id", "day", "other", "F0"]
+    for left, right, cols in [(a, b, None), (a, b, ["id", "day"]), (a.limit(0), b, None), (a, b.limit(0), ["F0"]), (b, b, None)]:
+        apart = [
+            checks.check_schema(left, right, compat),
+            checks.check_data(left, right, cols),
+            checks.check_row_count(left, right),
+            checks.check_not_null(right, columns),
+        ]
+        rows = sorted(repr(r) for df in apart for r in df.collect())
+        together = checks.check_sides(left, right, compat, cols, not_null=columns)
+        assert sorted(map(repr, together.collect())) == rows
+    assert checks.schema_probes(a, b, compat).keys() == {"day"}

@@ -145,3 +145,14 @@ def test_unresolved_runs_stay(spark):
     wanted = spark.createDataFrame([(1,), (2,), (2,)], "node_batch_id long")
     rows = [tuple(r) for r in resolve_run(known, wanted).orderBy("node_batch_id").collect()]
     assert rows == [(1, 10, 100, True), (2, None, None, False)]
+
+
+def test_checks_of_a_mapping_share_the_first_scan(spark):
+    """Counts, nulls and probes come from the comparison's first scan: what they add to a plan reads no file."""
+    d = Data(spark, FOLDER)
+    equal = checks.check_sides(d.orders, d.orders, not_null=["o_orderkey", "o_orderpriority"])
+    assert "FileScan" not in plan_of(equal) and "Scan parquet" not in plan_of(equal)
+    assert {r.status for r in equal.collect()} == {"passed"}
+    less = d.orders.where("o_orderkey % 3 = 0")
+    apart, whole = cmp.compare(d.orders, less), checks.check_sides(d.orders, less, not_null=["o_orderkey"])
+    assert plan_of(whole).count("FileScan") == plan_of(apart).count("FileScan") > 0
