@@ -3,11 +3,12 @@
 Learning counts n-grams (one to three characters, lower case) of all texts by language. Every task adds up its texts in
 one vector of counts per language and hands it on in blocks; blocks are summed in two steps, so that no task meets the
 blocks of all others. The matrix of log probabilities (languages x buckets) does not grow with the data and is broadcast;
-texts are scored in batches by gathering its rows and adding them up per text.
+texts are scored in batches: the sparse counts of their n-grams are multiplied by its rows and added up per text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +20,8 @@ from loadwitness.llm.common import BLOCKS, VECTOR, in_slices, summed_vectors, ve
 
 BUCKET_BITS, ORDERS, SMOOTHING = 16, (1, 2, 3), 0.5
 UNDETERMINED = "und"
+# Characters whose n-grams are held at a time.
+PIECE = 1 << 19
 
 _LETTER = regex.compile(r"\p{L}")
 # Odd multipliers, one per place in an n-gram and one per order (multiplicative hashing).
@@ -40,9 +43,10 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 4 == 2
 
 
-def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of all texts, and the text of each. N-grams do not cross texts."""
-    codes = [np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+def buckets(texts: list[str], starts: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams of all texts (in lower case), and the text of each. N-grams do not cross texts; with
+    ``starts`` only those that begin at one of so many first characters of all."""
+    codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
     sizes = np.array([len(c) for c in codes], np.int64)
     chars = np.concatenate(codes) if codes else np.array([], np.uint32)
     owner = np.repeat(np.arange(len(texts)), sizes)
@@ -51,14 +55,14 @@ def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     for n in ORDERS:
         if len(chars) < n:
             continue
-        last = len(chars) - n + 1
+        last = min(len(chars) - n + 1, len(chars) if starts is None else starts)
         mixed = np.full(last, _SEEDS[n], np.uint32)
         for place in range(n):
             mixed ^= chars[place : place + last]
             mixed *= _PLACES[place]
             mixed ^= mixed >> np.uint32(15)
         mixed *= _PLACES[0]
-        inside = owner[:last] == owner[n - 1 :]
+        inside = owner[:last] == owner[n - 1 : n - 1 + last]
         found.append((mixed >> shift)[inside])
         owners.append(owner[:last][inside])
     if not found:
@@ -66,6 +70,37 @@ def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(owners)
 
 
+def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of all n-grams of all texts and the text of each, from about ``PIECE`` characters at a time.
+
+    A longer text is cut into pieces that overlap by what an n-gram reaches beyond its first character, each n-gram being
+    found in the piece where it begins; so memory beyond the text itself does not grow with its length.
+    """
+    some: list[int] = []
+    held = 0
+
+    def together():
+        found, owner = buckets([texts[i].lower() for i in some])
+        return found, np.array(some, np.int64)[owner]
+
+    for i, text in enumerate(texts):
+        if len(text) <= PIECE:
+            some.append(i)
+            held += len(text)
+            if held < PIECE:
+                continue
+        if some:
+            yield together()
+            some, held = [], 0
+        if len(text) > PIECE:
+            text = text.lower()
+            for at in range(0, len(text), PIECE):
+                found, owner = buckets([text[at : at + PIECE + max(ORDERS) - 1]], PIECE)
+                yield found, owner + i
+    if some:
+        yield together()
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learn from every row that is not held out and has both a text and a language. Without any, no language is known."""
     size = 1 << BUCKET_BITS
@@ -81,8 +116,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             langs = langs.to_pylist()
             names = sorted(set(langs))
             code = np.array([names.index(x) for x in langs])
-            found, owner = buckets(texts)
-            counts = np.bincount(code[owner] * size + found, minlength=len(names) * size).reshape(-1, size)
+            counts = np.zeros((len(names), size), np.int64)
+            for found, owner in grams(texts):
+                counts += np.bincount(code[owner] * size + found, minlength=counts.size).reshape(counts.shape)
             for i, name in enumerate(names):
                 totals[name] = totals.get(name, 0) + counts[i]
                 docs_of[name] = docs_of.get(name, 0) + int((code == i).sum())
@@ -114,13 +150,17 @@ def score_texts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str
     known = [t if t and model.languages and _LETTER.search(t) else "" for t in texts]
     if not model.languages:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    found, owner = buckets(known)
-    order = np.argsort(owner, kind="stable")
-    found, owner = found[order], owner[order]
     total = np.tile(model.priors, (len(texts), 1))
-    if len(found):
-        begins = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        total[owner[begins]] += np.add.reduceat(model.weights[found], begins, axis=0, dtype=np.float64)
+    for found, owner in grams(known):
+        # Sparse counts: how often a text holds each bucket that it holds at all.
+        cells = np.sort(owner.astype(np.uint32 if len(texts) <= 1 << 32 - BUCKET_BITS else np.uint64) << BUCKET_BITS | found)
+        first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else cells
+        counts, cells = np.diff(np.append(first, len(cells))), cells[first]
+        texts_of = (cells >> BUCKET_BITS).astype(np.int64)
+        begins = np.flatnonzero(np.append(True, texts_of[1:] != texts_of[:-1])) if len(cells) else cells
+        if len(begins):
+            terms = model.weights[cells & ((1 << BUCKET_BITS) - 1)] * counts[:, None].astype(np.float64)
+            total[texts_of[begins]] += np.add.reduceat(terms, begins, axis=0)
     best = total.argmax(axis=1)
     odds = np.exp(total - total.max(axis=1, keepdims=True))
     probability = 1 / odds.sum(axis=1)
@@ -132,7 +172,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` (probability of that language) of every row's whole text.
 
     ``und`` with score 0 for texts that are null or hold no letter, and for all if no language was learned. Among equal
-    languages the first by name. Repeated rows and null ids give a row each; other columns are not read.
+    languages the first by name. Repeated rows and null ids give a row each; other columns are not read. Long texts are read
+    piece by piece.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

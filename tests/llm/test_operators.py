@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -457,6 +458,29 @@ def test_language_model_by_counting(spark, odd):
         assert abs(found[i]["score"] - share) < 1e-3
 
 
+def test_language_of_long_texts_is_read_in_pieces(monkeypatch):
+    """The n-grams of a text are the same however it is cut, and a text of 20 million characters takes little memory."""
+    texts = ["", "ab", "Ärger " * 30, "abcdefghij", "x", "ΟΔΟΣ " * 25, "word " * 7, "abc", "İstanbul " * 20]
+    whole = sorted((i, b) for i, t in enumerate(texts) for b in _grams(t))
+    rng = np.random.default_rng(3)
+    weights = rng.normal(size=(1 << N.BUCKET_BITS, 3)).astype(np.float32)
+    model = N.LanguageModel(["a", "b", "c"], np.log([0.2, 0.3, 0.5]), weights)
+    named, score = N.score_texts(model, texts)
+    for piece in (1, 2, 3, 10, 40, 1000):
+        monkeypatch.setattr(N, "PIECE", piece)
+        found = [(int(i), int(b)) for buckets, owner in N.grams(texts) for i, b in zip(owner, buckets, strict=True)]
+        assert sorted(found) == whole
+        again, near = N.score_texts(model, texts)
+        assert again == named and np.allclose(near, score, atol=1e-9)
+    monkeypatch.undo()
+    monster = "many words of a very long text " * 650_000
+    tracemalloc.start()
+    N.score_texts(model, [monster, None, "short"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+
+
 def test_values_are_counted_whatever_the_batches():
     rng = np.random.default_rng(8)
     values = rng.integers(0, 3000, 20_000).astype(U)
