@@ -94,11 +94,11 @@ def validation_result_replaced(d):
     return sinks.load_results(d.spark, path).select("batch_id", "seq", "validation_type", "comment")
 
 
-@query(
-    "discrepancy_csv_sink",
-    """SELECT r.pipeline_id, x.batch_id, x.side AS discrepancy_type, x.payload AS data_content
-FROM ox_data x JOIN fx_run r USING (batch_id) WHERE x.side <> 'other'""",
-)
+EXPORTED = """SELECT r.pipeline_id, x.batch_id, x.side AS discrepancy_type, x.payload AS data_content
+FROM ox_data x JOIN fx_run r USING (batch_id) WHERE x.side <> 'other'"""
+
+
+@query("discrepancy_csv_sink", EXPORTED)
 def discrepancy_csv_sink(d):
     path = fresh_path(d.spark, "discrepancies")
     found = salted_join(discrepancies(d.validation_result), d.run.select("batch_id", "pipeline_id"), ["batch_id"], ["seq"])
@@ -108,6 +108,14 @@ def discrepancy_csv_sink(d):
     return written.select("pipeline_id", "batch_id", "discrepancy_type", F.coalesce("data_content", F.lit("")).alias("data_content"))
 
 
+@query("discrepancy_csv_ranges", EXPORTED)
+def discrepancy_csv_ranges(d):
+    path = fresh_path(d.spark, "discrepancy_ranges")
+    found = salted_join(discrepancies(d.validation_result), d.run.select("batch_id", "pipeline_id"), ["batch_id"], ["seq"])
+    sinks.export_discrepancy_ranges(found, path)
+    return sinks.load_discrepancies(d.spark, path).withColumn("data_content", F.coalesce("data_content", F.lit("")))
+
+
 @query(
     "report_sink",
     """SELECT r.dataflow_batch_id, v.pipeline_id, v.batch_id, v.step_id, v.execution_status, v.verdict

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 # What one load is told from another by, as far as results have the columns.
 LOAD_COLUMNS = ("mapping_id", "pipeline_id", "batch_id")
 
+EXPORT_KEYS = ["pipeline_id", "batch_id"]
+EXPORT_SCHEMA = "pipeline_id bigint, batch_id bigint, discrepancy_type string, data_content string"
+EXPORT_CSV = {"header": True, "escape": '"'}
+
 
 def _spread(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """Neighbouring folders together, so that there are at most as many files as folders and tasks; the hash splits a
@@ -71,23 +75,53 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_discrepancies(discrepancies: DataFrame, path: str, mode: str = "append") -> None:
-    """Raw discrepancies as CSV, a folder per pipeline and batch.
+    """Raw discrepancies as CSV, a folder per pipeline and batch (``export_discrepancy_ranges``: for more batches than
+    folders are good for).
 
     ``discrepancies`` has ``pipeline_id, batch_id, seq, side, payload``; rows of unknown side are not written.
     """
-    keys = ["pipeline_id", "batch_id"]
+    writer = _discrepancy_rows(discrepancies).write.mode(mode).partitionBy(*EXPORT_KEYS)
+    writer.options(**EXPORT_CSV).csv(path)
+
+
+def _discrepancy_rows(discrepancies: DataFrame) -> DataFrame:
     rows = discrepancies.filter(F.col("side") != "other").select(
-        *keys, "seq", F.col("side").alias("discrepancy_type"), F.col("payload").alias("data_content")
-    )
-    (
-        _spread(rows, keys, ["seq"])
-        .drop("seq")
-        .write.mode(mode)
-        .partitionBy(*keys)
-        .option("header", True)
-        .option("escape", '"')
-        .csv(path)
+        *EXPORT_KEYS, "seq", F.col("side").alias("discrepancy_type"), F.col("payload").alias("data_content")
     )
+    return _spread(rows, EXPORT_KEYS, ["seq"]).drop("seq")
+
+
+def export_discrepancy_ranges(discrepancies: DataFrame, path: str) -> None:
+    """Raw discrepancies as CSV in ranges of pipelines and batches, added to earlier exports under ``path``.
+
+    There are as many files as tasks however many batches there are, and an index: which file holds how many rows of
+    which pipeline and batch. An export takes effect as a whole when its index is committed; the files of one that is lost
+    before are not read. Takes what ``export_discrepancies`` takes; read with ``load_discrepancies``.
+    """
+    spark, files = discrepancies.sparkSession, f"{path}/files/{uuid.uuid4().hex}"
+    _discrepancy_rows(discrepancies).write.options(**EXPORT_CSV).csv(files)
+    written = _read_export(spark, [files]).select(*EXPORT_KEYS, F.col("_metadata.file_path").alias("file"))
+    index = written.groupBy(*EXPORT_KEYS, "file").agg(F.count("*").alias("rows"))
+    ordered = index.repartitionByRange(*EXPORT_KEYS, "file").sortWithinPartitions(*EXPORT_KEYS, "file")
+    ordered.write.mode("append").parquet(f"{path}/index")
+
+
+def load_discrepancies(
+    spark: SparkSession, path: str, pipeline_id: int | None = None, batch_id: int | None = None
+) -> DataFrame:
+    """``pipeline_id, batch_id, discrepancy_type, data_content`` of what ``export_discrepancy_ranges`` wrote: everything, or
+    one pipeline's, one batch's. Files without such rows are not opened; the driver gets the names of the others."""
+    asked = [F.col(k) == v for k, v in zip(EXPORT_KEYS, (pipeline_id, batch_id), strict=True) if v is not None]
+    wanted = reduce(and_, asked, F.lit(True))
+    files = [r.file for r in spark.read.parquet(f"{path}/index").where(wanted).select("file").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], EXPORT_SCHEMA)
+    return _read_export(spark, sorted(files)).where(wanted)
+
+
+def _read_export(spark: SparkSession, files: list[str]) -> DataFrame:
+    # Payloads may hold line breaks; a file is one task's when written and when read.
+    return spark.read.schema(EXPORT_SCHEMA).options(**EXPORT_CSV, multiLine=True).csv(files)
 
 
 def save_report(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -13,7 +13,15 @@ from loadwitness.plans.suite import run_suite, suite_verdicts
 from loadwitness.sources import objects, quoted
 from loadwitness.sources.metadata import jdbc_options, load_meta
 from loadwitness.sources.objects import load_source, load_target
-from loadwitness.sources.sinks import export_discrepancies, load_results, replace_results, save_report, save_results
+from loadwitness.sources.sinks import (
+    export_discrepancies,
+    export_discrepancy_ranges,
+    load_discrepancies,
+    load_results,
+    replace_results,
+    save_report,
+    save_results,
+)
 from loadwitness.sources.specs import MappingSpec, specs_frame
 
 LOGIN = {"user": "u", "password": "p"}
@@ -118,6 +126,31 @@ def test_an_export_has_few_files(spark, tmp_path):
     assert len(list((tmp_path / "out").rglob("part-*.csv"))) <= 40 + 8
 
 
+def test_an_export_in_ranges(spark, tmp_path):
+    """Files by tasks whatever the number of batches; the index leads to those of one batch, and lost exports are not read."""
+    path = str(tmp_path / "out")
+    rows = spark.range(30_000).selectExpr(
+        "id % 5000 AS pipeline_id", "id % 10000 AS batch_id", "id AS seq",
+        "IF(id % 7 = 0, 'other', 'present_only_in_source') AS side", "concat('a,\"', id, '\"\nb') AS payload",
+    )
+    export_discrepancy_ranges(rows, path)
+    assert len(list((tmp_path / "out" / "files").rglob("part-*.csv"))) <= 16
+    found = load_discrepancies(spark, path)
+    wanted = sorted((i % 5000, i % 10000, f'a,"{i}"\nb') for i in range(30_000) if i % 7)
+    assert sorted((r.pipeline_id, r.batch_id, r.data_content) for r in found.collect()) == wanted
+    one = load_discrepancies(spark, path, 17, 5017)
+    assert sorted(r.data_content for r in one.collect()) == sorted(f'a,"{i}"\nb' for i in (5017, 15017, 25017) if i % 7)
+    assert len(one.inputFiles()) < len(found.inputFiles()) or len(found.inputFiles()) == 1
+    lost = rows.withColumn("payload", F.when(F.col("seq") < 29_000, "x").otherwise(F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception, match="lost"):
+        export_discrepancy_ranges(lost, path)
+    assert load_discrepancies(spark, path).count() == len(wanted)
+    export_discrepancy_ranges(rows.limit(0), path)
+    export_discrepancy_ranges(rows.where("seq = 1"), path)
+    assert load_discrepancies(spark, path).count() == len(wanted) + 1
+    assert load_discrepancies(spark, path, pipeline_id=-1).collect() == []
+
+
 def test_reports_have_a_folder_per_batch(spark, tmp_path):
     df = spark.range(6).selectExpr("id % 2 AS dataflow_batch_id", "id AS pipeline_id", "id AS batch_id")
     save_report(df, str(tmp_path / "r"))
