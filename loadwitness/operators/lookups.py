@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadwitness.functions.jsonpath import variables_array
 from loadwitness.functions.scalars import or_na, workspace_url
-from loadwitness.operators.skew import salted_join
+from loadwitness.operators.skew import counted_join
 from loadwitness.operators.status import current_rows
 
 # Fixed value: code of the record that starts a run.
@@ -36,7 +36,7 @@ def execution_starts(flow: DataFrame, schedule: DataFrame) -> DataFrame:
         .agg(F.min("valid_from_ts").alias("valid_from_ts"))
     )
     who = schedule.select("job_schedule_id", F.col("cru_by").alias("executed_by"))
-    return salted_join(starts, who, ["job_schedule_id"], ["batch_id"])
+    return counted_join(starts, who, ["job_schedule_id"], ["batch_id"])
 
 
 def execution_meta(flow: DataFrame, schedule: DataFrame) -> DataFrame:
@@ -46,13 +46,16 @@ def execution_meta(flow: DataFrame, schedule: DataFrame) -> DataFrame:
     return first.withColumnRenamed("valid_from_ts", "started_at")
 
 
-def with_workspace(runs: DataFrame, workspaces: DataFrame, base_url: str) -> DataFrame:
-    """Runs with workspace id and link, ``N/A`` where the pipeline has none; of several workspaces the lowest."""
+def with_workspace(runs: DataFrame, workspaces: DataFrame, base_url: str, counted: DataFrame | None = None) -> DataFrame:
+    """Runs with workspace id and link, ``N/A`` where the pipeline has none; of several workspaces the lowest.
+
+    ``counted``: a frame with the same runs that is cheaper to count.
+    """
     own = workspaces.groupBy(F.col("workspace_pipeline_id").alias("pipeline_id")).agg(
         F.min("workspace_id").alias("workspace_id")
     )
     return (
-        salted_join(runs, own, ["pipeline_id"], runs.columns, "left")
+        counted_join(runs, own, ["pipeline_id"], runs.columns, counted, how="left")
         .withColumn("pipeline_url", workspace_url(base_url, F.col("workspace_id"), F.col("pipeline_id")))
         .withColumn("workspace_id", F.coalesce(F.col("workspace_id").cast("string"), F.lit("N/A")))
     )
@@ -80,9 +83,9 @@ def object_names(workspaces: DataFrame) -> DataFrame:
     return held.groupBy("pipeline_id").agg(value_of("source_obj_name"), value_of("target_obj_name"))
 
 
-def with_object_names(runs: DataFrame, workspaces: DataFrame) -> DataFrame:
-    """Runs with the names of their objects, ``N/A`` for null, empty or unknown ones."""
-    named = salted_join(runs, object_names(workspaces), ["pipeline_id"], runs.columns, "left")
+def with_object_names(runs: DataFrame, workspaces: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Runs with the names of their objects, ``N/A`` for null, empty or unknown ones; ``counted`` as in ``with_workspace``."""
+    named = counted_join(runs, object_names(workspaces), ["pipeline_id"], runs.columns, counted, how="left")
     return named.withColumn("source_obj_name", or_na(F.col("source_obj_name"))).withColumn(
         "target_obj_name", or_na(F.col("target_obj_name"))
     )

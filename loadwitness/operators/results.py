@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadwitness.functions import comments as C
-from loadwitness.operators.skew import salted_join
+from loadwitness.operators.skew import counted_join
 
 # Batches with at most so many comments are marked as listed inline; nothing is left out beyond.
 INLINE_LIMIT = 10
@@ -48,7 +48,7 @@ def discrepancy_counts(found: DataFrame, by: Sequence[str] = ("batch_id",)) -> D
 def with_totals(found: DataFrame, n: int = INLINE_LIMIT, by: Sequence[str] = ("batch_id",)) -> DataFrame:
     """All comments with the ``total`` of their batch, and whether it is small enough to be listed ``inline``."""
     totals = found.groupBy(*by).agg(F.count("*").alias("total"))
-    return salted_join(found, totals, list(by), ["seq"]).withColumn("inline", F.col("total") <= n)
+    return counted_join(found, totals, list(by), ["seq"]).withColumn("inline", F.col("total") <= n)
 
 
 def preview(found: DataFrame, n: int = INLINE_LIMIT, by: Sequence[str] = ("batch_id",)) -> DataFrame:

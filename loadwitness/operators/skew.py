@@ -13,6 +13,8 @@ from loadwitness.scratch import written
 SALTS = 16
 # Rows of one key that a task may well take.
 HOT = 1_000_000
+# Tasks over which a left join spreads rows with a null key, once those are that many.
+NULL_SALTS = 1024
 
 
 def salted_join(
@@ -32,26 +34,42 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def by_shuffle(small: DataFrame) -> DataFrame:
+    """``small`` marked to be joined by shuffle. Spark broadcasts by an estimate from files, which leaves out what compression,
+    exploded lists and built texts make of them, and does not turn back once the plan stands: a side that grows with the
+    runs would go through the driver."""
+    return small.hint("merge")
+
+
 def counted_join(
-    big: DataFrame, small: DataFrame, on: list[str], salt_by: list[str], counted: DataFrame | None = None, hot: int | None = None
-) -> DataFrame:
-    """Inner equi-join of ``big`` to ``small`` on ``on`` in which only keys with more than ``hot`` rows in ``big`` are salted,
-    each over as many tasks as it has ``hot`` rows; of ``small`` only the rows of such keys are repeated.
+    big: DataFrame, small: DataFrame, on: list[str], salt_by: list[str], counted: DataFrame | None = None, hot: int | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """Inner or left equi-join of ``big`` to ``small`` on ``on`` in which only keys with more than ``hot`` rows in ``big`` are
+    salted, each over as many tasks as it has ``hot`` rows; of ``small`` only the rows of such keys are repeated.
 
     The rows of each key are counted first, with partial counts, in ``counted`` where another frame with the rows of ``big``
-    is cheaper to read. There is at most one such key per ``hot`` rows. Without any the join is a plain one. Rows
-    with a null key match nothing and are left out.
+    is cheaper to read. There is at most one such key per ``hot`` rows. Without any the join is a plain one, by shuffle. Rows
+    with a null key match nothing: an inner join leaves them out, a left join spreads them if they are many.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"salting does not keep the meaning of a {how} join")
     hot = hot or HOT
     present = reduce(and_, [F.col(c).isNotNull() for c in on])
-    keys = (counted if counted is not None else big).where(present).groupBy(*on).agg(F.count("*").alias("_rows"))
+    rows = counted if counted is not None else big
+    if how == "inner":
+        rows = rows.where(present)
+    keys = rows.groupBy(*on).agg(F.count("*").alias("_rows"))
     busy = written(keys.where(F.col("_rows") > hot).select(*on, F.ceil(F.col("_rows") / hot).alias("_salts")), "hot-keys")
     if busy.isEmpty():
-        return big.join(small, on)
-    salts = F.coalesce("_salts", F.lit(1).cast("bigint"))
-    left = big.where(present).join(busy, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), salts)).drop("_salts")
-    right = small.join(busy, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
-    return left.join(right.drop("_salts"), [*on, "_salt"]).drop("_salt")
+        return big.join(by_shuffle(small), on, how)
+    known = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    left, salts = big.where(present), known
+    if how == "left":
+        left, salts = big, F.when(present, known).otherwise(F.lit(NULL_SALTS).cast("bigint"))
+    left = left.join(busy, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), salts)).drop("_salts")
+    right = small.join(busy, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), known - 1)))
+    return left.join(by_shuffle(right.drop("_salts")), [*on, "_salt"], how).drop("_salt")
 
 
 def join_nulls_apart(left: DataFrame, right: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
@@ -63,4 +81,4 @@ def join_nulls_apart(left: DataFrame, right: DataFrame, on: list[str], spread: l
         "_never", F.lit(None).cast("bigint")
     )
     same = reduce(and_, [F.col(c) == F.col(f"_on_{c}") for c in on]) & F.col("_apart").eqNullSafe(F.col("_never"))
-    return marked.join(renamed, same, "left").drop("_apart", "_never", *[f"_on_{c}" for c in on])
+    return marked.join(by_shuffle(renamed), same, "left").drop("_apart", "_never", *[f"_on_{c}" for c in on])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadwitness.functions.jsonpath import workflow_nodes_array
-from loadwitness.operators.skew import join_nulls_apart, salted_join
+from loadwitness.operators.skew import by_shuffle, counted_join, join_nulls_apart
 
 # Names of nodes with a part of their own.
 INGESTION_NODE = "Ingestion pipeline"
@@ -42,7 +42,7 @@ def resolve_run(node_runs: DataFrame, node_batches: DataFrame) -> DataFrame:
     """
     wanted = node_batches.select("node_batch_id").distinct()
     known = node_runs.select("node_batch_id", "workflow_orch_id", "batch_id").distinct().withColumn("found", F.lit(True))
-    return wanted.join(known, "node_batch_id", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    return wanted.join(by_shuffle(known), "node_batch_id", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def _attach_status(nodes: DataFrame, node_runs: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def workflow_nodes(runs: DataFrame, workflows: DataFrame, node_runs: DataFrame)
     """All nodes of each run ``(workflow_orch_id, batch_id)`` with batch and status of the node."""
     wanted = runs.select("workflow_orch_id", "batch_id").distinct()
     defined = for_workflows(workflows, wanted)
-    listed = salted_join(wanted, explode_nodes(defined), ["workflow_orch_id"], ["batch_id"])
+    listed = counted_join(wanted, explode_nodes(defined), ["workflow_orch_id"], ["batch_id"])
     return _attach_status(listed, node_runs)
 
 
@@ -119,7 +119,7 @@ def validation_runs(nodes: DataFrame, workflows: DataFrame, node_runs: DataFrame
         F.col("pipeline_id").try_cast("bigint").alias("workflow_orch_id"),
         F.col("node_batch_id").alias("batch_id"),
     )
-    listed = salted_join(
+    listed = counted_join(
         child,
         exclude_nodes(explode_nodes(for_workflows(workflows, child))),
         ["workflow_orch_id"],

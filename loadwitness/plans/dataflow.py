@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadwitness.functions.scalars import cast_batch_id
-from loadwitness.operators.skew import salted_join
+from loadwitness.operators.skew import counted_join
 from loadwitness.operators.workflow import route_runs, validation_runs
 from loadwitness.scratch import materialise
 
@@ -25,7 +25,7 @@ def report_runs(nodes: DataFrame, workflows: DataFrame, node_runs: DataFrame) ->
         "ingestion_name",
     )
     listed = validation_runs(nodes, workflows, node_runs)
-    return salted_join(listed, go_on, ["dataflow_id", "dataflow_batch_id"], ["seq"]).select(
+    return counted_join(listed, go_on, ["dataflow_id", "dataflow_batch_id"], ["seq"]).select(
         "dataflow_batch_id",
         "seq",
         cast_batch_id(F.col("pipeline_id")).alias("pipeline_id"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loadwitness.functions import scalars as S
 from loadwitness.operators import checks
 from loadwitness.operators.results import discrepancies
-from loadwitness.operators.skew import salted_join
+from loadwitness.operators.skew import counted_join
 from loadwitness.plans.report import report_step
 from loadwitness.plans.suite import union_results
 from loadwitness.registry import query
@@ -98,10 +98,14 @@ EXPORTED = """SELECT r.pipeline_id, x.batch_id, x.side AS discrepancy_type, x.pa
 FROM ox_data x JOIN fx_run r USING (batch_id) WHERE x.side <> 'other'"""
 
 
+def _of_pipelines(d):
+    return counted_join(discrepancies(d.validation_result), d.run.select("batch_id", "pipeline_id"), ["batch_id"], ["seq"])
+
+
 @query("discrepancy_csv_sink", EXPORTED)
 def discrepancy_csv_sink(d):
     path = fresh_path(d.spark, "discrepancies")
-    found = salted_join(discrepancies(d.validation_result), d.run.select("batch_id", "pipeline_id"), ["batch_id"], ["seq"])
+    found = _of_pipelines(d)
     sinks.export_discrepancies(found, path)
     schema = "discrepancy_type string, data_content string, pipeline_id bigint, batch_id bigint"
     written = d.spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
@@ -111,7 +115,7 @@ def discrepancy_csv_sink(d):
 @query("discrepancy_csv_ranges", EXPORTED)
 def discrepancy_csv_ranges(d):
     path = fresh_path(d.spark, "discrepancy_ranges")
-    found = salted_join(discrepancies(d.validation_result), d.run.select("batch_id", "pipeline_id"), ["batch_id"], ["seq"])
+    found = _of_pipelines(d)
     sinks.export_discrepancy_ranges(found, path)
     return sinks.load_discrepancies(d.spark, path).withColumn("data_content", F.coalesce("data_content", F.lit("")))
 

@@ -156,3 +156,41 @@ def test_checks_of_a_mapping_share_the_first_scan(spark):
     less = d.orders.where("o_orderkey % 3 = 0")
     apart, whole = cmp.compare(d.orders, less), checks.check_sides(d.orders, less, not_null=["o_orderkey"])
     assert plan_of(whole).count("FileScan") == plan_of(apart).count("FileScan") > 0
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "execution_meta", "workspace_lookup", "workspace_url", "report_header", "ingestion_failed", "node_status_left",
+        "default_na", "child_workflow", "report_runs", "discrepancy_preview", "detailed_log",
+    ],
+)
+def test_sides_that_grow_with_the_runs_are_neither_copied_nor_broadcast(spark, name):
+    """A copy per salt was broadcast by an estimate that left out the copies: 14.4 million rows for 900,000 pipelines. What
+    Spark may still broadcast is a semi-join's ids."""
+    plan = plan_of(QUERIES[name](spark, FOLDER))
+    assert "_salt" not in plan
+    joins = [line for line in plan.split("\n") if "BroadcastHashJoin" in line]
+    assert [line for line in joins if "LeftSemi" not in line] == []
+
+
+def test_exported_discrepancies_meet_their_pipelines_by_shuffle(spark):
+    from loadwitness.registry.scans import _of_pipelines
+
+    plan = plan_of(_of_pipelines(Data(spark, FOLDER)))
+    assert "Broadcast" not in plan and "_salt" not in plan
+
+
+def test_left_joins_salt_counted_hot_keys_and_spread_many_nulls(spark, no_broadcast):
+    from loadwitness.operators.skew import counted_join
+
+    big = spark.range(4_000).selectExpr("if(id < 3000, 0, if(id % 2 = 0, null, id)) AS k", "id AS v")
+    small = spark.range(3_500).selectExpr("id AS k", "id % 3 AS w").union(spark.sql("SELECT 0L, 7L UNION ALL SELECT NULL, 1L"))
+    wanted = sorted(map(repr, big.join(small, "k", "left").select("k", "v", "w").collect()))
+    for hot in (1, 400, 10_000):
+        found = counted_join(big, small, ["k"], ["v"], hot=hot, how="left")
+        assert ("_salt" in plan_of(found)) == (hot < 10_000)
+        assert found.columns == ["k", "v", "w"]
+        assert sorted(map(repr, found.collect())) == wanted
+    with pytest.raises(ValueError):
+        counted_join(big, small, ["k"], ["v"], how="left_semi")
