@@ -11,6 +11,8 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadwitness.operators.skew import by_shuffle
+
 # What one load is told from another by, as far as results have the columns.
 LOAD_COLUMNS = ("mapping_id", "pipeline_id", "batch_id")
 
@@ -71,7 +73,7 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
     keys = [c for c in saves.columns if c != "save"]
     last = saves.groupBy(*[F.col(c).alias(f"_{c}") for c in keys]).agg(F.max("save").alias("_save"))
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys] + [F.col("save") == F.col("_save")]
-    return spark.read.parquet(f"{path}/results").join(last, reduce(and_, same), "left_semi").drop("save")
+    return spark.read.parquet(f"{path}/results").join(by_shuffle(last), reduce(and_, same), "left_semi").drop("save")
 
 
 def export_discrepancies(discrepancies: DataFrame, path: str, mode: str = "append") -> None:

@@ -194,3 +194,15 @@ def test_left_joins_salt_counted_hot_keys_and_spread_many_nulls(spark, no_broadc
         assert sorted(map(repr, found.collect())) == wanted
     with pytest.raises(ValueError):
         counted_join(big, small, ["k"], ["v"], how="left_semi")
+
+
+def test_saved_results_meet_their_last_saves_by_shuffle(spark, tmp_path):
+    """There is a row per load among the last saves, and its broadcast table is memory of every task."""
+    from loadwitness.sources.sinks import load_results, replace_results
+
+    rows = spark.sql("SELECT id AS batch_id, 'data' AS validation_type, 'x' AS comment, id AS seq FROM range(20)")
+    replace_results(rows, str(tmp_path))
+    replace_results(rows.where("batch_id < 5").withColumn("comment", F.lit("y")), str(tmp_path))
+    found = load_results(spark, str(tmp_path))
+    assert "Broadcast" not in plan_of(found)
+    assert sorted((r.batch_id, r.comment) for r in found.collect()) == [(i, "y" if i < 5 else "x") for i in range(20)]
