@@ -16,6 +16,7 @@ import json
 import re
 import unicodedata
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -59,8 +60,9 @@ def words_pattern() -> re.Pattern:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+")
 
 
-# A spelling is kept for the next texts up to this length; so many are kept at a time (a bound on memory, not on work).
-KEPT_LENGTH, KEPT = 64, 400_000
+# A spelling is kept for the next texts up to this length; so many chunks and words are kept at a time (a bound on memory,
+# not on work).
+KEPT_LENGTH, KEPT, KEPT_WORDS = 64, 200_000, 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -147,6 +149,7 @@ class Automaton:
         self.rows = [start.tobytes()] + [r.tobytes() for r in states]
         self.state = {t: int(c) + 1 for t, c in zip(order, which)}
         self.arcs = self._spellings(vocab, alive, back)
+        self.root = self._linked(self.arcs)
 
     @staticmethod
     def _spellings(vocab: dict[str, int], alive: np.ndarray, back: dict[str, int]) -> list[list]:
@@ -166,37 +169,70 @@ class Automaton:
             nodes[at][2 if ends else 1] = token
         return nodes
 
+    def __getstate__(self) -> dict:
+        # Linked nodes would be pickled as deep as the longest token.
+        return {k: v for k, v in vars(self).items() if k != "root"}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state)
+        self.root = self._linked(self.arcs)
+
+    @staticmethod
+    def _linked(arcs: list[list]) -> tuple:
+        """The first node; nodes hold the next ones themselves."""
+        nodes = [({}, inner, last) for _, inner, last in arcs]
+        for node, (after, _, _) in zip(nodes, arcs, strict=True):
+            node[0].update((byte, nodes[at]) for byte, at in after.items())
+        return nodes[0]
+
     def encode_word(self, word: bytes) -> list[int]:
-        n, arcs, rows, state = len(word), self.arcs, self.rows, self.state
+        n, root, rows, state = len(word), self.root, self.rows, self.state
+        last = n - 1
         reached: list = [0] * (n + 1)
         came = [0] * (n + 1)
+        row = rows[0]
         for i in range(n):
-            row = rows[state[reached[i]]] if i else rows[0]
-            node, j = arcs[0], i
-            while j < n:
-                nxt = node[0].get(word[j])
-                if nxt is None:
+            if i:
+                row = rows[state[reached[i]]]
+            node, j = root, i
+            for byte in word[i:last]:
+                node = node[0].get(byte)
+                if node is None:
                     break
-                node, j = arcs[nxt], j + 1
-                token = node[2] if j == n else node[1]
+                j += 1
+                token = node[1]
                 if token is not None and row[token >> 3] >> (token & 7) & 1:
                     reached[j], came[j] = token, i
+            else:
+                node = node[0].get(word[last])
+                if node is not None:
+                    token = node[2]
+                    if token is not None and row[token >> 3] >> (token & 7) & 1:
+                        # No other token leads to the end.
+                        reached[n], came[n] = token, i
+                        break
         out = []
         while n:
             out.append(reached[n])
             n = came[n]
         return out[::-1]
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        """Ids of a text without white space inside."""
-        ids: list[int] = []
+    def words_of(self, chunk: str) -> list[str | int]:
+        """Words in lower case of a text without white space inside, and the ids of added tokens between them."""
+        found: list[str | int] = []
         parts = self.added_pattern.split(chunk) if self.added_pattern else [chunk]
         for part in parts:
             if part in self.added:
-                ids.append(self.added[part])
-                continue
-            for word in words_pattern().findall(lowered(unicodedata.normalize("NFC", part))):
-                ids.extend(self.encode_word(word.encode()))
+                found.append(self.added[part])
+            else:
+                found += words_pattern().findall(lowered(unicodedata.normalize("NFC", part)))
+        return found
+
+    def encode_chunk(self, chunk: str) -> list[int]:
+        """Ids of a text without white space inside."""
+        ids: list[int] = []
+        for word in self.words_of(chunk):
+            ids += [word] if isinstance(word, int) else self.encode_word(word.encode())
         return ids
 
     def encode(self, text: str) -> list[int]:
@@ -218,16 +254,33 @@ def compile_automaton(path: str) -> Automaton:
     return Automaton(model["vocab"], merges, [(a["content"], a["id"]) for a in spec["added_tokens"]])
 
 
-class _Spelled(dict):
-    """Ids (little-endian unsigned 32-bit) and labels of chunks met before."""
+class _Words(dict):
+    """Ids (little-endian unsigned 32-bit) and labels of words met before, and of added tokens by their id."""
 
     def __init__(self, automaton: Automaton):
         super().__init__()
         self.automaton = automaton
 
+    def __missing__(self, word: str | int) -> tuple[bytes, str]:
+        ids = [word] if isinstance(word, int) else self.automaton.encode_word(word.encode())
+        made = pack(f"<{len(ids)}I", *ids), self.automaton.decode(ids)
+        if isinstance(word, int) or len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = made
+        return made
+
+
+class _Spelled(dict):
+    """As ``_Words``, of chunks. The same words stand in many chunks, with other punctuation and capitals."""
+
+    def __init__(self, automaton: Automaton):
+        super().__init__()
+        self.split, self.words = automaton.words_of, _Words(automaton)
+
     def __missing__(self, chunk: str) -> tuple[bytes, str]:
-        ids = self.automaton.encode_chunk(chunk)
-        made = np.array(ids, "<u4").tobytes(), self.automaton.decode(ids)
+        parts = [self.words[word] for word in self.split(chunk)]
+        made = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
         if len(chunk) <= KEPT_LENGTH:
             if len(self) >= KEPT:
                 self.clear()

@@ -49,6 +49,18 @@ def test_words(text):
     assert A.compile_automaton(tokenizer_file()).encode(text) == wanted(text)
 
 
+def test_a_word_is_encoded_once_whatever_stands_around_it(monkeypatch):
+    """Chunks with other capitals and punctuation hold the same words."""
+    automaton = A.compile_automaton(tokenizer_file())
+    chunks, seen, plain = ["harbour", "Harbour,", "(harbour)", "HARBOUR's", "harbour-harbour."], [], A.Automaton.encode_word
+    monkeypatch.setattr(A.Automaton, "encode_word", lambda self, word: seen.append(word) or plain(self, word))
+    spelled = A._Spelled(automaton)
+    for chunk in chunks:
+        ids = wanted(chunk)
+        assert spelled[chunk] == (as_bytes(ids), LIBRARY.decode(ids, skip_special_tokens=False))
+    assert seen.count(b"harbour") == 1 and len(seen) == len(set(seen))
+
+
 def test_encoding_of_odd_rows(odd, none, tokenizer):
     found = A.encoding_digest(odd, tokenizer).collect()
     ids = [(d, wanted(t)) for d, t in TEXTS]
