@@ -28,7 +28,7 @@ from pyspark.sql.types import StructType
 
 from loadwitness.llm.common import in_slices, stored
 from loadwitness.llm.token_ids import worker_encoder
-from loadwitness.scratch import fresh_path
+from loadwitness.scratch import file_store, fresh_path
 
 # Fixed values of the format: magic numbers of a skippable frame (16 are free to use), of the seek table's frame and its
 # footer; the descriptor bit that says that the table has checksums.
@@ -91,14 +91,6 @@ class FrameReader:
         return raw
 
 
-def _store(path: str):
-    """File system and path of a folder that executors share, a local mount or an object store."""
-    from pyarrow import fs
-
-    uri = path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else f"file://{path}"
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 def write_token_files(
     docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -117,7 +109,7 @@ def write_token_files(
         from pyspark import TaskContext
 
         encoder, end = worker_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        files, base = _store(folder)
+        files, base = file_store(folder)
         files.create_dir(base, recursive=True)
         part = TaskContext.get().partitionId()
 
@@ -182,7 +174,7 @@ def _read(manifest: DataFrame, doc_ids: list[int] | None, schema: str, columns)
                     within = wanted[(wanted >= file["first_id"]) & (wanted <= file["last_id"])]
                     if not len(within):
                         continue
-                files, path = _store(file["path"])
+                files, path = file_store(file["path"])
                 # Frames follow one another: blocks are read ahead, not a piece per document.
                 with files.open_input_file(path) as opened, io.BufferedReader(opened, BLOCK) as source:
                     reader = FrameReader(source, opened.size())

@@ -107,9 +107,7 @@ def discrepancy_csv_sink(d):
     path = fresh_path(d.spark, "discrepancies")
     found = _of_pipelines(d)
     sinks.export_discrepancies(found, path)
-    schema = "discrepancy_type string, data_content string, pipeline_id bigint, batch_id bigint"
-    written = d.spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
-    return written.select("pipeline_id", "batch_id", "discrepancy_type", F.coalesce("data_content", F.lit("")).alias("data_content"))
+    return sinks.load_discrepancy_folders(d.spark, path).withColumn("data_content", F.coalesce("data_content", F.lit("")))
 
 
 @query("discrepancy_csv_ranges", EXPORTED)
@@ -128,8 +126,8 @@ FROM ox_verdict_r3 v JOIN fx_run r USING (pipeline_id, batch_id)""",
 def report_sink(d):
     path = fresh_path(d.spark, "report")
     sinks.save_report(report_step(d.run, d.validation_result, wide_status(d)), path)
-    return d.spark.read.parquet(path).select(
-        F.col("dataflow_batch_id").cast("bigint"), "pipeline_id", "batch_id", "step_id", "execution_status", "verdict"
+    return sinks.load_reports(d.spark, path).select(
+        "dataflow_batch_id", "pipeline_id", "batch_id", "step_id", "execution_status", "verdict"
     )
 
 

@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import islice
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from loadwitness.operators.skew import by_shuffle
+from loadwitness.sources.folders import HELD_ROWS, read_folders, write_folders
 
 # What one load is told from another by, as far as results have the columns.
 LOAD_COLUMNS = ("mapping_id", "pipeline_id", "batch_id")
 
 EXPORT_KEYS = ["pipeline_id", "batch_id"]
 EXPORT_SCHEMA = "pipeline_id bigint, batch_id bigint, discrepancy_type string, data_content string"
+EXPORT_COLUMNS = ["discrepancy_type", "data_content"]
 EXPORT_CSV = {"header": True, "escape": '"'}
 
 
@@ -77,13 +83,43 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_discrepancies(discrepancies: DataFrame, path: str, mode: str = "append") -> None:
-    """Raw discrepancies as CSV, a folder per pipeline and batch (``export_discrepancy_ranges``: for more batches than
-    folders are good for).
+    """Raw discrepancies as CSV, a folder per pipeline and batch (``export_discrepancy_ranges``: fewer files).
 
-    ``discrepancies`` has ``pipeline_id, batch_id, seq, side, payload``; rows of unknown side are not written.
+    ``discrepancies`` has ``pipeline_id, batch_id, seq, side, payload``; rows of unknown side are not written. Read whole exports
+    with ``load_discrepancy_folders``.
     """
-    writer = _discrepancy_rows(discrepancies).write.mode(mode).partitionBy(*EXPORT_KEYS)
-    writer.options(**EXPORT_CSV).csv(path)
+    line = F.to_csv(F.struct(*EXPORT_COLUMNS), {"escape": EXPORT_CSV["escape"]}).alias("line")
+    write_folders(_discrepancy_rows(discrepancies).select(*EXPORT_KEYS, line), path, EXPORT_KEYS, ".csv", _Lines, mode)
+
+
+def load_discrepancy_folders(spark: SparkSession, path: str) -> DataFrame:
+    """``pipeline_id, batch_id, discrepancy_type, data_content`` of all that ``export_discrepancies`` wrote."""
+    columns = StructType([StructField(c, StringType()) for c in EXPORT_COLUMNS])
+    return read_folders(spark, path, _read_lines, columns)
+
+
+class _Lines:
+    """Lines of one CSV file, after its header."""
+
+    def __init__(self, stream, schema):
+        self.stream = stream
+        stream.write((",".join(EXPORT_COLUMNS) + "\n").encode())
+
+    def write_batch(self, batch) -> None:
+        self.stream.write("".join([f"{line}\n" for line in batch.column(0).to_pylist()]).encode())
+
+    def close(self) -> None:
+        pass
+
+
+def _read_lines(stream, schema) -> Iterator:
+    import pyarrow as pa
+
+    rows = csv.reader(io.TextIOWrapper(stream, "utf-8", newline=""))
+    next(rows)
+    while some := list(islice(rows, HELD_ROWS)):
+        # An empty value is null, as when Spark reads the file.
+        yield pa.RecordBatch.from_pylist([{c: v or None for c, v in zip(EXPORT_COLUMNS, row, strict=True)} for row in some], schema=schema)
 
 
 def _discrepancy_rows(discrepancies: DataFrame) -> DataFrame:
@@ -127,5 +163,23 @@ def _read_export(spark: SparkSession, files: list[str]) -> DataFrame:
 
 
 def save_report(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Report rows, a folder per dataflow batch."""
-    _spread(df, ["dataflow_batch_id"], ["pipeline_id", "batch_id"]).write.mode(mode).partitionBy("dataflow_batch_id").parquet(path)
+    """Report rows, a folder per dataflow batch. Read whole reports with ``load_reports``."""
+    spread = _spread(df, ["dataflow_batch_id"], ["pipeline_id", "batch_id"])
+    write_folders(spread, path, ["dataflow_batch_id"], ".parquet", _parquet_writer, mode)
+
+
+def load_reports(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that ``save_report`` wrote."""
+    return read_folders(spark, path, _read_parquet)
+
+
+def _parquet_writer(stream, schema):
+    import pyarrow.parquet as pq
+
+    return pq.ParquetWriter(stream, schema)
+
+
+def _read_parquet(stream, schema) -> Iterator:
+    import pyarrow.parquet as pq
+
+    return pq.ParquetFile(stream).iter_batches(HELD_ROWS)

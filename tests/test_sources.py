@@ -157,6 +157,53 @@ def test_reports_have_a_folder_per_batch(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "r").glob("dataflow*")) == ["dataflow_batch_id=0", "dataflow_batch_id=1"]
 
 
+@pytest.mark.parametrize("suffix", ["csv", "parquet"])
+def test_folders_are_made_and_read_by_tasks(spark, tmp_path, monkeypatch, suffix):
+    """The driver neither lists the folders nor renames their files, which Spark's own writer and reader left to it."""
+    from pyspark.sql import DataFrameWriter
+
+    from loadwitness.sources.sinks import load_discrepancy_folders, load_reports
+
+    def refused(self, *keys):
+        raise AssertionError("folders by the driver")
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", refused)
+    path = str(tmp_path / "out")
+    if suffix == "csv":
+        save, load, columns = export_discrepancies, load_discrepancy_folders, ["pipeline_id", "batch_id", "data_content"]
+        rows = spark.range(3_000).selectExpr(
+            "IF(id % 500 = 3, null, id % 500) AS pipeline_id", "id % 1000 AS batch_id", "id AS seq",
+            "IF(id % 7 = 0, 'other', 'present_only_in_source') AS side",
+            "CASE id % 4 WHEN 0 THEN '' WHEN 1 THEN concat('a,\"', id, '\"\n\rb') ELSE concat('x', id) END AS payload",
+        )
+        kept = rows.where("side <> 'other'").selectExpr("pipeline_id", "batch_id", "nullif(payload, '') AS data_content")
+        folders = kept.select("pipeline_id", "batch_id").distinct().count()
+    else:
+        save, load, columns = save_report, load_reports, ["dataflow_batch_id", "pipeline_id", "batch_id", "text"]
+        rows = kept = spark.range(3_000).selectExpr(
+            "CASE id % 500 WHEN 3 THEN null WHEN 4 THEN 'a/b=c:%' WHEN 5 THEN '' ELSE cast(id % 500 AS string) END AS dataflow_batch_id",
+            "id AS pipeline_id", "id AS batch_id", "IF(id % 3 = 0, null, 'x') AS text",
+        )
+        folders = 499
+    wanted = sorted(map(repr, kept.select(*columns).collect()))
+    save(rows, path)
+    assert sorted(map(repr, load(spark, path).select(*columns).collect())) == wanted
+    assert len({p.parent for p in (tmp_path / "out").rglob(f"*=*/part-*.{suffix}")}) == folders
+    # A plain reader finds the same rows by the folders' names.
+    plain = spark.read.options(header=True, escape='"', multiLine=True)
+    plain = plain.csv(path) if suffix == "csv" else plain.option("spark.sql.sources.partitionColumnTypeInference.enabled", False).parquet(path)
+    assert plain.count() == len(wanted)
+    # An export that breaks off changes nothing, another one adds its rows.
+    with pytest.raises(Exception, match="lost"):
+        save(rows.withColumn(rows.columns[-1], F.when(F.col("batch_id") < 900, "x").otherwise(F.raise_error(F.lit("lost")))), path)
+    assert load(spark, path).count() == len(wanted)
+    assert len(list((tmp_path / "out").rglob(f"*=*/part-*.{suffix}"))) == len(plain.inputFiles())
+    save(rows.where("batch_id = 1"), path)
+    assert load(spark, path).count() == len(wanted) + kept.where("batch_id = 1").count()
+    save(rows.limit(0), path)
+    assert load(spark, path).count() == len(wanted) + kept.where("batch_id = 1").count()
+
+
 def test_suite_end_to_end(spark, tmp_path):
     (tmp_path / "s").mkdir()
     (tmp_path / "s" / "a.csv").write_text("id,email,day\n1,a,2024-01-01\n2,b,2024-01-02\n2,b,2024-01-02\n")
