@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "benchmark"]
 
 OLD = "1000000000000000"
 
