@@ -12,7 +12,7 @@ from loadwitness.plans.report import report_step
 from loadwitness.plans.suite import union_results
 from loadwitness.registry import query
 from loadwitness.registry.inputs import mappings, objects_of, wide_status
-from loadwitness.scratch import fresh_path
+from loadwitness.scratch import fresh_path, written
 from loadwitness.sources import metadata, objects, sinks, specs
 
 
@@ -107,7 +107,9 @@ def discrepancy_csv_sink(d):
     path = fresh_path(d.spark, "discrepancies")
     found = _of_pipelines(d)
     sinks.export_discrepancies(found, path)
-    return sinks.load_discrepancy_folders(d.spark, path).withColumn("data_content", F.coalesce("data_content", F.lit("")))
+    # The files are read by Python tasks, once: what they hold is stored.
+    read = written(sinks.load_discrepancy_folders(d.spark, path), "discrepancies-read")
+    return read.withColumn("data_content", F.coalesce("data_content", F.lit("")))
 
 
 @query("discrepancy_csv_ranges", EXPORTED)
@@ -126,7 +128,7 @@ FROM ox_verdict_r3 v JOIN fx_run r USING (pipeline_id, batch_id)""",
 def report_sink(d):
     path = fresh_path(d.spark, "report")
     sinks.save_report(report_step(d.run, d.validation_result, wide_status(d)), path)
-    return sinks.load_reports(d.spark, path).select(
+    return written(sinks.load_reports(d.spark, path), "report-read").select(
         "dataflow_batch_id", "pipeline_id", "batch_id", "step_id", "execution_status", "verdict"
     )
 
