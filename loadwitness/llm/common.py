@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadwitness.scratch import fresh_path
 
@@ -57,6 +58,31 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+# Words of 64 bits in the table of ``maybe``. It is sent to all executors, so this bounds what is sent.
+WORDS = 1 << 18
+
+
+def maybe(rows: DataFrame, own: list[Column], wanted: DataFrame, its: list[Column], mark: str) -> DataFrame:
+    """``rows`` with a last column ``mark``, false where no row of ``wanted`` has as ``its`` what a row has as ``own``.
+
+    A table of bits of fixed size tells, so true decides nothing; it spares that rows are shuffled to meet ``wanted`` which
+    it does not hold. Nulls count as values.
+    """
+    place_, word_, bits_ = free_names(rows.withColumn(mark, F.lit(True)), "_place", "_word", "_bits")
+
+    def word(place: Column) -> Column:
+        return place.bitwiseAND(F.lit(WORDS - 1))
+
+    def bit(place: str) -> str:
+        return f"CAST(shiftrightunsigned({place}, 58) AS INT)"
+
+    places = wanted.select(F.xxhash64(*its).alias(place_))
+    words = places.groupBy(word(F.col(place_)).alias(word_)).agg(F.expr(f"bit_or(shiftleft(1L, {bit(place_)}))").alias(bits_))
+    met = rows.withColumn(place_, F.xxhash64(*own)).join(F.broadcast(words), word(F.col(place_)) == F.col(word_), "left")
+    told = F.expr(f"shiftrightunsigned({bits_}, {bit(place_)}) & 1 = 1")
+    return met.withColumn(mark, F.coalesce(told, F.lit(False))).drop(place_, word_, bits_)
+
+
 # Tasks' vectors of counts are cut into blocks, and those summed in two steps, so that no task meets all of a block's.
 BLOCKS, GROUPS = 16, 64
 VECTOR = "block int, part int, counts binary"

@@ -14,7 +14,11 @@ Two different sets of Jaccard similarity ``t`` or more differ in at most ``(1-t)
 
 Which shingles are common is told by a table of counts of fixed size that covers all texts; it only orders shingles, so
 its errors cost time but no link. Equal sets are one class from the start. Sets that share a list or subset are chained to the first of them, never paired
-with each other, which gives clusters that hold whole components and little more. In a cluster the sets are compared
+with each other, which gives clusters that hold whole components and little more. The keys are most of what is shuffled: they
+are cut to as many bits as keep them apart but for one in 16,384 at most, dealt into buckets by their value and sent packed, many
+in a row, as steps from one key to the next and a few bytes of the set's hash. What falls together by that only enters a
+cluster, as does every set whose few bytes another one has too. Only texts of sets in clusters are shuffled, and those that a
+table of bits takes for such. In a cluster the sets are compared
 exactly, again by inverted lists; a set is not compared with others that are already known to be connected. A cluster too
 large for one task is compared block by block, every block with every other.
 """
@@ -26,12 +30,12 @@ from math import comb
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from loadwitness.llm.common import VECTOR, stored, summed_vectors, vector_blocks
+from loadwitness.llm.common import VECTOR, maybe, stored, summed_vectors, vector_blocks
 from loadwitness.llm.graph import components
 from loadwitness.llm.shingles import U, mixed, shingle_sets, slices
 
@@ -42,6 +46,10 @@ BLOCK_SETS, BLOCK_SHINGLES = 1500, 3_000_000
 HELD_KEYS = 1_500_000
 # Places of the table of counts (as bits).
 TABLE_BITS = 16
+# Shingles per bucket of keys, keys that are packed at a time, and bits of a key beyond those that number the shingles.
+BUCKET_SHINGLES, PACKED_KEYS, SPARE_BITS = 1 << 19, 1 << 16, 14
+# Bytes of a set's hash that stand for it beside a key.
+NODE_BYTES = 5
 
 _LIGHT, _HEAVY = U(0x2127599BF4325C37), U(0x880355F21E6D1965)
 
@@ -164,35 +172,97 @@ def table_place(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> U(64 - TABLE_BITS)).astype(np.int64)
 
 
+def chained(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once, with the first node that has it; and pairs of such a node with another one that has its key."""
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    del order
+    begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    key, leads = key[begins], node[begins]
+    lead = np.repeat(leads, np.diff(np.append(begins, len(node))))
+    other = lead != node
+    return key, leads, np.unique(np.stack([lead[other], node[other]], axis=1), axis=0)
+
+
+def _cells(values: np.ndarray, width: int) -> np.ndarray:
+    """The lowest ``width`` bytes of each value."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _values(cells: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(cells), 8), np.uint8)
+    out[:, : cells.shape[1]] = cells
+    return out.view("<u8").ravel()
+
+
+class Packing:
+    """Keys as they are shuffled: their bits, the buckets they are dealt into, and rows that hold many of them."""
+
+    SCHEMA = "bucket bigint, width int, packed binary"
+
+    def __init__(self, shingles: int):
+        self.bits = min(max(shingles.bit_length() + SPARE_BITS, 40), 64)
+        self.buckets = -(-shingles // BUCKET_SHINGLES) or 1
+
+    def cut(self, key: np.ndarray) -> np.ndarray:
+        return key >> U(64 - self.bits)
+
+    def rows(self, key: np.ndarray, node: np.ndarray):
+        """A record batch of keys (cut and sorted): a row per bucket, with bytes of each step and node."""
+        import pyarrow as pa
+
+        bucket = (key >> U(self.bits - 32)) * U(self.buckets) >> U(32)
+        begins = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        least = ((bucket[begins] << U(32)) + U(self.buckets - 1)) // U(self.buckets) << U(self.bits - 32)
+        step = np.append(U(0), np.diff(key))
+        step[begins] = key[begins] - least
+        width = (int(step.max()).bit_length() + 7) // 8
+        cells = np.concatenate([_cells(step, width), _cells(node, NODE_BYTES)], axis=1)
+        offsets = np.append(begins, len(key)) * cells.shape[1]
+        made = pa.Array.from_buffers(
+            pa.binary(), len(begins), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(cells.tobytes())]
+        )
+        buckets, widths = pa.array(bucket[begins].astype(np.int64)), pa.array(np.full(len(begins), width, np.int32))
+        return pa.RecordBatch.from_arrays([buckets, widths, made], names=["bucket", "width", "packed"])
+
+    @staticmethod
+    def keys(packed, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys, from the least of the bucket on, and nodes of rows of one bucket and width (an Arrow array)."""
+        offsets = np.frombuffer(packed.buffers()[1], np.int32 if str(packed.type) == "binary" else np.int64)
+        offsets = offsets[packed.offset : packed.offset + len(packed) + 1].astype(np.int64)
+        data = np.frombuffer(packed.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        cells = data.reshape(-1, width + NODE_BYTES)
+        begins = (offsets - offsets[0]) // cells.shape[1]
+        step = _values(cells[:, :width])
+        total = np.cumsum(step)
+        before = total[begins[:-1]] - step[begins[:-1]]
+        return total - np.repeat(before, np.diff(begins)), _values(cells[:, width:])
+
+
 def _key_rows(docs: DataFrame, words: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """``key``, ``node`` (first half of a set's hash): sets that share a key may be linked.
+    """Packed keys (``Packing``), each with its node (bytes of a set's hash): sets that share a key may be linked.
 
     Within a task a key is handed on once, for the first set that has it; the others are chained to that one by keys of
-    their own. So a key that a large part of all sets share is one row per task.
+    their own. So a key that a large part of all sets share is handed on once per task.
     """
 
     sent = docs.sparkSession.sparkContext.broadcast(counts > common_above(counts))
+    packing = Packing(int(counts.sum()))
 
     def run(batches):
-        import pyarrow as pa
-
         threshold, classes, seen = Threshold(percent), {}, set()
         keys, nodes, held = [], [], 0
 
-        def chained():
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.lexsort((node, key))
-            key, node = key[order], node[order]
-            first = np.append(True, key[1:] != key[:-1])
-            lead = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-            other = ~first & (lead != node)
-            pairs = np.unique(np.stack([lead[other], node[other]], axis=1), axis=0)
-            link = mixed(pairs[:, 0].view(U) ^ mixed(pairs[:, 1].view(U)))
-            key = np.concatenate([key[first], link, link]).view(np.int64)
-            node = np.concatenate([node[first], pairs[:, 0], pairs[:, 1]])
-            for at in range(0, len(key), 1 << 16):
-                cut = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(key[cut]), pa.array(node[cut])], names=["key", "node"])
+        def handed_on():
+            key, node = packing.cut(np.concatenate(keys)), np.concatenate(nodes)
+            keys.clear(), nodes.clear()
+            key, node, pairs = chained(key, node)
+            link = packing.cut(mixed(pairs[:, 0] ^ mixed(pairs[:, 1])))
+            key, node = np.concatenate([key, link, link]), np.concatenate([node, pairs[:, 0], pairs[:, 1]])
+            order = np.argsort(key, kind="stable")
+            for at in range(0, len(key), PACKED_KEYS):
+                some = order[at : at + PACKED_KEYS]
+                yield packing.rows(key[some], node[some])
 
         for batch in slices(batches, 0):
             for shingles in shingle_sets(batch.column(0), words):
@@ -203,15 +273,47 @@ def _key_rows(docs: DataFrame, words: int, percent: int, counts: np.ndarray) ->
                 made = threshold.keys(shingles, sent.value[table_place(shingles)], classes)
                 if len(made):
                     keys.append(made)
-                    nodes.append(np.full(len(made), mark[0], np.int64))
+                    nodes.append(np.full(len(made), mark[0] & ((1 << 8 * NODE_BYTES) - 1), U))
                     held += len(made)
             if held >= HELD_KEYS:
-                yield from chained()
-                keys, nodes, held = [], [], 0
+                yield from handed_on()
+                held = 0
         if held:
-            yield from chained()
+            yield from handed_on()
+
+    return docs.select("text").mapInArrow(run, Packing.SCHEMA)
+
 
-    return docs.select("text").mapInArrow(run, "key bigint, node bigint")
+def _chains(packed: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of nodes: the first that has a key, and another one that has it. A bucket is held at a time."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        now, keys, nodes = None, [], []
+
+        def pairs():
+            key, node = np.concatenate(keys), np.concatenate(nodes)
+            keys.clear(), nodes.clear()
+            found = chained(key, node)[2].astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+        for batch in (b for b in batches if b.num_rows):
+            bucket, width = (np.asarray(batch.column(i)) for i in (0, 1))
+            same = (bucket[1:] == bucket[:-1]) & (width[1:] == width[:-1])
+            begins = np.flatnonzero(np.append(True, ~same)).tolist()
+            for a, b in zip(begins, [*begins[1:], batch.num_rows], strict=True):
+                if keys and bucket[a] != now:
+                    yield pairs()
+                now = bucket[a]
+                key, node = Packing.keys(batch.column(2).slice(a, b - a), int(width[a]))
+                keys.append(key)
+                nodes.append(node)
+        if keys:
+            yield pairs()
+
+    dealt = packed.repartition("bucket").sortWithinPartitions("bucket", "width")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def linked(sets: list[np.ndarray], percent: int) -> list[int]:
@@ -328,10 +430,11 @@ def jaccard_join(
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("one")
     classes = stored(sets.where("n > 0").groupBy(*mark).agg(*of_class, one), "shingle-classes")
 
-    first = F.first("node").over(Window.partitionBy("key").orderBy("node"))
-    chains = _key_rows(rows, words, percent, counts).select(first.alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
-    clusters = components(chains)
-    members = classes.join(clusters.withColumnRenamed("node", "h1"), "h1")
+    clusters = components(_chains(_key_rows(rows, words, percent, counts)))
+    # A set that is in no chain is a cluster by itself, or with those of the same node.
+    node = F.col("h1").bitwiseAND(F.lit((1 << 8 * NODE_BYTES) - 1))
+    members = classes.withColumn("node", node).join(clusters, "node", "left")
+    members = members.withColumn("root", F.coalesce("root", "node"))
     sizes = members.groupBy("root").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     dealt = (
@@ -350,8 +453,10 @@ def jaccard_join(
         .groupBy("_id", "_version")
         .agg(F.collect_set("task").alias("tasks"))  # as many as its cluster has blocks
     )
+    dealt = stored(dealt, "dealt-sets")
+    near = maybe(rows, [F.col("doc_id"), F.col("version")], dealt, [F.col("_id"), F.col("_version")], "near").where("near")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
-    texts = rows.join(dealt, same).select(F.explode("tasks").alias("task"), "text")
+    texts = near.join(dealt, same).select(F.explode("tasks").alias("task"), "text")
     links = _compare(texts.repartition("task").sortWithinPartitions("task"), words, percent)
     edges = links.select(F.struct("a1", "a2").alias("a"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2")).alias("b"))
     roots = components(edges)

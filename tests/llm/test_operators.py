@@ -294,6 +294,38 @@ def test_join_against_brute_force(spark, monkeypatch):
         assert rows_of(J.jaccard_join(docs, k, percent), "doc_id", "n_shingles", "component_id") == by_brute_force(rows, k, percent)
 
 
+@pytest.mark.parametrize("shingles", [0, 1, 10**6, 10**9, 10**14])
+def test_packed_keys_come_back(shingles):
+    rng, packing = np.random.default_rng(4), J.Packing(shingles)
+    key = np.sort(packing.cut(rng.integers(0, 1 << 64, 3000, U)))
+    key[:2], key[-2:] = 0, (1 << packing.bits) - 1
+    node = rng.integers(0, 1 << 8 * J.NODE_BYTES, len(key), U)
+    batch = packing.rows(key, node)
+    found = {}
+    for i, (bucket, width) in enumerate(zip(batch["bucket"].to_pylist(), batch["width"].to_pylist(), strict=True)):
+        found[bucket] = J.Packing.keys(batch["packed"].slice(i, 1), width)
+    assert sorted(found) == list(found) and max(found) < packing.buckets
+    for bucket, (steps, _) in found.items():
+        least = -(-(bucket << 32) // packing.buckets) << (packing.bits - 32)
+        steps += U(least)
+    assert np.array_equal(np.concatenate([k for k, _ in found.values()]), key)
+    assert np.array_equal(np.concatenate([n for _, n in found.values()]), node)
+    # Several rows of a bucket at once, as a task reads them.
+    twice = pa.concat_arrays([batch["packed"].slice(0, 1)] * 2)
+    steps, nodes = J.Packing.keys(twice, batch["width"][0].as_py())
+    assert steps[: len(steps) // 2].tolist() == steps[len(steps) // 2 :].tolist()
+    assert nodes[: len(nodes) // 2].tolist() == nodes[len(nodes) // 2 :].tolist()
+
+
+def test_join_of_sets_with_one_node(spark, monkeypatch):
+    monkeypatch.setattr(J, "NODE_BYTES", 0)  # every set has the node of every other
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    rows = [(i, " ".join([*base[: 59 - i], *[f"v{i}{k}" for k in range(i)]])) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert rows_of(J.jaccard_join(docs, 2, 80), "doc_id", "n_shingles", "component_id") == by_brute_force(rows, 2, 80)
+
+
 def test_join_of_odd_rows(odd, none):
     found = J.jaccard_join(odd, 3, 90)
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == by_brute_force(TEXTS, 3, 90)

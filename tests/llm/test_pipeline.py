@@ -1,5 +1,7 @@
 """Every stage of the pipeline against a brute-force version, on the small table with odd rows added."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -57,6 +59,42 @@ def test_lines_and_near_duplicates(stages):
     assert set(texts(stages[4])) == {d for d, n, c in groups if d == c or not n}
 
 
+def shuffled(spark):
+    """Files of shuffles and their bytes (``.data``), in local mode."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    named = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in named if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+
+def test_near_duplicates_shuffle_less_than_they_read(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"{rng.getrandbits(40):x}" for _ in range(300))) for i in range(3000)]
+    rows += [(i + 3000, t + " end") for i, t in rows[:100]]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6), "near-test")
+    before = shuffled(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+    try:
+        found = P.near_duplicates(spark, docs, SMALL).select("doc_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    written = sum(n for name, n in shuffled(spark).items() if name not in before)
+    assert sorted(r["doc_id"] for r in found) == list(range(3000))
+    assert written < sum(len(t) for _, t in rows)
+
+
+@pytest.mark.parametrize("most", [False, True])
+def test_near_duplicates_where_few_or_most_rows_go(spark, most):
+    rng = random.Random(6)
+    own = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(60)) for _ in range(40)]
+    rows = [(i, t, i) for i, t in enumerate(own)] + [(None, own[0], 1), (900, None, 2), (901, "", 3), (None, None, 4)]
+    rows += [(100 + k, f"{own[k % 8]} w{k}", k) for k in range(200 if most else 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _mark int")
+    found = P.near_duplicates(spark, docs, SMALL)
+    assert found.columns == docs.columns
+    wanted = [*enumerate(own), (900, None), (901, ""), (None, None)]
+    assert sorted(repr((r["doc_id"], r["text"])) for r in found.collect()) == sorted(map(repr, wanted))
+
+
 def test_packing_holds_everything(stages):
     rows = stages[5].collect()
     assert {r["doc_id"] for r in rows} == set(texts(stages[4]))
